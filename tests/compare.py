@@ -45,6 +45,16 @@ def rows_of_sql(con, sql: str) -> tuple[list[str], Counter]:
     return sorted(columns), Counter(tuple(_plain(row[at]) for at in order) for row in cursor.fetchall())
 
 
+# Spark's names for DuckDB's types.
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean", "DOUBLE": "double"}
+
+
+def type_difference(df, con, sql: str) -> str | None:
+    wanted = {row[0]: _TYPES.get(row[1], row[1]) for row in con.execute(f"describe {sql}").fetchall()}
+    found = dict(df.dtypes)
+    return None if found == wanted else f"types {found} != {wanted}"
+
+
 def difference(df, con, sql: str) -> str | None:
     """None when equal, else what differs."""
     names, found = rows_of_spark(df)

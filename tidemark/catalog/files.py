@@ -1,2 +1,311 @@
+"""Queries that move real files. Spark first writes every document as a file of its own."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.catalog.inputs import FILES_SQL, FROM_S, LOGICAL_START_MS, TO_S, in_window_sql, instant, table
+from tidemark.functions import crypto
+from tidemark.operators.filters import delta_filter
+from tidemark.operators.ledger import read_ledger
+from tidemark.operators.transfer import plan_transfer, transfer, write_files
+from tidemark.operators.verify import verify
+from tidemark.options import TransferOptions
+from tidemark.plans.run import RunResult, run_transfer
+from tidemark.session import new_folder, shared_folder
+from tidemark.sources.content import checksum_files, read_content
+from tidemark.sources.fs import make_folder
+from tidemark.sources.listing import scan_files, walk_files
+from tidemark.sources.manifest import store_manifest
+from tidemark.streaming.files import append_stream, stream_listing, stream_transfer
+
 QUERIES = {}
 SQL = {}
+
+# A start late enough for all files.
+ALL_MS = 2_000_000_000_000
+_EXPORTED: dict[tuple[str, str], str] = {}
+
+
+def query(sql: str):
+    def register(function):
+        QUERIES[function.__name__] = function
+        SQL[function.__name__] = sql.strip()
+        return function
+
+    return register
+
+
+def _contents(spark: SparkSession, sf_dir: str, name: Column | None = None) -> DataFrame:
+    """relpath, content, mtime_s of every document, and its id."""
+    leaf = F.concat("doc_id", F.lit(".txt")) if name is None else name
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat_ws("/", "source", "lang", leaf).alias("relpath"), F.encode("text", "UTF-8").alias("content")
+    )
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("doc_id"), F.unix_seconds(instant("ts")).alias("mtime_s")
+    )
+    return documents.join(events, "doc_id")
+
+
+def _fresh(spark: SparkSession, contents: DataFrame) -> str:
+    """A new folder with ``in`` holding the contents, and empty ``out`` and ``done`` beside it."""
+    base = new_folder(spark, "files")
+    write_files(contents, f"{base}/in")
+    for name in ("out", "done"):
+        make_folder(f"{base}/{name}")
+    return base
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as files, written once per application for the queries that only read them."""
+    known = (shared_folder(spark) + spark.sparkContext.applicationId, sf_dir)
+    if known not in _EXPORTED:
+        _EXPORTED[known] = _fresh(spark, _contents(spark, sf_dir)) + "/in"
+    return _EXPORTED[known]
+
+
+def _run(spark: SparkSession, source: str, target: str, run_id: str = "run-1", logical_ms: int = ALL_MS,
+         **settings) -> RunResult:
+    options = {"pipeline": "documents", "recursive": True, "wait_s": 0, "user": "u", "host": "h", **settings}
+    return run_transfer(spark, TransferOptions(source_root=source, target_root=target, **options), run_id, logical_ms)
+
+
+def _target(spark: SparkSession) -> str:
+    folder = new_folder(spark, "target")
+    make_folder(folder)
+    return folder
+
+
+# --- listings -------------------------------------------------------------------
+
+
+@query(f"with {FILES_SQL} select relpath, size, mtime_s from files")
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file below a folder, by the distributed walk."""
+    return walk_files(spark, _exported(spark, sf_dir)).select("relpath", "size", "mtime_s")
+
+
+@query(f"with {FILES_SQL} select relpath, size, mtime_s from files where {in_window_sql('mtime_s')}")
+def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window by Spark's file scan: pruned while listing, then exact."""
+    files = scan_files(spark, _exported(spark, sf_dir), FROM_S, TO_S)
+    return delta_filter(files, FROM_S, TO_S, on="mtime").select("relpath", "size", "mtime_s")
+
+
+@query(f"""
+with {FILES_SQL}
+select relpath, size from files
+where starts_with(relpath, 'src1/en/') and substring(relpath, length('src1/en/') + 1) not like '%/%'
+""")
+def folder_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder without what lies deeper."""
+    files = walk_files(spark, _exported(spark, sf_dir), recursive=False, subtree="src1/en")
+    return files.select("relpath", "size")
+
+
+@query(f"""
+with {FILES_SQL}
+select lang || '/' || doc_id || '.txt' as relpath, source as root, size from files where source in ('src1', 'src2')
+""")
+def several_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings of two folders in one."""
+    base = _exported(spark, sf_dir)
+    files = walk_files(spark, [f"{base}/src1", f"{base}/src2/"])
+    return files.select("relpath", F.substring_index("root", "/", -1).alias("root"), "size")
+
+
+@query(f"with {FILES_SQL} select relpath, md5, size from files")
+def file_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole contents as rows."""
+    base = _exported(spark, sf_dir)
+    below = F.substr("path", F.lit(len(base) + 2)).alias("relpath")
+    return read_content(spark, base).select(below, crypto.content_md5("content").alias("md5"), "size")
+
+
+@query(f"with {FILES_SQL} select relpath, md5 from files")
+def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of files of any size, one buffer at a time."""
+    return checksum_files(walk_files(spark, _exported(spark, sf_dir))).select("relpath", "md5")
+
+
+# --- transfers -------------------------------------------------------------------
+
+
+@query(f"""
+with {FILES_SQL}
+select relpath, '/' || relpath as filename, size as bytes, md5 as md5_source, md5 as md5_target, 'copied' as status,
+       1 as attempts, 'verified' as "check", 'application/octet-stream' as content_type
+from files where mtime_s <= {TO_S}
+""")
+def copy_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run from a remote folder to the store."""
+    run = _run(spark, _exported(spark, sf_dir), _target(spark), logical_ms=LOGICAL_START_MS)
+    return run.ledger.select(
+        "relpath", "filename", "bytes", "md5_source", "md5_target", "status", "attempts", "check", "content_type"
+    )
+
+
+@query(f"""
+with {FILES_SQL}
+select relpath, doc_id || '.txt' as filename, size as bytes, md5 as md5_target, 'verified' as "check" from files
+where regexp_full_match(doc_id || '.txt', '[0-9]+\\.txt')
+""")
+def copy_to_remote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other direction, by name."""
+    run = _run(spark, _exported(spark, sf_dir), _target(spark), direction="to_sftp", regex=r"[0-9]+\.txt")
+    return run.ledger.select("relpath", "filename", "bytes", "md5_target", "check")
+
+
+@query(f"""with {FILES_SQL} select relpath, md5 as md5_source, md5 as md5_target, 'verified' as "check" from files""")
+def audited_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a copy, both folders are listed and hashed again and joined by path."""
+    source, target = _exported(spark, sf_dir), _target(spark)
+    manifest = store_manifest(walk_files(spark, source), "store", "gs://bucket/in")
+    transfer(plan_transfer(manifest, target), wait_s=0)
+    return verify(checksum_files(walk_files(spark, source)), checksum_files(walk_files(spark, target)))
+
+
+@query(f"""
+with {FILES_SQL}
+select relpath || '.pgp' as relpath, 'application/octet-stream' as content_type, size as bytes, md5 as md5_target,
+       size + 32 * greatest(1, ceil(size / 1048576.0))::bigint as sealed_bytes, 'verified' as "check"
+from files
+""")
+def sealed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sealed on the way to the store, opened on the way back."""
+    base, sealed, opened = new_folder(spark, "key"), _target(spark), _target(spark)
+    key = table(spark, sf_dir, "region").select(
+        F.lit("key").alias("relpath"), F.unhex(F.sha2("r_name", 256)).alias("content")
+    )
+    write_files(key.groupBy("relpath").agg(F.max("content").alias("content")), base)
+    secret = {"encryption": "aes_gcm", "key_uri": f"{base}/key"}
+    _run(spark, _exported(spark, sf_dir), sealed, **secret)
+    # The sealed copies carry the time they were made, which is before this run's end.
+    back = _run(spark, sealed, opened, direction="to_sftp", **secret)
+    return back.ledger.select(
+        "relpath", "content_type", "bytes", "md5_target", F.col("size").alias("sealed_bytes"), "check"
+    )
+
+
+@query(f"""
+with {FILES_SQL}
+select '/' || relpath as file, 'run-1' as run_id, metric,
+       case metric when 'created_on' then mtime_s when 'size_bytes' then size when 'seen_on' then {ALL_MS} // 1000
+       when 'transfer_retries' then 0 else 1 end as value
+from files, (select unnest(['created_on', 'size_bytes', 'seen_on', 'transfer_retries', 'total_uploaded_files']) as metric)
+""")
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run measured, but for the clock times."""
+    source = _exported(spark, sf_dir)
+    run = _run(spark, source, _target(spark))
+    prefix = len(f"sftp://u@h:22{source}")
+    return run.metrics.where(~F.col("metric").isin("transferred_on", "transfer_time")).select(
+        F.substr("file", F.lit(prefix + 1)).alias("file"), "run_id", "metric", "value"
+    )
+
+
+# --- state across runs -------------------------------------------------------------
+
+
+@query(f"""
+with {FILES_SQL}
+select relpath, case when mtime_s <= {TO_S} then 'run-1' else 'run-2' end as run_id from files
+""")
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consecutive windows have no gap and no overlap; a third run finds nothing."""
+    source, target, state = _exported(spark, sf_dir), _target(spark), new_folder(spark, "state")
+    for run_id, logical_ms in (("run-1", LOGICAL_START_MS), ("run-2", ALL_MS), ("run-3", ALL_MS)):
+        _run(spark, source, target, run_id, logical_ms, state_root=state)
+    return read_ledger(spark, f"{state}/ledger").select("relpath", "run_id")
+
+
+@query(f"""
+with {FILES_SQL}
+select relpath, case when doc_id in (select doc_id from labels) then 'run-2' else 'run-1' end as run_id from files
+""")
+def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive with an old time are found by looking back, and nothing is sent twice."""
+    contents, labels = _contents(spark, sf_dir), table(spark, sf_dir, "labels").select("doc_id")
+    base, state = _fresh(spark, contents.join(labels, "doc_id", "left_anti")), new_folder(spark, "state")
+    _run(spark, f"{base}/in", f"{base}/out", "run-1", state_root=state)
+    write_files(contents.join(labels, "doc_id", "left_semi"), f"{base}/in")
+    _run(spark, f"{base}/in", f"{base}/out", "run-2", state_root=state, lookback_s=ALL_MS // 1000)
+    return read_ledger(spark, f"{state}/ledger").select("relpath", "run_id")
+
+
+# --- originals ---------------------------------------------------------------------
+
+
+def _places(spark: SparkSession, **folders: str) -> DataFrame:
+    """What lies where now."""
+    listed = [walk_files(spark, uri).select(F.lit(name).alias("place"), "relpath", "size") for name, uri in folders.items()]
+    places = listed[0]
+    for more in listed[1:]:
+        places = places.unionByName(more)
+    return places
+
+
+@query(f"""
+with {FILES_SQL}
+select 'target' as place, relpath, size from files union all select 'archive', relpath, size from files
+""")
+def archive_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Originals of a remote folder keep their sub-tree in the archive."""
+    base = _fresh(spark, _contents(spark, sf_dir))
+    _run(spark, f"{base}/in", f"{base}/out", archive="rename", archive_root=f"{base}/done")
+    return _places(spark, source=f"{base}/in", target=f"{base}/out", archive=f"{base}/done")
+
+
+@query("""
+with files as (
+  select source || '/' || lang || '/' || doc_id || '/' || n_chars || '.txt' as relpath, n_chars || '.txt' as leaf,
+         strlen(text)::bigint as size, count(*) over (partition by n_chars) as n
+  from documents join events on event_id = doc_id
+)
+select 'target' as place, relpath, size from files
+union all select 'archive', leaf, size from files where n = 1
+union all select 'source', relpath, size from files where n > 1
+""")
+def archive_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Originals of the store are archived by leaf name; equal names stay where they are."""
+    leaf = F.concat("doc_id", F.lit("/"), "n_chars", F.lit(".txt"))
+    base = _fresh(spark, _contents(spark, sf_dir, leaf))
+    _run(spark, f"{base}/in", f"{base}/out", direction="to_sftp", archive="rename", archive_root=f"{base}/done")
+    return _places(spark, source=f"{base}/in", target=f"{base}/out", archive=f"{base}/done")
+
+
+@query(f"""
+with {FILES_SQL}
+select relpath, case when mtime_s <= {TO_S} then 'removed' else 'listed' end as archive_status from files
+""")
+def remove_originals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removed after their copy was verified; files outside the window are left."""
+    base = _fresh(spark, _contents(spark, sf_dir))
+    run = _run(spark, f"{base}/in", f"{base}/out", logical_ms=LOGICAL_START_MS, archive="remove")
+    left = walk_files(spark, f"{base}/in").select("relpath", F.lit("listed").alias("archive_status"))
+    return run.archived.select("relpath", "archive_status").unionByName(left)
+
+
+# --- streams ------------------------------------------------------------------------
+
+
+@query(f"with {FILES_SQL} select relpath, size, mtime_s from files where starts_with(relpath, 'src1/')")
+def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New files as a stream, drained into a table; a second drain adds nothing."""
+    found, checkpoint = new_folder(spark, "found"), new_folder(spark, "checkpoint")
+    for _ in range(2):
+        stream = stream_listing(spark, _exported(spark, sf_dir), regex=r".*\.txt", subtree="src1", max_file_age="36500d")
+        append_stream(stream, found, checkpoint).awaitTermination()
+    return spark.read.parquet(found).select("relpath", "size", "mtime_s")
+
+
+@query(f"""with {FILES_SQL} select relpath, size as bytes, md5 as md5_target, 'verified' as "check" from files""")
+def stream_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every micro-batch is copied, checked and accounted for."""
+    state = new_folder(spark, "state")
+    files = stream_listing(spark, _exported(spark, sf_dir), max_file_age="36500d")
+    manifest = store_manifest(files, "store", "gs://bucket/in")
+    stream_transfer(manifest, _target(spark), f"{state}/ledger", f"{state}/checkpoint", "stream", wait_s=0).awaitTermination()
+    return read_ledger(spark, f"{state}/ledger").select("relpath", "bytes", "md5_target", "check")

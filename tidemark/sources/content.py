@@ -16,7 +16,7 @@ BUFFER_BYTES = 15 * 1024 * 1024
 
 
 def read_content(spark: SparkSession, roots: str | list[str]) -> DataFrame:
-    """path, content, size, mtime of whole files; each has to fit in a row."""
+    """path, content, size, mtime of whole files; each has to fit in a row. Empty files give none."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

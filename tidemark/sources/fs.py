@@ -52,6 +52,11 @@ def require_folder(uri: str) -> None:
         raise FileNotFoundError(f"folder does not exist: {uri}")
 
 
+def make_folder(uri: str) -> None:
+    files, path = open_fs(uri)
+    files.create_dir(path, recursive=True)
+
+
 def make_parent(files: pafs.FileSystem, path: str) -> None:
     files.create_dir(posixpath.dirname(path), recursive=True)
 

@@ -6,8 +6,8 @@ driver nor one task ever holds the whole listing, and names Spark's own file
 scan skips (leading ``_`` or ``.``) are found.
 
 ``scan_files`` is the ``binaryFile`` scan without its content column. It serves
-every file system Hadoop knows and prunes by time while listing, but skips
-hidden names and keeps the file index on the driver.
+every file system Hadoop knows and prunes by time while listing, but it skips
+hidden names and empty files and keeps the file index on the driver.
 """
 
 from __future__ import annotations
