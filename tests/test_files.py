@@ -13,7 +13,7 @@ from tidemark.operators import ledger as L
 from tidemark.operators.archive import archive
 from tidemark.operators.filters import delta_filter
 from tidemark.operators.metrics import run_totals, transfer_time_percentiles
-from tidemark.operators.transfer import plan_transfer, task_count, transfer, write_files
+from tidemark.operators.transfer import plan_transfer, transfer, write_files
 from tidemark.operators.verify import verify
 from tidemark.options import TransferOptions
 from tidemark.plans.run import run_transfer
@@ -21,6 +21,7 @@ from tidemark.sources.content import checksum_files
 from tidemark.sources.listing import scan_files, walk_files
 from tidemark.sources.manifest import sftp_manifest, store_manifest
 from tidemark.sources.watermark import commit_watermark, read_watermark, read_watermark_text
+from tidemark.spread import task_count
 from tidemark.streaming.files import append_stream, stream_listing, stream_transfer
 
 FROM, TO = 1_000_000_000, 1_000_000_100
@@ -82,6 +83,11 @@ def test_walk_finds_every_regular_file_once(spark, filled):
     assert (row.size, row.mtime_s) == (4, TO)
 
 
+def test_unfinished_files_are_not_listed(spark, filled):
+    put(filled / "in", ".b.csv.77-1.tidemark-part")
+    assert ".b.csv.77-1.tidemark-part" not in names(walk_files(spark, str(filled / "in")))
+
+
 def test_walk_is_not_recursive_on_request(spark, filled):
     assert "sub/d.csv" not in names(walk_files(spark, str(filled / "in"), recursive=False))
     assert names(walk_files(spark, str(filled / "in"), subtree="sub")) == ["sub/d.csv"]
@@ -121,7 +127,7 @@ def test_run_moves_the_window_and_only_it(spark, filled):
     assert {row.check for row in run.ledger.collect()} == {"verified"}
     for name in IN_WINDOW:
         assert (filled / "out" / name).read_bytes() == (filled / "in" / name).read_bytes()
-    assert not list((filled / "out").rglob("*.part"))
+    assert not list((filled / "out").rglob("*part"))
 
 
 def test_compressed_names_are_copied_as_they_are(spark, filled):
@@ -174,7 +180,7 @@ def test_failed_file_is_kept_and_tried_again(spark, filled):
     second = run_transfer(spark, settings, "r2", TO * 1000)
     assert names(second.ledger) == ["b.csv"] and second.ledger.first().check == "verified"
     assert names(run_transfer(spark, settings, "r3", TO * 1000).ledger) == []
-    assert not list((filled / "out").rglob("*.part"))
+    assert not list((filled / "out").rglob("*part"))
 
 
 def test_failed_file_rewritten_since_goes_once(spark, filled):

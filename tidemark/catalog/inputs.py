@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import window_bounds
+from tidemark.operators.filters import delta_filter
 
 # A window inside the days the events cover: noon of the first day to the end of the second.
 FROM_S = 1_704_110_400
@@ -23,10 +24,11 @@ def instant(naive: str) -> Column:
     return F.col(naive).cast("timestamp")
 
 
-def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_files(spark: SparkSession, sf_dir: str, window: tuple[int, int] | None = None) -> DataFrame:
     """Every document as a file ``/in/source/lang/id.txt``, written when the event of its id happened.
 
-    Digest and size are taken before the join, so no text is shuffled.
+    Digest and size are taken before the join, so no text is shuffled. A window
+    is applied to the events' own time, where it reaches their scan.
     """
     documents = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -36,7 +38,10 @@ def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("text").cast("bigint").alias("size"),
         F.md5("text").alias("md5"),
     )
-    events = table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    if window:
+        events = delta_filter(events, *window, on="ts")
+    events = events.select(
         F.col("event_id").alias("doc_id"),
         instant("ts").alias("mtime"),
         F.unix_seconds(instant("ts")).alias("mtime_s"),

@@ -55,7 +55,7 @@ from files where {in_window_sql('mtime_s')} and regexp_full_match(doc_id || '.tx
 """)
 def delta_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run lists: the files of the window, by name, with the names they get."""
-    files = filters.delta_filter(document_files(spark, sf_dir), FROM_S, TO_S)
+    files = document_files(spark, sf_dir, (FROM_S, TO_S))
     manifest = sftp_manifest(filters.name_filter(files, _NAMES), "remote", "u", "h")
     return manifest.select(
         "relpath", "fullfilename", "filename", "basename", "size", "mtime_s",
@@ -535,7 +535,7 @@ select relpath, mtime_s, max(origin) as origin from (
 """)
 def retry_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The new window and earlier failures, each file once."""
-    window = filters.delta_filter(document_files(spark, sf_dir), FROM_S, TO_S)
+    window = document_files(spark, sf_dir, (FROM_S, TO_S))
     failed = ledger.unsent(document_ledger(spark, sf_dir))
     return ledger.retry_set(
         window.select("relpath", "mtime_s", F.lit("window").alias("origin")),

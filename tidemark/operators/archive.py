@@ -15,6 +15,7 @@ from tidemark.schemas import require_columns
 from tidemark.session import materialize
 from tidemark.sources.content import digest
 from tidemark.sources.fs import exists, make_parent, move, open_fs
+from tidemark.spread import spread
 
 # A name shared by more files than this is looked up by broadcast: there can be
 # at most (files / HOT_NAME) such names, whatever the data.
@@ -44,8 +45,7 @@ def archive(ledger: DataFrame, mode: str, target: str | None = None, flatten: bo
     rows = rows.withColumn("refused", F.when(F.col("path") == F.col("archive_target"), "same_path"))
     if mode == "rename" and flatten:
         rows = _refuse_collisions(rows, hot_name)
-    spread = rows.repartition(parallelism) if parallelism else rows
-    done = spread.mapInPandas(_put_away(mode), _RESULT)
+    done = spread(rows, parallelism).mapInPandas(_put_away(mode), _RESULT)
     skipped = ledger.where(~F.col("check").isin("verified", "exempt")).select(
         "relpath",
         "mtime_s",

@@ -7,10 +7,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.paths import is_encrypted
 from tidemark.operators.verify import check_status
-from tidemark.schemas import ARCHIVED, LEDGER, OUTCOME, require_columns
+from tidemark.schemas import LEDGER, OUTCOME, require_columns
 from tidemark.session import read_table
 
 VERSION = ["relpath", "mtime_s"]
@@ -40,17 +41,16 @@ def write_ledger(transferred: DataFrame, uri: str, pipeline: str, run_id: str, r
     check_run_id(run_id)
     path = partition_of(uri, run_date, run_id)
     rows.write.mode("overwrite").parquet(path)
-    return read_ledger(transferred.sparkSession, uri).where(
-        (F.col("run_date") == F.lit(run_date)) & (F.col("run_id") == run_id)
-    )
+    return read_run(transferred.sparkSession, uri, LEDGER, run_date, run_id)
 
 
-def read_ledger(spark: SparkSession, uri: str) -> DataFrame:
-    return read_table(spark, uri, LEDGER)
+def read_run(spark: SparkSession, uri: str, schema: StructType, run_date: date, run_id: str) -> DataFrame:
+    """One run's partition, without listing the others."""
+    return read_table(spark, partition_of(uri, run_date, run_id), schema, base=uri)
 
 
-def read_archived(spark: SparkSession, uri: str) -> DataFrame:
-    return read_table(spark, uri, ARCHIVED)
+def read_ledger(spark: SparkSession, uri: str) -> DataFrame:
+    return read_table(spark, uri, LEDGER)
 
 
 def sent(ledger: DataFrame) -> DataFrame:

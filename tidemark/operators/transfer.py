@@ -10,6 +10,7 @@ is a row with its error, not a failing job.
 from __future__ import annotations
 
 import hashlib
+import os
 import posixpath
 import time
 from collections.abc import Iterator
@@ -25,11 +26,10 @@ from tidemark.functions import paths as P
 from tidemark.schemas import MANIFEST, OUTCOME, PIECE, PLAN, TRANSFERRED, require_columns
 from tidemark.session import materialize
 from tidemark.sources.content import BUFFER_BYTES, digest
-from tidemark.sources.fs import make_parent, move, open_fs, replaces_atomically
+from tidemark.sources.fs import UNFINISHED, make_parent, move, open_fs, replaces_atomically
+from tidemark.spread import spread, task_count
 
 PIECE_BYTES = 1024 * 1024
-BYTES_PER_TASK = 1024 * 1024 * 1024
-FILES_PER_TASK = 2_000
 
 
 def plan_transfer(manifest: DataFrame, target_root: str, action: str = "copy",
@@ -57,15 +57,6 @@ def plan_transfer(manifest: DataFrame, target_root: str, action: str = "copy",
     return manifest.select(*[columns.get(f.name, F.col(f.name)).alias(f.name) for f in PLAN])
 
 
-def task_count(plan: DataFrame) -> int:
-    """Enough tasks that each has a bounded number of bytes and of files."""
-    total = plan.agg(F.sum("size").alias("bytes"), F.count("*").alias("files")).first()
-    files = total["files"]
-    wanted = max((total["bytes"] or 0) // BYTES_PER_TASK, files // FILES_PER_TASK,
-                 plan.sparkSession.sparkContext.defaultParallelism)
-    return max(1, min(wanted, files))
-
-
 def transfer(plan: DataFrame, retries: int = 3, wait_s: int = 30, key: Column | None = None,
              parallelism: int | None = None, buffer_bytes: int = BUFFER_BYTES) -> DataFrame:
     """Run the plan once and return what happened to every file.
@@ -76,12 +67,11 @@ def transfer(plan: DataFrame, retries: int = 3, wait_s: int = 30, key: Column |
     require_columns(plan, PLAN.fieldNames(), "transfer")
     plan = plan.select(*PLAN.fieldNames())
     tasks = parallelism or task_count(plan)
-    plain = F.col("action") == "copy"
-    copied = plan.where(plain).repartition(tasks).mapInPandas(
-        _copier(retries, wait_s, buffer_bytes), TRANSFERRED
-    )
+    copier = _copier(retries, wait_s, buffer_bytes)
     if key is None:
-        return materialize(copied, "transferred")
+        return materialize(spread(plan, tasks).mapInPandas(copier, TRANSFERRED), "transferred")
+    plain = F.col("action") == "copy"
+    copied = spread(plan.where(plain), tasks).mapInPandas(copier, TRANSFERRED)
     return materialize(copied, "copied").unionByName(
         _transfer_sealed(plan.where(~plain), key, retries, wait_s, tasks)
     )
@@ -105,7 +95,7 @@ class _Target:
         self.files, self.path = open_fs(uri)
         self.renames = replaces_atomically(self.files)
         folder, name = posixpath.split(self.path)
-        self.written_as = posixpath.join(folder, f".{name}.{_attempt()}.part") if self.renames else self.path
+        self.written_as = posixpath.join(folder, f".{name}.{_attempt()}{UNFINISHED}") if self.renames else self.path
         make_parent(self.files, self.path)
         metadata = {"Content-Type": content_type} if content_type and not self.renames else None
         self.stream = self.files.open_output_stream(self.written_as, compression=None, metadata=metadata)
@@ -211,7 +201,7 @@ def _transfer_sealed(plan: DataFrame, key: Column, retries: int, wait_s: int, ta
 
 
 def _seal_once(plan: DataFrame, key: Column, attempt: int, tasks: int) -> DataFrame:
-    pieces = plan.repartition(tasks).mapInPandas(_read_pieces, StructType(PLAN.fields + PIECE.fields))
+    pieces = spread(plan, tasks).mapInPandas(_read_pieces, StructType(PLAN.fields + PIECE.fields))
     place = F.concat_ws(":", "seq", F.when(F.col("last"), "last").otherwise("more"))
     turned = F.when(F.col("action") == "encrypt", crypto.encrypt("piece", key, place)).otherwise(
         crypto.decrypt("piece", key, place)
@@ -323,8 +313,6 @@ def write_files(contents: DataFrame, root: str) -> DataFrame:
     stamped = "mtime_s" in contents.columns
 
     def write_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
         for batch in batches:
             rows = []
             times = batch["mtime_s"] if stamped else [None] * len(batch)

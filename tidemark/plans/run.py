@@ -22,8 +22,8 @@ from tidemark.operators.ledger import (
     check_run_id,
     exclude_transferred,
     partition_of,
-    read_archived,
     read_ledger,
+    read_run,
     retry_set,
     sent,
     unsent,
@@ -32,7 +32,7 @@ from tidemark.operators.ledger import (
 from tidemark.operators.metrics import metrics_long
 from tidemark.operators.transfer import plan_transfer, transfer
 from tidemark.options import TransferOptions
-from tidemark.schemas import MANIFEST, METRICS, PLAN
+from tidemark.schemas import ARCHIVED, LEDGER, MANIFEST, METRICS, PLAN
 from tidemark.session import new_folder
 from tidemark.sources.fs import exists, require_folder
 from tidemark.sources.listing import scan_files, walk_files
@@ -98,13 +98,13 @@ def run_transfer(spark: SparkSession, options: TransferOptions, run_id: str, log
         key = crypto.key_from_uri(spark, options.key_uri) if options.key_uri else None
         outcome = transfer(plan, options.retries, options.wait_s, key, options.parallelism)
         write_ledger(outcome, f"{state}/ledger", options.pipeline, run_id, run_date)
-    ledger = _of_run(read_ledger(spark, f"{state}/ledger"), run_date, run_id)
+    ledger = read_run(spark, f"{state}/ledger", LEDGER, run_date, run_id)
     archived = None
     if options.archive:
         if not _complete(table("archived")):
             done = archive(ledger, options.archive, options.archive_root, options.flatten, options.parallelism)
             done.write.mode("overwrite").parquet(table("archived"))
-        archived = _of_run(read_archived(spark, f"{state}/archived"), run_date, run_id)
+        archived = read_run(spark, f"{state}/archived", ARCHIVED, run_date, run_id)
     if not _complete(table("metrics")):
         metrics_long(ledger, logical_start_ms).write.mode("overwrite").parquet(table("metrics"))
     metrics = spark.read.schema(METRICS).parquet(table("metrics"))
@@ -119,14 +119,14 @@ def _plan(spark: SparkSession, options: TransferOptions, state: str | None, last
     listed_from = max(0, from_s - options.lookback_s) if options.lookback_s else from_s
     manifest = list_manifest(spark, options, listed_from, to_s)
     if state:
-        ledger = read_ledger(spark, f"{state}/ledger").where(F.col("pipeline") == options.pipeline)
         if options.lookback_s:
+            ledger = read_ledger(spark, f"{state}/ledger").where(F.col("pipeline") == options.pipeline)
             # Files this recent can only have been sent by a run since then.
             recent = ledger.where(F.col("run_date") >= F.lit(_date(listed_from)))
             manifest = exclude_transferred(manifest, sent(recent.where(F.col("run_id") != run_id)))
         if last and last.run_id != run_id:
             # Failures are carried from run to run, so the last one has them all.
-            failed = unsent(_of_run(ledger, _date(last.to_s), last.run_id))
+            failed = unsent(read_run(spark, f"{state}/ledger", LEDGER, _date(last.to_s), last.run_id))
             # The path alone tells files apart here: a file rewritten since it failed goes once.
             manifest = retry_set(manifest, failed.select(*MANIFEST.fieldNames(), "path"), ["relpath"])
     return plan_transfer(manifest, options.target_root, options.action, options.suffix)
@@ -137,9 +137,5 @@ def _complete(table: str) -> bool:
     return exists(f"{table}/_SUCCESS")
 
 
-def _of_run(rows: DataFrame, run_date: date, run_id: str) -> DataFrame:
-    return rows.where((F.col("run_date") == F.lit(run_date)) & (F.col("run_id") == run_id))
-
-
 def _date(seconds: int) -> date:
     return datetime.fromtimestamp(seconds, timezone.utc).date()

@@ -85,10 +85,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_table(spark: SparkSession, uri: str, schema: StructType) -> DataFrame:
-    """Read a parquet table with a fixed schema; a table not written yet is empty."""
+def read_table(spark: SparkSession, uri: str, schema: StructType, base: str | None = None) -> DataFrame:
+    """Read a parquet table, or one partition of the table at ``base``; one not written yet is empty."""
+    reader = spark.read.schema(schema)
+    if base:
+        reader = reader.option("basePath", base)
     try:
-        return spark.read.schema(schema).parquet(uri)
+        return reader.parquet(uri)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

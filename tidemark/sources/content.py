@@ -8,9 +8,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from tidemark.schemas import require_columns
 from tidemark.sources.fs import open_fs
+from tidemark.spread import spread
 
 BUFFER_BYTES = 15 * 1024 * 1024
 
@@ -45,7 +47,7 @@ def checksum_files(files: DataFrame, buffer_bytes: int = BUFFER_BYTES, paralleli
 
     A file that cannot be read has a null digest, which never verifies.
     """
-    require_columns(files, ["path"], "checksum_files")
+    require_columns(files, ["path", "size"], "checksum_files")
 
     def hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -57,6 +59,4 @@ def checksum_files(files: DataFrame, buffer_bytes: int = BUFFER_BYTES, paralleli
                     digests.append(None)
             yield batch.assign(md5=pd.Series(digests, index=batch.index, dtype=object))
 
-    spread = files.repartition(parallelism) if parallelism else files
-    schema = spread.select("*", F.lit("").cast("string").alias("md5")).schema
-    return spread.mapInPandas(hash_batches, schema)
+    return spread(files, parallelism).mapInPandas(hash_batches, StructType(files.schema.fields).add("md5", StringType()))

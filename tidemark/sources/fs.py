@@ -10,6 +10,9 @@ from pyarrow import fs as pafs
 _URI = re.compile(r"\A([A-Za-z][A-Za-z0-9+.\-]*)://([^/]*)(/.*)?\Z", re.S)
 # Hadoop's names for schemes that go by another name here.
 _ALIASES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
+# Ends the name of a file that is still being written.
+UNFINISHED = ".tidemark-part"
+_OBJECT_STORES = ("s3", "gcs", "abfs")
 _OPENED: dict[tuple[str, str], pafs.FileSystem] = {}
 
 
@@ -46,8 +49,13 @@ def exists(uri: str) -> bool:
 
 
 def require_folder(uri: str) -> None:
-    """Fail early: an empty folder is fine, a missing one is an error."""
+    """Fail early: an empty folder is fine, a missing one is an error.
+
+    An object store has no folders, so there the bucket has to exist.
+    """
     files, path = open_fs(uri)
+    if files.type_name in _OBJECT_STORES:
+        path = path.split("/", 1)[0]
     if files.get_file_info(path).type != pafs.FileType.Directory:
         raise FileNotFoundError(f"folder does not exist: {uri}")
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import suppress
 
 import pandas as pd
 from pyarrow import fs as pafs
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.paths import relative_path
 from tidemark.schemas import LISTING
 from tidemark.session import new_folder
-from tidemark.sources.fs import exists, is_local, open_fs, require_folder, strip_file_scheme
+from tidemark.sources.fs import UNFINISHED, exists, is_local, open_fs, require_folder, strip_file_scheme
 
 _ROWS_PER_BATCH = 10_000
 _FOLDERS_PER_TASK = 64
@@ -41,15 +42,17 @@ def _entries(folder: str) -> Iterator[tuple[str, int, int, bool]]:
     """
     prefix = folder.rstrip("/") + "/"
     if is_local(folder):
-        with os.scandir(folder) as found:
+        with suppress(FileNotFoundError), os.scandir(folder) as found:
             for entry in found:
                 is_dir = entry.is_dir(follow_symlinks=False)
                 if is_dir or entry.is_file(follow_symlinks=False):
-                    stat = entry.stat(follow_symlinks=False)
-                    yield prefix + entry.name, stat.st_size, stat.st_mtime_ns // 1000, is_dir
+                    with suppress(FileNotFoundError):
+                        stat = entry.stat(follow_symlinks=False)
+                        yield prefix + entry.name, stat.st_size, stat.st_mtime_ns // 1000, is_dir
         return
     files, path = open_fs(folder)
-    for info in files.get_file_info(pafs.FileSelector(path)):
+    # A folder may go away between its level and the next; a root was checked.
+    for info in files.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
         if info.type in (pafs.FileType.File, pafs.FileType.Directory):
             is_dir = info.type == pafs.FileType.Directory
             yield prefix + info.base_name, info.size or 0, (info.mtime_ns or 0) // 1000, is_dir
@@ -121,7 +124,7 @@ def _iso(seconds: int) -> str:
 
 def _as_files(entries: DataFrame) -> DataFrame:
     mtime = F.timestamp_micros("mtime_us")
-    return entries.select(
+    return entries.where(~F.col("path").endswith(UNFINISHED)).select(
         "root",
         "path",
         relative_path("path", F.col("root")).alias("relpath"),

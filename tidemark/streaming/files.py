@@ -19,6 +19,8 @@ from tidemark.operators.ledger import write_ledger
 from tidemark.operators.transfer import plan_transfer, transfer
 from tidemark.sources.fs import require_folder, strip_file_scheme
 
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 # What the binary file source delivers.
 _FILE = (
     StructType()
@@ -39,6 +41,8 @@ def stream_listing(spark: SparkSession, root: str, regex: str | None = None, sub
     """
     root = strip_file_scheme(root).rstrip("/")
     require_folder(root)
+    # A batch looks up each of its files again, by default in a task of its own.
+    spark.conf.set(_LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
     reader = spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
     settings = {
         "maxFileAge": max_file_age,
