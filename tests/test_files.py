@@ -83,6 +83,10 @@ def test_walk_finds_every_regular_file_once(spark, filled):
     assert (row.size, row.mtime_s) == (4, TO)
 
 
+def test_walk_keeps_the_window_only(spark, filled):
+    assert names(walk_files(spark, str(filled / "in"), window=(FROM, TO))) == IN_WINDOW
+
+
 def test_unfinished_files_are_not_listed(spark, filled):
     put(filled / "in", ".b.csv.77-1.tidemark-part")
     assert ".b.csv.77-1.tidemark-part" not in names(walk_files(spark, str(filled / "in")))
@@ -433,7 +437,7 @@ def test_totals_and_percentiles(spark):
     totals = {(r.src, r.kind, r.level): (r.files, r.bytes, r.retries, r.max_ms) for r in run_totals(ledger, ["src", "kind"]).collect()}
     assert totals[(None, None, 3)] == (3, 35, 2, 300) and totals[("x", None, 1)] == (2, 30, 2, 300) and len(totals) == 6
     at = {r.src: r.ms_at for r in transfer_time_percentiles(ledger, ["src"], [0.5, 1.0]).collect()}
-    assert at == {"x": [100, 300], "y": [7, 7]}
+    assert at == {"x": [200.0, 300.0], "y": [7.0, 7.0]}
 
 
 def test_written_files(spark, folders):
@@ -492,3 +496,20 @@ def test_stream_transfer_accounts_for_every_batch(spark, filled):
 def test_options_are_frozen():
     with pytest.raises(dataclasses.FrozenInstanceError):
         TransferOptions("p", "/in", "/out").retries = 5
+
+
+# --- command line
+
+
+def test_job(spark, filled, capsys):
+    from tidemark.plans.job import main
+
+    arguments = [
+        "--pipeline", "p", "--source-root", str(filled / "in"), "--target-root", str(filled / "out"), "--recursive",
+        "--state-root", str(filled / "state"), "--user", "u", "--host", "h", "--wait-s", "0", "--safety-s", "bad",
+        "--run-id", "r1", "--logical-start-ms", str((TO + 300) * 1000),
+    ]
+    assert main([*arguments, "--preview"])["files"] == {"planned": 11}
+    summary = main(arguments)
+    assert summary == {"from_s": 0, "to_s": TO, "committed": True, "files": {"verified": 11}}
+    assert '"committed": true' in capsys.readouterr().out

@@ -10,7 +10,7 @@ from tidemark.functions import crypto
 from tidemark.functions import paths as P
 from tidemark.functions import times as T
 from tidemark.operators.filters import delta_filter, name_filter, regular_files, subtree_filter
-from tidemark.options import TransferOptions, safety_from_text
+from tidemark.options import TransferOptions, safety_from_text, uri_problem
 
 
 def values(spark, texts, *columns):
@@ -176,6 +176,11 @@ def test_wrong_key_fails(spark, tmp_path):
         sealed.select(crypto.decrypt("c", other, strict=True)).collect()
 
 
+def test_good_uris():
+    for uri in ("/in", "file:/in", "file:///in", "gs://my_bucket/a", "hdfs://name:8020/in", "hdfs:///in", None):
+        assert uri_problem(uri) is None
+
+
 @pytest.mark.parametrize(
     "change, words",
     [
@@ -189,6 +194,9 @@ def test_wrong_key_fails(spark, tmp_path):
         ({"archive": "rename"}, "archive_root"),
         ({"archive": "rename", "archive_root": "/in/"}, "differs"),
         ({"archive": "yes"}, "archive is one of"),
+        ({"source_root": "in"}, "source_root is neither"),
+        ({"target_root": "gs://Bad/x"}, "target_root has no valid bucket"),
+        ({"state_root": "state"}, "state_root is neither"),
         ({"direction": "up"}, "direction"),
         ({"safety_s": -1}, "safety_s"),
     ],

@@ -607,6 +607,18 @@ def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.run_totals(document_ledger(spark, sf_dir), ["source", "lang"])
 
 
+@query(f"""
+with {LEDGER_SQL}
+select lang, round(quantile_cont((end_ms - start_ms)::double, 0.5), 3) as half_ms,
+       round(quantile_cont((end_ms - start_ms)::double, 0.95), 3) as most_ms, max(end_ms - start_ms)::double as all_ms
+from ledger group by lang
+""")
+def transfer_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How long half, most and all of the files took at most."""
+    at = metrics.transfer_time_percentiles(document_ledger(spark, sf_dir), ["lang"], [0.5, 0.95, 1.0])
+    return at.select("lang", *[F.round(F.col("ms_at")[n], 3).alias(name) for n, name in enumerate(("half_ms", "most_ms", "all_ms"))])
+
+
 @query(f"""
 with {FILES_SQL}
 select source, count(*) as files, sum(size)::bigint as bytes, min('/' || relpath) as first_name,

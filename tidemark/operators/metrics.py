@@ -76,10 +76,14 @@ def run_totals(ledger: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def transfer_time_percentiles(ledger: DataFrame, by: list[str], at: list[float], accuracy: int = 10_000) -> DataFrame:
-    """Durations at the given ranks, from a mergeable summary of fixed size per group."""
-    took = elapsed_ms("start_ms", "end_ms")
-    return ledger.groupBy(*by).agg(F.percentile_approx(took, at, accuracy).alias("ms_at"))
+def transfer_time_percentiles(ledger: DataFrame, by: list[str], at: list[float]) -> DataFrame:
+    """Exact durations at the given ranks, in ms, between two values by interpolation.
+
+    Equal durations are counted before the shuffle, so what a group needs grows
+    with its different durations, not with its files.
+    """
+    counted = ledger.groupBy(*by, elapsed_ms("start_ms", "end_ms").alias("ms")).agg(F.count("*").alias("files"))
+    return counted.groupBy(*by).agg(F.percentile("ms", at, F.col("files")).alias("ms_at"))
 
 
 def listing_summary(manifest: DataFrame, by: list[str]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass, replace
 
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
@@ -10,12 +11,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.paths import ENCRYPTED_SUFFIX
 from tidemark.functions.times import DEFAULT_SAFETY_S
+from tidemark.session import qualify
 
 MAX_RETRIES = 100
 MAX_WAIT_S = 300
 DIRECTIONS = ("to_store", "to_sftp")
 ENCRYPTIONS = ("none", "aes_gcm")
 ARCHIVE_MODES = (None, "rename", "remove")
+_ROOTS = ("source_root", "target_root", "state_root", "archive_root", "key_uri")
+_OBJECT_STORES = ("gs", "s3", "s3a")
 
 
 @dataclass(frozen=True)
@@ -50,7 +54,7 @@ class TransferOptions:
     key_uri: str | None = None
     suffix: str = ENCRYPTED_SUFFIX
     preview: bool = False
-    lister: str = field(default="walk")
+    lister: str = "walk"
 
     @property
     def flatten(self) -> bool:
@@ -63,12 +67,21 @@ class TransferOptions:
             return "copy"
         return "encrypt" if self.direction == "to_store" else "decrypt"
 
+    def qualified(self, spark: SparkSession) -> TransferOptions:
+        """The same with every folder's file system named where it has to be."""
+        roots = {name: getattr(self, name) for name in _ROOTS}
+        return replace(self, **{name: qualify(spark, uri) for name, uri in roots.items() if uri})
+
     def validate(self, spark: SparkSession) -> None:
         """Raise one error that names everything wrong."""
         wrong = []
         for name in ("pipeline", "source_root", "target_root"):
             if not getattr(self, name):
                 wrong.append(f"{name} is required")
+        for name in _ROOTS:
+            problem = uri_problem(getattr(self, name))
+            if problem:
+                wrong.append(f"{name} {problem}")
         if self.direction not in DIRECTIONS:
             wrong.append(f"direction is one of {DIRECTIONS}")
         if not 0 <= self.retries <= MAX_RETRIES:
@@ -98,6 +111,18 @@ class TransferOptions:
             raise ValueError("; ".join(wrong))
 
 
+def uri_problem(uri: str | None) -> str | None:
+    """A folder is an absolute path or a URI; in an object store it starts with a well-formed bucket."""
+    if not uri or uri.startswith(("/", "file:/")):
+        return None
+    parts = re.match(r"([a-z][a-z0-9+.\-]*)://([^/]*)", uri)
+    if parts is None:
+        return "is neither an absolute path nor a URI"
+    if parts.group(1) in _OBJECT_STORES and not re.fullmatch(r"[a-z0-9\-_.]+", parts.group(2)):
+        return "has no valid bucket"
+    return None
+
+
 def regex_problem(spark: SparkSession, regex: str) -> str | None:
     """Let Spark compile the pattern on one row, before a wide job meets it."""
     try:

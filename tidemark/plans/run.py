@@ -56,7 +56,7 @@ def list_manifest(spark: SparkSession, options: TransferOptions, from_s: int, to
     if options.lister == "scan":
         files = scan_files(spark, options.source_root, from_s, to_s)
     else:
-        files = walk_files(spark, options.source_root, options.recursive, options.subtree)
+        files = walk_files(spark, options.source_root, options.recursive, options.subtree, (from_s, to_s))
     files = delta_filter(regular_files(files), from_s, to_s)
     files = name_filter(subtree_filter(files, options.subtree, options.recursive), options.regex)
     if options.direction == "to_store":
@@ -72,6 +72,7 @@ def run_transfer(spark: SparkSession, options: TransferOptions, run_id: str, log
     arrived with an old time, and sends those the ledger does not know.
     """
     options.validate(spark)
+    options = options.qualified(spark)
     check_run_id(run_id)
     require_folder(options.target_root)
     state = options.state_root.rstrip("/") if options.state_root else None

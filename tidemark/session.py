@@ -59,7 +59,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        return qualify(spark, named.rstrip("/"))
     app = spark.sparkContext.applicationId
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
@@ -68,6 +68,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_SHARED[app]
 
 
+def qualify(spark: SparkSession, uri: str) -> str:
+    """Name the file system of a bare path where the cluster's default is not the local one.
+
+    Spark reads a bare path there too, so tasks have to look in the same place.
+    """
+    if ":/" in uri:
+        return uri
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return uri if default.startswith("file:") else default.rstrip("/") + uri
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses; not created yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

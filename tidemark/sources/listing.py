@@ -23,16 +23,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.paths import relative_path
 from tidemark.schemas import LISTING
-from tidemark.session import new_folder
+from tidemark.session import new_folder, qualify
 from tidemark.sources.fs import UNFINISHED, exists, is_local, open_fs, require_folder, strip_file_scheme
 
 _ROWS_PER_BATCH = 10_000
-_FOLDERS_PER_TASK = 64
+_FOLDERS_PER_TASK = 1_000
 
 
-def _as_roots(roots: str | list[str]) -> list[str]:
+def _as_roots(spark: SparkSession, roots: str | list[str]) -> list[str]:
     roots = [roots] if isinstance(roots, str) else list(roots)
-    return [strip_file_scheme(root).rstrip("/") or "/" for root in roots]
+    return [strip_file_scheme(qualify(spark, root)).rstrip("/") or "/" for root in roots]
 
 
 def _entries(folder: str) -> Iterator[tuple[str, int, int, bool]]:
@@ -58,26 +58,35 @@ def _entries(folder: str) -> Iterator[tuple[str, int, int, bool]]:
             yield prefix + info.base_name, info.size or 0, (info.mtime_ns or 0) // 1000, is_dir
 
 
-def _list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["root", "path", "size", "mtime_us", "is_dir"]
-    rows = []
-    for batch in batches:
-        for root, folder in zip(batch["root"], batch["path"]):
-            for entry in _entries(folder):
-                rows.append((root, *entry))
-                if len(rows) >= _ROWS_PER_BATCH:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=columns)
+def _lister(window: tuple[int, int] | None):
+    def wanted(mtime_us: int, is_dir: bool) -> bool:
+        return is_dir or window is None or window[0] < mtime_us // 1_000_000 <= window[1]
 
+    def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = []
+        for batch in batches:
+            for root, folder in zip(batch["root"], batch["path"]):
+                for path, size, mtime_us, is_dir in _entries(folder):
+                    if wanted(mtime_us, is_dir):
+                        rows.append((root, path, size, mtime_us, is_dir))
+                    if len(rows) >= _ROWS_PER_BATCH:
+                        yield pd.DataFrame(rows, columns=LISTING.fieldNames())
+                        rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=LISTING.fieldNames())
 
-def walk_files(spark: SparkSession, roots: str | list[str], recursive: bool = True, subtree: str = "") -> DataFrame:
+    return list_folders
+
+
+def walk_files(spark: SparkSession, roots: str | list[str], recursive: bool = True, subtree: str = "",
+               window: tuple[int, int] | None = None) -> DataFrame:
     """Files below the roots, or below one folder of each.
 
-    A missing root raises; an empty one, or one without that folder, gives no rows.
+    A missing root raises; an empty one, or one without that folder, gives no
+    rows. With a window (from, to] in seconds the tasks keep its files only, so
+    a run over a folder full of old files writes little.
     """
-    roots = _as_roots(roots)
+    roots = _as_roots(spark, roots)
     for root in roots:
         require_folder(root)
     starts = [(root, f"{root.rstrip('/')}/{subtree.strip('/')}".rstrip("/") or "/") for root in roots]
@@ -88,7 +97,7 @@ def walk_files(spark: SparkSession, roots: str | list[str], recursive: bool = Tr
     while n_folders:
         tasks = max(1, min(n_folders, max(spark.sparkContext.defaultParallelism, n_folders // _FOLDERS_PER_TASK)))
         found_at = f"{out}/depth={depth}"
-        level.repartition(tasks).mapInPandas(_list_folders, LISTING).write.parquet(found_at)
+        level.repartition(tasks).mapInPandas(_lister(window), LISTING).write.parquet(found_at)
         if not recursive:
             break
         level = spark.read.schema(LISTING).parquet(found_at).where("is_dir").select("root", "path")
@@ -100,7 +109,7 @@ def walk_files(spark: SparkSession, roots: str | list[str], recursive: bool = Tr
 def scan_files(spark: SparkSession, roots: str | list[str], modified_after_s: int | None = None,
                modified_before_s: int | None = None) -> DataFrame:
     """The same columns by Spark's file scan; time bounds are half-open, as in the delta window."""
-    roots = _as_roots(roots)
+    roots = _as_roots(spark, roots)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if modified_after_s is not None:
         reader = reader.option("modifiedAfter", _iso(modified_after_s)).option("timeZone", "UTC")
