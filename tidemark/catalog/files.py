@@ -94,26 +94,30 @@ def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta_filter(files, FROM_S, TO_S, on="mtime").select("relpath", "size", "mtime_s")
 
 
-@query(f"""
-with {FILES_SQL}
-select relpath, size from files
-where starts_with(relpath, 'src1/en/') and substring(relpath, length('src1/en/') + 1) not like '%/%'
-""")
+@query("select doc_id || '.txt' as relpath, strlen(text)::bigint as size from documents where lang = 'en'")
 def folder_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One folder without what lies deeper."""
-    files = walk_files(spark, _exported(spark, sf_dir), recursive=False, subtree="src1/en")
-    return files.select("relpath", "size")
+    """One folder without what lies deeper: English files are in it, the others in folders below."""
+    folder = F.when(F.col("lang") != "en", F.col("lang"))
+    files = table(spark, sf_dir, "documents").select(
+        F.concat_ws("/", folder, F.concat("doc_id", F.lit(".txt"))).alias("relpath"),
+        F.encode("text", "UTF-8").alias("content"),
+    )
+    return walk_files(spark, f"{_fresh(spark, files)}/in", recursive=False).select("relpath", "size")
 
 
 @query(f"""
 with {FILES_SQL}
-select lang || '/' || doc_id || '.txt' as relpath, source as root, size from files where source in ('src1', 'src2')
+select 'documents' as listed_from, relpath, size from files
+union all select 'pages', page_id || '.html', strlen(html)::bigint from pages
 """)
 def several_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings of two folders in one."""
-    base = _exported(spark, sf_dir)
-    files = walk_files(spark, [f"{base}/src1", f"{base}/src2/"])
-    return files.select("relpath", F.substring_index("root", "/", -1).alias("root"), "size")
+    """Two folders in one listing."""
+    pages = table(spark, sf_dir, "pages").select(
+        F.concat("page_id", F.lit(".html")).alias("relpath"), F.encode("html", "UTF-8").alias("content")
+    )
+    documents_in, pages_in = _exported(spark, sf_dir), f"{_fresh(spark, pages)}/in"
+    listed_from = F.when(F.col("root") == pages_in, "pages").otherwise("documents")
+    return walk_files(spark, [documents_in, f"{pages_in}/"]).select(listed_from.alias("listed_from"), "relpath", "size")
 
 
 @query(f"with {FILES_SQL} select relpath, md5, size from files")
@@ -291,12 +295,12 @@ def remove_originals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ------------------------------------------------------------------------
 
 
-@query(f"with {FILES_SQL} select relpath, size, mtime_s from files where starts_with(relpath, 'src1/')")
+@query(f"with {FILES_SQL} select relpath, size, mtime_s from files")
 def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New files as a stream, drained into a table; a second drain adds nothing."""
     found, checkpoint = new_folder(spark, "found"), new_folder(spark, "checkpoint")
     for _ in range(2):
-        stream = stream_listing(spark, _exported(spark, sf_dir), regex=r".*\.txt", subtree="src1", max_file_age="36500d")
+        stream = stream_listing(spark, _exported(spark, sf_dir), regex=r".*\.txt", max_file_age="36500d")
         append_stream(stream, found, checkpoint).awaitTermination()
     return spark.read.parquet(found).select("relpath", "size", "mtime_s")
 

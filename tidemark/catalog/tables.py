@@ -102,25 +102,37 @@ def regex_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", P.leaf("url").alias("leaf"))
 
 
+_BY_LANGUAGE_SQL = """
+listed as (
+  select case lang when 'en' then '' else lang || '/' end || doc_id || '.txt' as relpath, strlen(text)::bigint as size
+  from documents union all select case lang when 'en' then '' else lang || '/' end, 0 from documents
+)"""
+
+
+def _by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English files at the root, the others in a folder each, and placeholders for the folders."""
+    folder = F.when(F.col("lang") == "en", "").otherwise(F.concat("lang", F.lit("/")))
+    documents = table(spark, sf_dir, "documents")
+    files = documents.select(
+        F.concat(folder, "doc_id", F.lit(".txt")).alias("relpath"), F.octet_length("text").cast("bigint").alias("size")
+    )
+    return files.unionByName(documents.select(folder.alias("relpath"), F.lit(0).cast("bigint").alias("size")))
+
+
 @query(f"""
-with {FILES_SQL}, listed as (select '/in/' || source as folder, relpath, path from files
-  union all select '/in/' || source, source || '/' || lang || '/', '/in/' || source || '/' || lang || '/' from files)
-select relpath, folder from listed
-where starts_with(relpath, 'src1/en/') and substring(relpath, length('src1/en/') + 1) not like '%/%'
-  and not ends_with(relpath, '/')
+with {_BY_LANGUAGE_SQL} select relpath, size from listed where relpath not like '%/%' and relpath <> ''
 """)
 def direct_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files directly in one folder; the folder's own placeholder is no file."""
-    files = document_files(spark, sf_dir).withColumn("folder", F.concat(F.lit("/in/"), "source"))
-    placeholders = files.select("folder", P.directory("relpath").alias("relpath"))
-    listed = files.select("folder", "relpath").unionByName(placeholders)
-    return filters.regular_files(filters.subtree_filter(listed, "src1/en")).select("relpath", "folder")
+    """Files directly in the root; its own placeholder and those of its folders are no files."""
+    return filters.regular_files(filters.subtree_filter(_by_language(spark, sf_dir), ""))
 
 
-@query(f"with {FILES_SQL} select relpath, size from files where starts_with(relpath, 'src1/')")
+@query(f"""
+with {_BY_LANGUAGE_SQL} select relpath, size from listed where starts_with(relpath, 'fr/') and not ends_with(relpath, '/')
+""")
 def subtree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All files below a folder; ``src10`` is not below ``src1``."""
-    return filters.subtree_filter(document_files(spark, sf_dir), "src1", recursive=True).select("relpath", "size")
+    """All files below a folder."""
+    return filters.regular_files(filters.subtree_filter(_by_language(spark, sf_dir), "fr", recursive=True))
 
 
 @query("""

@@ -109,8 +109,13 @@ def _put_away(mode: str):
                 if pd.isna(status):
                     # The digest of a sealed or opened file is that of its copy, not of the original.
                     md5 = row.md5_source if row.action == "copy" and pd.notna(row.md5_source) else None
+                    file = (row.path, row.size, row.mtime_s, md5, row.archive_target)
                     try:
-                        status = one(row.path, row.size, row.mtime_s, md5, row.archive_target)
+                        try:
+                            status = one(*file)
+                        except FileNotFoundError:
+                            # Another attempt of this task may have taken it away just now.
+                            status = one(*file)
                     except Exception as problem:
                         status, error = "failed", f"{type(problem).__name__}: {problem}"
                 statuses.append(status)
