@@ -5,6 +5,8 @@ import hashlib
 import os
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -298,17 +300,49 @@ def test_damaged_sealed_files_are_not_published(spark, folders):
 # --- verification
 
 
+def md5(text):
+    return None if text is None else hashlib.md5(text.encode()).hexdigest()
+
+
 def test_every_path_is_judged_once(spark):
     source = [("same", "1"), ("differs", "1"), ("gone", "1"), ("twice", "1"), ("twice", "1"), ("torn", "1"), ("torn", "2"),
-              ("sealed.pgp", "1"), ("unread", None)]
-    target = [("same", "1"), ("differs", "2"), ("new", "1"), ("twice", "1"), ("torn", "1"), ("sealed.pgp", None), ("unread", None)]
-    schema = "relpath string, md5 string"
-    checked = verify(spark.createDataFrame(source, schema), spark.createDataFrame(target, schema))
-    assert {row.relpath: row.check for row in checked.collect()} == {
+              ("sealed.pgp", "1"), ("unread", None), ("half", "1"), ("half", None)]
+    target = [("same", "1"), ("differs", "2"), ("new", "1"), ("twice", "1"), ("torn", "1"), ("sealed.pgp", None),
+              ("unread", None), ("half", "1")]
+    sides = [spark.createDataFrame([(p, md5(t)) for p, t in side], "relpath string, md5 string") for side in (source, target)]
+    checked = {row.relpath: row for row in verify(*sides).collect()}
+    assert {path: row.check for path, row in checked.items()} == {
         "same": "verified", "differs": "mismatch", "gone": "missing", "new": "unexpected", "twice": "verified",
-        "torn": "mismatch", "sealed.pgp": "exempt", "unread": "mismatch",
+        "torn": "mismatch", "sealed.pgp": "exempt", "unread": "mismatch", "half": "mismatch",
     }
-    assert checked.count() == 8
+    assert verify(*sides).count() == 9
+    assert (checked["differs"].md5_source, checked["differs"].md5_target) == (md5("1"), md5("2"))
+    assert checked["gone"].md5_target is None
+
+
+def test_both_ways_to_verify_agree(spark):
+    source = [("same", "1"), ("differs", "1"), ("gone", "1"), ("sealed.pgp", "1"), ("unread", None), ("gone.pgp", None)]
+    target = [("same", "1"), ("differs", "2"), ("new", "1"), ("sealed.pgp", None), ("unread", None), ("new.pgp", None)]
+    sides = [spark.createDataFrame(side, "relpath string, md5 string") for side in (source, target)]
+    grouped, joined = (sorted(map(tuple, verify(*sides, unique=unique).collect())) for unique in (False, True))
+    assert grouped == joined and len(grouped) == 8
+
+
+@settings(max_examples=10, deadline=None)
+@given(*[st.lists(st.tuples(st.sampled_from("abcd"), st.sampled_from(["1", "2", None])), max_size=8) for _ in range(2)])
+def test_verification_by_brute_force(spark, source, target):
+    sides = [spark.createDataFrame([(p, md5(t)) for p, t in side], "relpath string, md5 string") for side in (source, target)]
+    found = {row.relpath: row.check for row in verify(*sides).collect()}
+
+    def judge(path):
+        left, right = ([t for p, t in side if p == path] for side in (source, target))
+        if not right:
+            return "missing"
+        if not left:
+            return "unexpected"
+        return "verified" if None not in left + right and len(set(left + right)) == 1 else "mismatch"
+
+    assert found == {path: judge(path) for path in {p for p, _ in source + target}}
 
 
 def test_checksums_of_files(spark, filled):

@@ -168,7 +168,8 @@ def audited_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _exported(spark, sf_dir), _target(spark)
     manifest = store_manifest(walk_files(spark, source), "store", "gs://bucket/in")
     transfer(plan_transfer(manifest, target), wait_s=0)
-    return verify(checksum_files(walk_files(spark, source)), checksum_files(walk_files(spark, target)))
+    stored = checksum_files(walk_files(spark, target))
+    return verify(checksum_files(walk_files(spark, source)), stored, unique=True)
 
 
 @query(f"""

@@ -19,42 +19,60 @@ def check_status(source_md5: Column, target_md5: Column, exempt: Column | None =
     )
 
 
-def verify(source: DataFrame, target: DataFrame, key: str = "relpath", digest: str = "md5") -> DataFrame:
+def verify(source: DataFrame, target: DataFrame, key: str = "relpath", digest: str = "md5",
+           unique: bool = False) -> DataFrame:
     """Compare two sides by path; every path of either side comes out once.
 
     Adds ``missing`` (only at the source) and ``unexpected`` (only at the
-    target). Both sides go through one aggregation by path, which combines
-    before its shuffle: a path repeated many times is one row per task, and
-    counts as verified only when all its digests agree.
+    target). A path that occurs more than once counts as verified only when
+    all its digests agree.
+
+    Where each side is known to hold a path once, as a listing does,
+    ``unique`` compares by one full join, at about half the cost. Otherwise
+    both sides go through one aggregation by path, which combines before its
+    shuffle: a path repeated many times is one row per task.
     """
     require_columns(source, [key, digest], "verify source")
     require_columns(target, [key, digest], "verify target")
-    on_source = F.col("side") == "source"
-    sides = source.select(key, F.col(digest).alias("digest"), F.lit("source").alias("side")).unionByName(
-        target.select(key, F.col(digest).alias("digest"), F.lit("target").alias("side"))
-    )
-
-    def of(side: Column, function) -> Column:
-        return function(F.when(side, F.col("digest")))
-
-    grouped = sides.groupBy(key).agg(
-        F.count_if(on_source).alias("n_source"),
-        F.count_if(~on_source).alias("n_target"),
-        F.count("digest").alias("n_digests"),
-        of(on_source, F.min).alias("md5_source"),
-        of(~on_source, F.min).alias("md5_target"),
-        F.min("digest").alias("low"),
-        F.max("digest").alias("high"),
+    compared = (_join_sides if unique else _group_sides)(
+        source.select(key, F.col(digest).alias("digest")), target.select(key, F.col(digest).alias("digest")), key
     )
-    complete = F.col("n_digests") == F.col("n_source") + F.col("n_target")
     check = (
-        F.when(F.col("n_target") == 0, "missing")
-        .when(F.col("n_source") == 0, "unexpected")
-        .when(complete & (F.col("low") == F.col("high")), "verified")
-        .when(~complete & is_encrypted(key), "exempt")
+        F.when(~F.col("at_target"), "missing")
+        .when(~F.col("at_source"), "unexpected")
+        .when(F.col("complete") & F.col("agree"), "verified")
+        .when(~F.col("complete") & is_encrypted(key), "exempt")
         .otherwise("mismatch")
     )
-    return grouped.select(key, "md5_source", "md5_target", check.alias("check"))
+    return compared.select(key, "md5_source", "md5_target", check.alias("check"))
+
+
+def _join_sides(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    sides = source.select(key, F.col("digest").alias("md5_source"), F.lit(True).alias("at_source")).join(
+        target.select(key, F.col("digest").alias("md5_target"), F.lit(True).alias("at_target")), key, "full_outer"
+    )
+    return sides.select(
+        key,
+        "md5_source",
+        "md5_target",
+        F.coalesce("at_source", F.lit(False)).alias("at_source"),
+        F.coalesce("at_target", F.lit(False)).alias("at_target"),
+        (F.col("md5_source").isNotNull() & F.col("md5_target").isNotNull()).alias("complete"),
+        (F.col("md5_source") == F.col("md5_target")).alias("agree"),
+    )
+
+
+def _group_sides(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    of_source = F.col("of_source")
+    sides = source.withColumn("of_source", F.lit(True)).unionByName(target.withColumn("of_source", F.lit(False)))
+    return sides.groupBy(key).agg(
+        F.min(F.when(of_source, F.col("digest"))).alias("md5_source"),
+        F.min(F.when(~of_source, F.col("digest"))).alias("md5_target"),
+        (F.count_if(of_source) > 0).alias("at_source"),
+        (F.count_if(~of_source) > 0).alias("at_target"),
+        (F.count("digest") == F.count("*")).alias("complete"),
+        (F.min("digest") == F.max("digest")).alias("agree"),
+    )
 
 
 def lookup_objects(manifest: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
