@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnOrName = Column | str
+from tidemark.fixed import BUCKET_PATTERN, ENCRYPTED_SUFFIX, ENCRYPTED_TYPE, PLAIN_TYPE
 
-ENCRYPTED_SUFFIX = ".pgp"
-PLAIN_TYPE = "application/octet-stream"
-ENCRYPTED_TYPE = "application/pgp-encrypted"
+ColumnOrName = Column | str
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:/+"
 # Characters a URI fragment keeps as they are; url_encode escapes them.
@@ -64,7 +62,7 @@ def normalise_root(uri: ColumnOrName) -> Column:
 
 
 def valid_bucket(bucket: ColumnOrName) -> Column:
-    return _col(bucket).rlike(r"\A[a-z0-9\-_.]+\z")
+    return _col(bucket).rlike(rf"\A{BUCKET_PATTERN}\z")
 
 
 def escape_object_name(name: ColumnOrName) -> Column:

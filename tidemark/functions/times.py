@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.fixed import DEFAULT_SAFETY_S, WATERMARK_DIGITS
 from tidemark.functions.paths import ColumnOrName, _col
 
-DEFAULT_SAFETY_S = 300
-WATERMARK_DIGITS = 10
-
 _WHOLE_NUMBER = r"\A[+-]?[0-9]+\z"
 
 

@@ -5,23 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.fixed import METRIC_NAMES
 from tidemark.functions.paths import leaf, metric_key, strip_leading_slash
 from tidemark.functions.times import elapsed_ms, ms_to_s
 from tidemark.operators.ledger import sent
 from tidemark.schemas import require_columns
 
-# Names users look the values up by.
-METRIC_NAMES = (
-    "created_on",
-    "size_bytes",
-    "seen_on",
-    "transferred_on",
-    "transfer_retries",
-    "transfer_time",
-    "total_uploaded_files",
-)
-
-
 def retries() -> Column:
     return (F.col("attempts") - 1).cast("bigint")
 

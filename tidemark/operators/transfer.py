@@ -1,7 +1,7 @@
 """Copy the files of a plan on the executors, optionally sealing or opening them.
 
 A row of the plan is one file. Tasks carry names, never whole contents: a copy
-moves one buffer at a time, so a file's size does not matter to memory. Every
+moves one buffer at a time per file, so a file's size does not matter to memory. Every
 file is written under a name of its own attempt and published by a rename (or by
 the close, on an object store), so a repeated task does no harm. A failing file
 is a row with its error, not a failing job.
@@ -14,6 +14,7 @@ import os
 import posixpath
 import time
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark import TaskContext
@@ -21,19 +22,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.fixed import BUFFER_BYTES, DEFAULT_RETRIES, DEFAULT_WAIT_S, ENCRYPTED_SUFFIX
 from tidemark.functions import crypto
 from tidemark.functions import paths as P
 from tidemark.schemas import MANIFEST, OUTCOME, PIECE, PLAN, TRANSFERRED, require_columns
 from tidemark.session import materialize
-from tidemark.sources.content import BUFFER_BYTES, digest
+from tidemark.sources.content import digest
 from tidemark.sources.fs import UNFINISHED, make_parent, move, open_fs, replaces_atomically
-from tidemark.spread import spread, task_count
+from tidemark.spread import STREAMS_PER_TASK, spread, task_count
 
 PIECE_BYTES = 1024 * 1024
 
 
 def plan_transfer(manifest: DataFrame, target_root: str, action: str = "copy",
-                  suffix: str = P.ENCRYPTED_SUFFIX) -> DataFrame:
+                  suffix: str = ENCRYPTED_SUFFIX) -> DataFrame:
     """Where every file goes and how. This is also the preview: nothing is moved yet.
 
     ``encrypt`` seals every file and adds the suffix; ``decrypt`` opens the
@@ -57,8 +59,9 @@ def plan_transfer(manifest: DataFrame, target_root: str, action: str = "copy",
     return manifest.select(*[columns.get(f.name, F.col(f.name)).alias(f.name) for f in PLAN])
 
 
-def transfer(plan: DataFrame, retries: int = 3, wait_s: int = 30, key: Column | None = None,
-             parallelism: int | None = None, buffer_bytes: int = BUFFER_BYTES) -> DataFrame:
+def transfer(plan: DataFrame, retries: int = DEFAULT_RETRIES, wait_s: int = DEFAULT_WAIT_S, key: Column | None = None,
+             parallelism: int | None = None, buffer_bytes: int = BUFFER_BYTES,
+             streams: int = STREAMS_PER_TASK) -> DataFrame:
     """Run the plan once and return what happened to every file.
 
     The outcome is a written table: reading it again copies nothing again.
@@ -67,7 +70,7 @@ def transfer(plan: DataFrame, retries: int = 3, wait_s: int = 30, key: Column |
     require_columns(plan, PLAN.fieldNames(), "transfer")
     plan = plan.select(*PLAN.fieldNames())
     tasks = parallelism or task_count(plan)
-    copier = _copier(retries, wait_s, buffer_bytes)
+    copier = _copier(retries, wait_s, buffer_bytes, streams)
     if key is None:
         return materialize(spread(plan, tasks).mapInPandas(copier, TRANSFERRED), "transferred")
     plain = F.col("action") == "copy"
@@ -142,7 +145,7 @@ def _copy_once(path: str, uri: str, content_type: str, buffer_bytes: int) -> tup
     return target.bytes, target.md5.hexdigest(), digest(uri, buffer_bytes)
 
 
-def _copier(retries: int, wait_s: int, buffer_bytes: int):
+def _copier(retries: int, wait_s: int, buffer_bytes: int, streams: int):
     def copy_file(path: str, uri: str, content_type: str) -> tuple:
         start, error, status, attempt = _now_ms(), None, "failed", 0
         while attempt <= retries:
@@ -160,9 +163,10 @@ def _copier(retries: int, wait_s: int, buffer_bytes: int):
         return status, attempt, None, None, None, start, _now_ms(), error
 
     def copy_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            done = [copy_file(*row) for row in zip(batch["path"], batch["target"], batch["content_type"])]
-            yield _with_outcome(batch, done)
+        with ThreadPoolExecutor(streams) as pool:
+            for batch in batches:
+                done = list(pool.map(copy_file, batch["path"], batch["target"], batch["content_type"]))
+                yield _with_outcome(batch, done)
 
     return copy_batches
 

@@ -9,12 +9,18 @@ from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.paths import ENCRYPTED_SUFFIX
-from tidemark.functions.times import DEFAULT_SAFETY_S
+from tidemark.fixed import (
+    BUCKET_PATTERN,
+    DEFAULT_PORT,
+    DEFAULT_RETRIES,
+    DEFAULT_SAFETY_S,
+    DEFAULT_WAIT_S,
+    ENCRYPTED_SUFFIX,
+    MAX_RETRIES,
+    MAX_WAIT_S,
+)
 from tidemark.session import qualify
 
-MAX_RETRIES = 100
-MAX_WAIT_S = 300
 DIRECTIONS = ("to_store", "to_sftp")
 ENCRYPTIONS = ("none", "aes_gcm")
 ARCHIVE_MODES = (None, "rename", "remove")
@@ -37,7 +43,7 @@ class TransferOptions:
     connection_ref: str = ""
     user: str = ""
     host: str = ""
-    port: int = 22
+    port: int = DEFAULT_PORT
     recursive: bool = False
     regex: str | None = None
     subtree: str = ""
@@ -45,8 +51,8 @@ class TransferOptions:
     from_delta: int | None = None
     lookback_s: int = 0
     state_root: str | None = None
-    retries: int = 3
-    wait_s: int = 30
+    retries: int = DEFAULT_RETRIES
+    wait_s: int = DEFAULT_WAIT_S
     parallelism: int | None = None
     archive: str | None = None
     archive_root: str | None = None
@@ -118,7 +124,7 @@ def uri_problem(uri: str | None) -> str | None:
     parts = re.match(r"([a-z][a-z0-9+.\-]*)://([^/]*)", uri)
     if parts is None:
         return "is neither an absolute path nor a URI"
-    if parts.group(1) in _OBJECT_STORES and not re.fullmatch(r"[a-z0-9\-_.]+", parts.group(2)):
+    if parts.group(1) in _OBJECT_STORES and not re.fullmatch(BUCKET_PATTERN, parts.group(2)):
         return "has no valid bucket"
     return None
 

@@ -124,7 +124,8 @@ def _plan(spark: SparkSession, options: TransferOptions, state: str | None, last
             ledger = read_ledger(spark, f"{state}/ledger").where(F.col("pipeline") == options.pipeline)
             # Files this recent can only have been sent by a run since then.
             recent = ledger.where(F.col("run_date") >= F.lit(_date(listed_from)))
-            manifest = exclude_transferred(manifest, sent(recent.where(F.col("run_id") != run_id)))
+            done = delta_filter(sent(recent.where(F.col("run_id") != run_id)), listed_from, to_s)
+            manifest = exclude_transferred(manifest, done)
         if last and last.run_id != run_id:
             # Failures are carried from run to run, so the last one has them all.
             failed = unsent(read_run(spark, f"{state}/ledger", LEDGER, _date(last.to_s), last.run_id))

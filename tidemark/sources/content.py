@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from tidemark.fixed import BUFFER_BYTES
 from tidemark.schemas import require_columns
 from tidemark.sources.fs import open_fs
-from tidemark.spread import spread
-
-BUFFER_BYTES = 15 * 1024 * 1024
-
+from tidemark.spread import STREAMS_PER_TASK, spread
 
 def read_content(spark: SparkSession, roots: str | list[str]) -> DataFrame:
     """path, content, size, mtime of whole files; each has to fit in a row. Empty files give none."""
@@ -42,21 +41,24 @@ def digest(uri: str, buffer_bytes: int = BUFFER_BYTES) -> str:
     return md5.hexdigest()
 
 
-def checksum_files(files: DataFrame, buffer_bytes: int = BUFFER_BYTES, parallelism: int | None = None) -> DataFrame:
+def checksum_files(files: DataFrame, buffer_bytes: int = BUFFER_BYTES, parallelism: int | None = None,
+                   streams: int = STREAMS_PER_TASK) -> DataFrame:
     """Add ``md5`` to a listing by reading every file once, whatever its size.
 
     A file that cannot be read has a null digest, which never verifies.
     """
     require_columns(files, ["path", "size"], "checksum_files")
 
+    def digest_or_none(path: str) -> str | None:
+        try:
+            return digest(path, buffer_bytes)
+        except OSError:
+            return None
+
     def hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            digests = []
-            for path in batch["path"]:
-                try:
-                    digests.append(digest(path, buffer_bytes))
-                except OSError:
-                    digests.append(None)
-            yield batch.assign(md5=pd.Series(digests, index=batch.index, dtype=object))
+        with ThreadPoolExecutor(streams) as pool:
+            for batch in batches:
+                digests = list(pool.map(digest_or_none, batch["path"]))
+                yield batch.assign(md5=pd.Series(digests, index=batch.index, dtype=object))
 
     return spread(files, parallelism).mapInPandas(hash_batches, StructType(files.schema.fields).add("md5", StringType()))

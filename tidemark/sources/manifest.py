@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.fixed import DEFAULT_PORT
 from tidemark.functions import paths as P
 from tidemark.schemas import MANIFEST, require_columns
 
 _LISTED = ("root", "path", "relpath", "size", "mtime_s", "mtime")
 
 
-def sftp_manifest(files: DataFrame, connection_ref: str, user: str, host: str, port: int = 22,
+def sftp_manifest(files: DataFrame, connection_ref: str, user: str, host: str, port: int = DEFAULT_PORT,
                   root: str | None = None) -> DataFrame:
     """``filename`` is the path below the root with its slash, ``basename`` the file's folder.
 

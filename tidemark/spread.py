@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 BYTES_PER_TASK = 1024 * 1024 * 1024
 FILES_PER_TASK = 2_000
+# Files a task works on at once: a remote store answers slowly, and a core should not wait for it.
+STREAMS_PER_TASK = 4
 # More tasks than this in one stage burden the driver; each then gets more files.
 MAX_TASKS = 100_000
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType, TimestampType
 
+from tidemark.fixed import DEFAULT_RETRIES, DEFAULT_WAIT_S
 from tidemark.functions.paths import relative_path
 from tidemark.operators.filters import name_filter, regular_files, subtree_filter
 from tidemark.operators.ledger import write_ledger
@@ -77,7 +78,7 @@ def append_stream(stream: DataFrame, table_uri: str, checkpoint_uri: str) -> Str
 
 
 def stream_transfer(manifest_stream: DataFrame, target_root: str, ledger_uri: str, checkpoint_uri: str,
-                    pipeline: str, retries: int = 3, wait_s: int = 30) -> StreamingQuery:
+                    pipeline: str, retries: int = DEFAULT_RETRIES, wait_s: int = DEFAULT_WAIT_S) -> StreamingQuery:
     """Copy every micro-batch and account for it; a batch run again replaces its ledger partition."""
     require_folder(target_root)
 
