@@ -445,8 +445,19 @@ def test_missing_watermark_text_means_the_beginning(spark, tmp_path):
 
 
 def test_bad_run_id(spark, filled):
-    with pytest.raises(ValueError, match="run_id"):
+    with pytest.raises(ValueError, match="names hold"):
         run_transfer(spark, options(filled), "a/b", TO * 1000)
+    with pytest.raises(ValueError, match="names hold"):
+        run_transfer(spark, options(filled, pipeline="a b"), "r1", TO * 1000)
+
+
+def test_pipelines_share_state_without_meeting(spark, filled):
+    (filled / "other").mkdir()
+    run_transfer(spark, options(filled, subtree="sub"), "r1", TO * 1000)
+    other = run_transfer(spark, options(filled, pipeline="q", target_root=str(filled / "other")), "r1", TO * 1000)
+    assert (filled / "other/b.csv").exists() and not (filled / "out/b.csv").exists()
+    assert {(r.pipeline, r.run_id) for r in other.metrics.collect()} == {("q", "r1")}
+    assert L.read_ledger(spark, f"{filled}/state/ledger").where("pipeline = 'p'").count() == 1
 
 
 def test_late_file_is_found_by_looking_back(spark, filled):

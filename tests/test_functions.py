@@ -10,6 +10,7 @@ from tidemark.functions import crypto
 from tidemark.functions import paths as P
 from tidemark.functions import times as T
 from tidemark.operators.filters import delta_filter, name_filter, regular_files, subtree_filter
+from tidemark.sources.fs import split_uri
 from tidemark.options import TransferOptions, safety_from_text, uri_problem
 
 
@@ -176,6 +177,14 @@ def test_wrong_key_fails(spark, tmp_path):
         sealed.select(crypto.decrypt("c", other, strict=True)).collect()
 
 
+def test_split_uris():
+    assert split_uri("/a b/%20") == ("file", "", "/a b/%20")
+    assert split_uri("file:///a") == split_uri("file:/a") == ("file", "", "/a")
+    assert split_uri("s3a://bucket/a b") == ("s3", "bucket", "bucket/a b")
+    assert split_uri("gs://bucket") == ("gs", "bucket", "bucket/")
+    assert split_uri("hdfs://name:8020/a") == ("hdfs", "name:8020", "/a")
+
+
 def test_good_uris():
     for uri in ("/in", "file:/in", "file:///in", "gs://my_bucket/a", "hdfs://name:8020/in", "hdfs:///in", None):
         assert uri_problem(uri) is None

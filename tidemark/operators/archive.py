@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.paths import archive_path
 from tidemark.operators.ledger import sent
-from tidemark.schemas import require_columns
+from tidemark.schemas import PUT_AWAY, require_columns
 from tidemark.session import materialize
 from tidemark.sources.content import digest
 from tidemark.sources.fs import exists, make_parent, move, open_fs
@@ -21,8 +21,6 @@ from tidemark.spread import spread
 # at most (files / HOT_NAME) such names, whatever the data.
 HOT_NAME = 100_000
 
-_RESULT = "relpath string, mtime_s bigint, archive_target string, archive_status string, archive_error string"
-
 
 def archive(ledger: DataFrame, mode: str, target: str | None = None, flatten: bool = False,
             parallelism: int | None = None, hot_name: int = HOT_NAME) -> DataFrame:
@@ -45,7 +43,7 @@ def archive(ledger: DataFrame, mode: str, target: str | None = None, flatten: bo
     rows = rows.withColumn("refused", F.when(F.col("path") == F.col("archive_target"), "same_path"))
     if mode == "rename" and flatten:
         rows = _refuse_collisions(rows, hot_name)
-    done = spread(rows, parallelism).mapInPandas(_put_away(mode), _RESULT)
+    done = spread(rows, parallelism).mapInPandas(_put_away(mode), PUT_AWAY)
     skipped = ledger.where(~F.col("check").isin("verified", "exempt")).select(
         "relpath",
         "mtime_s",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,36 +18,41 @@ from tidemark.session import read_table
 VERSION = ["relpath", "mtime_s"]
 
 
-def check_run_id(run_id: str) -> None:
-    """A run's name is also the name of its partition."""
-    if not re.fullmatch(r"[A-Za-z0-9._\-]+", run_id):
-        raise ValueError(f"run_id holds letters, digits, '.', '_' and '-' only: {run_id!r}")
+@dataclass(frozen=True)
+class Run:
+    """One run of a pipeline. Its name is also that of its partition in every table."""
 
+    pipeline: str
+    date: date
+    id: str
 
-def partition_of(uri: str, run_date: date, run_id: str) -> str:
-    return f"{uri.rstrip('/')}/run_date={run_date.isoformat()}/run_id={run_id}"
+    def __post_init__(self) -> None:
+        for name in (self.pipeline, self.id):
+            if not re.fullmatch(r"[A-Za-z0-9._\-]+", name):
+                raise ValueError(f"a run's names hold letters, digits, '.', '_' and '-' only: {name!r}")
 
+    def partition_of(self, uri: str) -> str:
+        return f"{uri.rstrip('/')}/pipeline={self.pipeline}/run_date={self.date.isoformat()}/run_id={self.id}"
 
-def write_ledger(transferred: DataFrame, uri: str, pipeline: str, run_id: str, run_date: date) -> DataFrame:
-    """Add the check to the outcome and write it as the run's own partition.
 
-    Writing a run again replaces its partition, so a repeated run leaves one
-    account of it.
-    """
+def write_run(rows: DataFrame, uri: str, run: Run) -> None:
+    """Write a run's rows as its own partition; writing a run again replaces it."""
+    rows.write.mode("overwrite").parquet(run.partition_of(uri))
+
+
+def read_run(spark: SparkSession, uri: str, schema: StructType, run: Run) -> DataFrame:
+    """One run's partition, without listing the others."""
+    return read_table(spark, run.partition_of(uri), schema, base=uri)
+
+
+def write_ledger(transferred: DataFrame, uri: str, run: Run) -> DataFrame:
+    """Account for a run: every file's outcome and the check of its copy."""
     check = F.when(
         F.col("status") == "copied",
         check_status(F.col("md5_source"), F.col("md5_target"), is_encrypted("target")),
     ).otherwise(F.col("status"))
-    rows = transferred.select("*", check.alias("check"), F.lit(pipeline).alias("pipeline"))
-    check_run_id(run_id)
-    path = partition_of(uri, run_date, run_id)
-    rows.write.mode("overwrite").parquet(path)
-    return read_run(transferred.sparkSession, uri, LEDGER, run_date, run_id)
-
-
-def read_run(spark: SparkSession, uri: str, schema: StructType, run_date: date, run_id: str) -> DataFrame:
-    """One run's partition, without listing the others."""
-    return read_table(spark, partition_of(uri, run_date, run_id), schema, base=uri)
+    write_run(transferred.select("*", check.alias("check")), uri, run)
+    return read_run(transferred.sparkSession, uri, LEDGER, run)
 
 
 def read_ledger(spark: SparkSession, uri: str) -> DataFrame:

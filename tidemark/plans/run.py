@@ -19,15 +19,15 @@ from tidemark.functions.times import window_bounds
 from tidemark.operators.archive import archive
 from tidemark.operators.filters import delta_filter, name_filter, regular_files, subtree_filter
 from tidemark.operators.ledger import (
-    check_run_id,
+    Run,
     exclude_transferred,
-    partition_of,
     read_ledger,
     read_run,
     retry_set,
     sent,
     unsent,
     write_ledger,
+    write_run,
 )
 from tidemark.operators.metrics import metrics_long
 from tidemark.operators.transfer import plan_transfer, transfer
@@ -73,7 +73,6 @@ def run_transfer(spark: SparkSession, options: TransferOptions, run_id: str, log
     """
     options.validate(spark)
     options = options.qualified(spark)
-    check_run_id(run_id)
     require_folder(options.target_root)
     state = options.state_root.rstrip("/") if options.state_root else None
     last = read_watermark(spark, f"{state}/watermarks", options.pipeline) if state else None
@@ -82,61 +81,56 @@ def run_transfer(spark: SparkSession, options: TransferOptions, run_id: str, log
     )
     if last and last.run_id == run_id:
         from_s, to_s = last.from_s, last.to_s
+    run = Run(options.pipeline, _date(to_s), run_id)
     if options.preview:
-        return RunResult(from_s, to_s, _plan(spark, options, state, last, run_id, from_s, to_s))
-
-    state = state or new_folder(spark, f"run-{run_id}")
-    run_date = _date(to_s)
-
-    def table(step: str) -> str:
-        return partition_of(f"{state}/{step}", run_date, run_id)
+        return RunResult(from_s, to_s, _plan(spark, options, state, last, run, from_s, to_s))
 
+    tables = state or new_folder(spark, f"run-{run_id}")
+    plans, ledgers, archives, measured = (f"{tables}/{name}" for name in ("plans", "ledger", "archived", "metrics"))
     # New files may arrive while we work: what was listed once is the plan.
-    if not _complete(table("plans")):
-        _plan(spark, options, state, last, run_id, from_s, to_s).write.mode("overwrite").parquet(table("plans"))
-    plan = spark.read.schema(PLAN).parquet(table("plans"))
-    if not _complete(table("ledger")):
+    if not _complete(plans, run):
+        write_run(_plan(spark, options, state, last, run, from_s, to_s), plans, run)
+    plan = spark.read.schema(PLAN).parquet(run.partition_of(plans))
+    if not _complete(ledgers, run):
         key = crypto.key_from_uri(spark, options.key_uri) if options.key_uri else None
-        outcome = transfer(plan, options.retries, options.wait_s, key, options.parallelism)
-        write_ledger(outcome, f"{state}/ledger", options.pipeline, run_id, run_date)
-    ledger = read_run(spark, f"{state}/ledger", LEDGER, run_date, run_id)
-    archived = None
-    if options.archive:
-        if not _complete(table("archived")):
-            done = archive(ledger, options.archive, options.archive_root, options.flatten, options.parallelism)
-            done.write.mode("overwrite").parquet(table("archived"))
-        archived = read_run(spark, f"{state}/archived", ARCHIVED, run_date, run_id)
-    if not _complete(table("metrics")):
-        metrics_long(ledger, logical_start_ms).write.mode("overwrite").parquet(table("metrics"))
-    metrics = spark.read.schema(METRICS).parquet(table("metrics"))
-    committed = bool(options.state_root) and commit_watermark(
+        write_ledger(transfer(plan, options.retries, options.wait_s, key, options.parallelism), ledgers, run)
+    ledger = read_run(spark, ledgers, LEDGER, run)
+    if options.archive and not _complete(archives, run):
+        done = archive(ledger, options.archive, options.archive_root, options.flatten, options.parallelism)
+        write_run(done, archives, run)
+    if not _complete(measured, run):
+        write_run(metrics_long(ledger, logical_start_ms).select("file", "metric", "value"), measured, run)
+    committed = bool(state) and commit_watermark(
         spark, f"{state}/watermarks", options.pipeline, from_s, to_s, run_id
     )
-    return RunResult(from_s, to_s, plan, ledger, archived, metrics, committed)
+    archived = read_run(spark, archives, ARCHIVED, run) if options.archive else None
+    return RunResult(from_s, to_s, plan, ledger, archived, read_run(spark, measured, METRICS, run), committed)
 
 
-def _plan(spark: SparkSession, options: TransferOptions, state: str | None, last: Row | None, run_id: str,
+def _plan(spark: SparkSession, options: TransferOptions, state: str | None, last: Row | None, run: Run,
           from_s: int, to_s: int) -> DataFrame:
     listed_from = max(0, from_s - options.lookback_s) if options.lookback_s else from_s
     manifest = list_manifest(spark, options, listed_from, to_s)
     if state:
         if options.lookback_s:
-            ledger = read_ledger(spark, f"{state}/ledger").where(F.col("pipeline") == options.pipeline)
             # Files this recent can only have been sent by a run since then.
-            recent = ledger.where(F.col("run_date") >= F.lit(_date(listed_from)))
-            done = delta_filter(sent(recent.where(F.col("run_id") != run_id)), listed_from, to_s)
-            manifest = exclude_transferred(manifest, done)
-        if last and last.run_id != run_id:
+            recent = read_ledger(spark, f"{state}/ledger").where(
+                (F.col("pipeline") == run.pipeline)
+                & (F.col("run_date") >= F.lit(_date(listed_from)))
+                & (F.col("run_id") != run.id)
+            )
+            manifest = exclude_transferred(manifest, delta_filter(sent(recent), listed_from, to_s))
+        if last and last.run_id != run.id:
             # Failures are carried from run to run, so the last one has them all.
-            failed = unsent(read_run(spark, f"{state}/ledger", LEDGER, _date(last.to_s), last.run_id))
+            before = read_run(spark, f"{state}/ledger", LEDGER, Run(run.pipeline, _date(last.to_s), last.run_id))
             # The path alone tells files apart here: a file rewritten since it failed goes once.
-            manifest = retry_set(manifest, failed.select(*MANIFEST.fieldNames(), "path"), ["relpath"])
+            manifest = retry_set(manifest, unsent(before).select(*MANIFEST.fieldNames(), "path"), ["relpath"])
     return plan_transfer(manifest, options.target_root, options.action, options.suffix)
 
 
-def _complete(table: str) -> bool:
+def _complete(table: str, run: Run) -> bool:
     """Spark leaves this marker when, and only when, the whole table is written."""
-    return exists(f"{table}/_SUCCESS")
+    return exists(f"{run.partition_of(table)}/_SUCCESS")
 
 
 def _date(seconds: int) -> date:

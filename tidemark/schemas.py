@@ -71,21 +71,22 @@ PIECE = _schema(
 
 TRANSFERRED = StructType(PLAN.fields + OUTCOME.fields)
 
-LEDGER = StructType(
-    TRANSFERRED.fields
-    + _schema(("check", _STRING), ("pipeline", _STRING), ("run_date", DateType()), ("run_id", _STRING)).fields
-)
+# Every table of a run is partitioned by these.
+RUN = _schema(("pipeline", _STRING), ("run_date", DateType()), ("run_id", _STRING))
+
+LEDGER = StructType(TRANSFERRED.fields + _schema(("check", _STRING)).fields + RUN.fields)
 
-ARCHIVED = _schema(
+# What became of each original.
+PUT_AWAY = _schema(
     ("relpath", _STRING),
     ("mtime_s", _LONG),
     ("archive_target", _STRING),
     ("archive_status", _STRING),
     ("archive_error", _STRING),
-    ("run_date", DateType()),
-    ("run_id", _STRING),
 )
 
+ARCHIVED = StructType(PUT_AWAY.fields + RUN.fields)
+
 WATERMARKS = _schema(
     ("pipeline", _STRING),
     ("from_s", _LONG),
@@ -94,9 +95,7 @@ WATERMARKS = _schema(
     ("committed_at", TimestampType()),
 )
 
-METRICS = _schema(
-    ("pipeline", _STRING), ("run_id", _STRING), ("file", _STRING), ("metric", _STRING), ("value", _LONG)
-)
+METRICS = StructType(_schema(("file", _STRING), ("metric", _STRING), ("value", _LONG)).fields + RUN.fields)
 
 
 def require_columns(df: DataFrame, names: Iterable[str], operator: str) -> None:

@@ -24,23 +24,27 @@ def is_local(uri: str) -> bool:
     return _URI.match(strip_file_scheme(uri)) is None
 
 
-def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and the raw path in it; one client per authority and process."""
+def split_uri(uri: str) -> tuple[str, str, str]:
+    """Scheme, authority and the raw path as the file system wants it; nothing is percent-decoded."""
     uri = strip_file_scheme(uri)
     match = _URI.match(uri)
     if match is None:
-        key, path = ("file", ""), uri
-    else:
-        scheme, authority, path = match.group(1).lower(), match.group(2), match.group(3) or "/"
-        key = (_ALIASES.get(scheme, scheme), authority)
-        if scheme not in ("hdfs", "viewfs"):
-            path = authority + path
-    if key not in _OPENED:
-        if key[0] == "file":
-            _OPENED[key] = pafs.LocalFileSystem()
-        else:
-            _OPENED[key] = pafs.FileSystem.from_uri(f"{key[0]}://{key[1]}/")[0]
-    return _OPENED[key], path
+        return "file", "", uri
+    scheme, authority, path = match.group(1).lower(), match.group(2), match.group(3) or "/"
+    if scheme not in ("hdfs", "viewfs"):
+        path = authority + path
+    return _ALIASES.get(scheme, scheme), authority, path
+
+
+def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and the raw path in it; one client per authority and process."""
+    scheme, authority, path = split_uri(uri)
+    if (scheme, authority) not in _OPENED:
+        local = scheme == "file"
+        _OPENED[scheme, authority] = (
+            pafs.LocalFileSystem() if local else pafs.FileSystem.from_uri(f"{scheme}://{authority}/")[0]
+        )
+    return _OPENED[scheme, authority], path
 
 
 def exists(uri: str) -> bool:
@@ -66,7 +70,9 @@ def make_folder(uri: str) -> None:
 
 
 def make_parent(files: pafs.FileSystem, path: str) -> None:
-    files.create_dir(posixpath.dirname(path), recursive=True)
+    """An object store needs no folders, and would keep them as empty objects."""
+    if files.type_name not in _OBJECT_STORES:
+        files.create_dir(posixpath.dirname(path), recursive=True)
 
 
 def replaces_atomically(files: pafs.FileSystem) -> bool:

@@ -16,7 +16,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructType, Time
 from tidemark.fixed import DEFAULT_RETRIES, DEFAULT_WAIT_S
 from tidemark.functions.paths import relative_path
 from tidemark.operators.filters import name_filter, regular_files, subtree_filter
-from tidemark.operators.ledger import write_ledger
+from tidemark.operators.ledger import Run, write_ledger
 from tidemark.operators.transfer import plan_transfer, transfer
 from tidemark.sources.fs import require_folder, strip_file_scheme
 
@@ -88,7 +88,7 @@ def stream_transfer(manifest_stream: DataFrame, target_root: str, ledger_uri: st
         if newest is not None:
             outcome = transfer(plan_transfer(batch, target_root), retries, wait_s)
             run_date = datetime.fromtimestamp(newest, timezone.utc).date()
-            write_ledger(outcome, ledger_uri, pipeline, f"{pipeline}-batch-{batch_id}", run_date)
+            write_ledger(outcome, ledger_uri, Run(pipeline, run_date, f"batch-{batch_id}"))
 
     return (
         manifest_stream.writeStream.foreachBatch(copy_batch)
