@@ -247,6 +247,32 @@ def test_task_count_follows_files_and_bytes(spark):
     assert task_count(plan(500, 2**30)) == 500
 
 
+def test_times_survive_the_hour_that_occurs_twice(spark, folders):
+    """Both files are from half past two, local time, one hour apart."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    first, second = 1_729_989_000, 1_729_992_600
+    put(folders / "in", "a", b"a", first)
+    put(folders / "in", "b", b"b", second)
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+    try:
+        run = run_transfer(spark, options(folders), "r1", second * 1000)
+        times = run.ledger.select("relpath", "mtime_s", F.unix_seconds("mtime").alias("mtime"))
+        assert sorted(map(tuple, times.collect())) == [("a", first, first), ("b", second, second)]
+        hashed = checksum_files(walk_files(spark, str(folders / "in")))
+        assert sorted(r[0] for r in hashed.select(F.unix_seconds("mtime")).collect()) == [first, second]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_sealing_without_a_key_is_refused(spark, filled):
+    manifest = sftp_manifest(walk_files(spark, str(filled / "in")), "c", "u", "h")
+    with pytest.raises(ValueError, match="needs a key"):
+        transfer(plan_transfer(manifest, str(filled / "out"), "encrypt"))
+    assert not any((filled / "out").iterdir())
+    with pytest.raises(ValueError, match="action"):
+        plan_transfer(manifest, str(filled / "out"), "zip")
+
+
 # --- encryption
 
 

@@ -27,9 +27,9 @@ def archive(ledger: DataFrame, mode: str, target: str | None = None, flatten: bo
     """Move (``rename``) or delete (``remove``) the originals of files that were sent.
 
     One result row per file: ``archived``, ``removed``, ``collision`` (two
-    originals would get the same name, or another file has it; none is moved), ``same_path``,
-    ``changed`` (rewritten since it was copied; left in place), ``failed`` or
-    ``skipped``. Repeating it is safe.
+    originals would get the same name, or another file has it; none is moved),
+    ``same_path``, ``changed`` (rewritten since it was copied; left in place),
+    ``failed`` or ``skipped``. Repeating it is safe.
     """
     require_columns(ledger, ["relpath", "mtime_s", "path", "size", "md5_source", "action", "check"], "archive")
     if mode not in ("rename", "remove"):

@@ -1,10 +1,10 @@
 """Copy the files of a plan on the executors, optionally sealing or opening them.
 
 A row of the plan is one file. Tasks carry names, never whole contents: a copy
-moves one buffer at a time per file, so a file's size does not matter to memory. Every
-file is written under a name of its own attempt and published by a rename (or by
-the close, on an object store), so a repeated task does no harm. A failing file
-is a row with its error, not a failing job.
+moves one buffer at a time per file, so a file's size does not matter to memory.
+Every file is written under a name of its own attempt and published by a rename
+(or by the close, on an object store), so a repeated task does no harm. A
+failing file is a row with its error, not a failing job.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ from tidemark.schemas import MANIFEST, OUTCOME, PIECE, PLAN, TRANSFERRED, requir
 from tidemark.session import materialize
 from tidemark.sources.content import digest
 from tidemark.sources.fs import UNFINISHED, make_parent, move, open_fs, replaces_atomically
-from tidemark.spread import STREAMS_PER_TASK, spread, task_count
+from tidemark.spread import STREAMS_PER_TASK, flat_schema, flatten_times, map_files, restore_times, spread, task_count
 
 PIECE_BYTES = 1024 * 1024
+ACTIONS = ("copy", "encrypt", "decrypt")
 
 
 def plan_transfer(manifest: DataFrame, target_root: str, action: str = "copy",
@@ -42,6 +43,8 @@ def plan_transfer(manifest: DataFrame, target_root: str, action: str = "copy",
     files that carry the suffix, strips it, and copies the others as they are.
     """
     require_columns(manifest, [*MANIFEST.fieldNames(), "path"], "plan_transfer")
+    if action not in ACTIONS:
+        raise ValueError(f"plan_transfer: action is one of {ACTIONS}, not {action!r}")
     below = F.col("relpath")
     step = F.lit(action)
     if action == "encrypt":
@@ -70,14 +73,14 @@ def transfer(plan: DataFrame, retries: int = DEFAULT_RETRIES, wait_s: int = DEFA
     require_columns(plan, PLAN.fieldNames(), "transfer")
     plan = plan.select(*PLAN.fieldNames())
     tasks = parallelism or task_count(plan)
-    copier = _copier(retries, wait_s, buffer_bytes, streams)
-    if key is None:
-        return materialize(spread(plan, tasks).mapInPandas(copier, TRANSFERRED), "transferred")
     plain = F.col("action") == "copy"
-    copied = spread(plan.where(plain), tasks).mapInPandas(copier, TRANSFERRED)
-    return materialize(copied, "copied").unionByName(
-        _transfer_sealed(plan.where(~plain), key, retries, wait_s, tasks)
-    )
+    if key is None and not plan.where(~plain).isEmpty():
+        raise ValueError("transfer: the plan encrypts or decrypts, which needs a key")
+    copied = map_files(plan.where(plain), _copier(retries, wait_s, buffer_bytes, streams), OUTCOME, tasks)
+    copied = materialize(copied, "transferred")
+    if key is None:
+        return copied
+    return copied.unionByName(_transfer_sealed(plan.where(~plain), key, retries, wait_s, tasks))
 
 
 def _now_ms() -> int:
@@ -205,14 +208,15 @@ def _transfer_sealed(plan: DataFrame, key: Column, retries: int, wait_s: int, ta
 
 
 def _seal_once(plan: DataFrame, key: Column, attempt: int, tasks: int) -> DataFrame:
-    pieces = spread(plan, tasks).mapInPandas(_read_pieces, StructType(PLAN.fields + PIECE.fields))
+    pieces = flatten_times(spread(plan, tasks)).mapInPandas(
+        _read_pieces, flat_schema(StructType(PLAN.fields + PIECE.fields))
+    )
     place = F.concat_ws(":", "seq", F.when(F.col("last"), "last").otherwise("more"))
     turned = F.when(F.col("action") == "encrypt", crypto.encrypt("piece", key, place)).otherwise(
         crypto.decrypt("piece", key, place)
     )
-    return pieces.withColumn("piece", turned).mapInPandas(
-        _piece_writer(attempt), TRANSFERRED
-    )
+    written = pieces.withColumn("piece", turned).mapInPandas(_piece_writer(attempt), flat_schema(TRANSFERRED))
+    return restore_times(written, TRANSFERRED)
 
 
 def _raw_pieces(stream) -> Iterator[bytes]:

@@ -92,7 +92,7 @@ def run_transfer(spark: SparkSession, options: TransferOptions, run_id: str, log
         write_run(_plan(spark, options, state, last, run, from_s, to_s), plans, run)
     plan = spark.read.schema(PLAN).parquet(run.partition_of(plans))
     if not _complete(ledgers, run):
-        key = crypto.key_from_uri(spark, options.key_uri) if options.key_uri else None
+        key = crypto.key_from_uri(spark, options.key_uri) if options.encryption != "none" else None
         write_ledger(transfer(plan, options.retries, options.wait_s, key, options.parallelism), ledgers, run)
     ledger = read_run(spark, ledgers, LEDGER, run)
     if options.archive and not _complete(archives, run):

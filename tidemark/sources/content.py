@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 from tidemark.fixed import BUFFER_BYTES
 from tidemark.schemas import require_columns
 from tidemark.sources.fs import open_fs
-from tidemark.spread import STREAMS_PER_TASK, spread
+from tidemark.spread import STREAMS_PER_TASK, map_files
 
 def read_content(spark: SparkSession, roots: str | list[str]) -> DataFrame:
     """path, content, size, mtime of whole files; each has to fit in a row. Empty files give none."""
@@ -61,4 +61,4 @@ def checksum_files(files: DataFrame, buffer_bytes: int = BUFFER_BYTES, paralleli
                 digests = list(pool.map(digest_or_none, batch["path"]))
                 yield batch.assign(md5=pd.Series(digests, index=batch.index, dtype=object))
 
-    return spread(files, parallelism).mapInPandas(hash_batches, StructType(files.schema.fields).add("md5", StringType()))
+    return map_files(files, hash_batches, StructType().add("md5", StringType()), parallelism)

@@ -1,9 +1,10 @@
-"""How many tasks work on files gets. A table of names is small; the work behind it is not."""
+"""Python work on files: how many tasks it gets, and how rows get there and back unchanged."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 BYTES_PER_TASK = 1024 * 1024 * 1024
 FILES_PER_TASK = 2_000
@@ -14,7 +15,10 @@ MAX_TASKS = 100_000
 
 
 def task_count(files: DataFrame) -> int:
-    """Enough tasks that each has a bounded number of bytes (by ``size``) and of files."""
+    """Enough tasks that each has a bounded number of bytes (by ``size``) and of files.
+
+    The table of names is small; the work behind it is not.
+    """
     total = files.agg(F.sum("size").alias("bytes"), F.count("*").alias("files")).first()
     wanted = max(
         (total["bytes"] or 0) // BYTES_PER_TASK,
@@ -27,3 +31,30 @@ def task_count(files: DataFrame) -> int:
 def spread(files: DataFrame, tasks: int | None = None) -> DataFrame:
     """Deal the files out one by one, so that neither a folder nor an order of sizes makes a slow task."""
     return files.repartition(tasks or task_count(files))
+
+
+# Times pass through Python as whole microseconds. As local times, which pandas
+# would make of them, the hour that occurs twice a year could not be told apart.
+
+
+def flat_schema(schema: StructType) -> StructType:
+    return StructType(
+        [StructField(f.name, LongType()) if isinstance(f.dataType, TimestampType) else f for f in schema.fields]
+    )
+
+
+def flatten_times(df: DataFrame) -> DataFrame:
+    return df.select(*[F.unix_micros(f.name).alias(f.name) if isinstance(f.dataType, TimestampType) else f.name
+                       for f in df.schema.fields])
+
+
+def restore_times(df: DataFrame, schema: StructType) -> DataFrame:
+    return df.select(*[F.timestamp_micros(f.name).alias(f.name) if isinstance(f.dataType, TimestampType) else f.name
+                       for f in schema.fields])
+
+
+def map_files(files: DataFrame, function, added: StructType, tasks: int | None = None) -> DataFrame:
+    """Run a Python function over batches of files; it returns their rows with the added columns."""
+    schema = StructType(files.schema.fields + added.fields)
+    done = flatten_times(spread(files, tasks)).mapInPandas(function, flat_schema(schema))
+    return restore_times(done, schema)
