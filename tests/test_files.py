@@ -18,6 +18,7 @@ from tidemark.operators.metrics import run_totals, transfer_time_percentiles
 from tidemark.operators.transfer import plan_transfer, transfer, write_files
 from tidemark.operators.verify import verify
 from tidemark.options import TransferOptions
+from tidemark.plans.properties import options_from_properties
 from tidemark.plans.run import run_transfer
 from tidemark.sources.content import checksum_files
 from tidemark.sources.listing import scan_files, walk_files
@@ -569,6 +570,58 @@ def test_options_are_frozen():
         TransferOptions("p", "/in", "/out").retries = 5
 
 
+def test_run_leaves_no_work_behind(spark, filled):
+    from tidemark.session import shared_folder
+
+    before = set(os.listdir(shared_folder(spark)))
+    run = run_transfer(spark, options(filled, archive="remove"), "r1", TO * 1000)
+    assert set(os.listdir(shared_folder(spark))) == before
+    assert run.plan.count() == run.ledger.count() == run.archived.count() == run.metrics.count() / 7
+
+
+def test_old_state_counts_until_the_first_commit(spark, filled):
+    (filled / "delta.txt").write_text(f"{FROM}\n")
+    settings = options(filled, legacy_state=str(filled / "delta.txt"))
+    assert names(run_transfer(spark, settings, "r1", TO * 1000).ledger) == IN_WINDOW
+    second = run_transfer(spark, settings, "r2", (TO + 100) * 1000)
+    assert (second.from_s, names(second.ledger)) == (TO, ["c.txt"])
+
+
+# --- configuration
+
+
+REMOTE = {"sftpServer": "h", "sftpPort": "2222", "sftpUser": "u", "sftpPath": "/in"}
+
+
+def test_properties_to_the_store(spark, filled):
+    source = {**REMOTE, "referenceName": "ref", "recursive": "yes", "regexFilter": "", "fromDelta": str(FROM)}
+    sink = {"path": str(filled / "out"), "numRetries": "", "timeToWait": "0", "archiveOriginals": "yes",
+            "archiveOption": "rename", "targetPath": "/done", "encryption": "NONE"}
+    given = options_from_properties("p", source, sink, str(filled / "state"), str(filled), arguments={"safety.read.time": "0"})
+    run = run_transfer(spark, given, "r1", TO * 1000)
+    assert names(run.ledger) == IN_WINDOW and (filled / "done/sub/d.csv").exists()
+    row = run.ledger.where("relpath = 'sub/d.csv'").first()
+    assert (row.connection_ref, row.fullfilename, row.basename) == ("ref", "sftp://u@h:2222/in/sub/d.csv", "/in/sub/")
+    assert (given.retries, given.wait_s) == (0, 0)
+
+
+def test_properties_to_the_remote_server():
+    source = {"gcsPath": "gs://b/in", "recursive": "true", "regexFilter": ".*", "persistDelta": "gs://b/delta"}
+    sink = {**REMOTE, "sftpPath": "/out", "archiveOriginals": "yes", "archiveOption": "remove", "targetPath": "gs://b/done",
+            "privateKeyPath": "/keys/k"}
+    given = options_from_properties("p", source, sink, mount="/mnt/", key_uri="/key", arguments={"exec.preview": "true"})
+    assert (given.direction, given.source_root, given.target_root) == ("to_sftp", "gs://b/in", "/mnt/out")
+    assert (given.archive, given.archive_root, given.encryption, given.key_uri) == ("remove", None, "aes_gcm", "/key")
+    assert (given.safety_s, given.preview, given.legacy_state, given.recursive) == (300, True, "gs://b/delta", True)
+
+
+def test_bad_properties():
+    with pytest.raises(ValueError, match="numRetries"):
+        options_from_properties("p", REMOTE, {"path": "/out", "numRetries": "many"})
+    with pytest.raises(ValueError, match="macros.*sftpPath"):
+        options_from_properties("p", {**REMOTE, "sftpPath": "${folder}"}, {"path": "/out"})
+
+
 # --- command line
 
 

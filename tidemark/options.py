@@ -24,7 +24,7 @@ from tidemark.session import qualify
 DIRECTIONS = ("to_store", "to_sftp")
 ENCRYPTIONS = ("none", "aes_gcm")
 ARCHIVE_MODES = (None, "rename", "remove")
-_ROOTS = ("source_root", "target_root", "state_root", "archive_root", "key_uri")
+_ROOTS = ("source_root", "target_root", "state_root", "archive_root", "key_uri", "legacy_state")
 _OBJECT_STORES = ("gs", "s3", "s3a")
 
 
@@ -34,6 +34,9 @@ class TransferOptions:
 
     ``state_root`` holds the ledger, the watermarks and the metrics. Without
     it a run remembers nothing and the next one starts from the beginning.
+    ``legacy_state`` is a text file with the watermark of an older set-up, read
+    until a run has committed one. ``remote_root`` is the source folder's name
+    at its server, where the executors see it under another.
     """
 
     pipeline: str
@@ -51,6 +54,8 @@ class TransferOptions:
     from_delta: int | None = None
     lookback_s: int = 0
     state_root: str | None = None
+    legacy_state: str | None = None
+    remote_root: str | None = None
     retries: int = DEFAULT_RETRIES
     wait_s: int = DEFAULT_WAIT_S
     parallelism: int | None = None

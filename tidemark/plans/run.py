@@ -33,11 +33,11 @@ from tidemark.operators.metrics import metrics_long
 from tidemark.operators.transfer import plan_transfer, transfer
 from tidemark.options import TransferOptions
 from tidemark.schemas import ARCHIVED, LEDGER, MANIFEST, METRICS, PLAN
-from tidemark.session import new_folder
+from tidemark.session import new_folder, work_folder
 from tidemark.sources.fs import exists, require_folder
 from tidemark.sources.listing import scan_files, walk_files
 from tidemark.sources.manifest import sftp_manifest, store_manifest
-from tidemark.sources.watermark import commit_watermark, read_watermark
+from tidemark.sources.watermark import commit_watermark, read_watermark, read_watermark_text
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,9 @@ def list_manifest(spark: SparkSession, options: TransferOptions, from_s: int, to
     files = delta_filter(regular_files(files), from_s, to_s)
     files = name_filter(subtree_filter(files, options.subtree, options.recursive), options.regex)
     if options.direction == "to_store":
-        return sftp_manifest(files, options.connection_ref, options.user, options.host, options.port)
+        return sftp_manifest(
+            files, options.connection_ref, options.user, options.host, options.port, options.remote_root
+        )
     return store_manifest(files, options.connection_ref, options.source_root)
 
 
@@ -76,9 +78,10 @@ def run_transfer(spark: SparkSession, options: TransferOptions, run_id: str, log
     require_folder(options.target_root)
     state = options.state_root.rstrip("/") if options.state_root else None
     last = read_watermark(spark, f"{state}/watermarks", options.pipeline) if state else None
-    from_s, to_s = window_bounds(
-        logical_start_ms, options.safety_s, options.from_delta, last.to_s if last else None
-    )
+    persisted = last.to_s if last else None
+    if last is None and options.legacy_state:
+        persisted = read_watermark_text(spark, options.legacy_state)
+    from_s, to_s = window_bounds(logical_start_ms, options.safety_s, options.from_delta, persisted)
     if last and last.run_id == run_id:
         from_s, to_s = last.from_s, last.to_s
     run = Run(options.pipeline, _date(to_s), run_id)
@@ -87,19 +90,20 @@ def run_transfer(spark: SparkSession, options: TransferOptions, run_id: str, log
 
     tables = state or new_folder(spark, f"run-{run_id}")
     plans, ledgers, archives, measured = (f"{tables}/{name}" for name in ("plans", "ledger", "archived", "metrics"))
-    # New files may arrive while we work: what was listed once is the plan.
-    if not _complete(plans, run):
-        write_run(_plan(spark, options, state, last, run, from_s, to_s), plans, run)
-    plan = spark.read.schema(PLAN).parquet(run.partition_of(plans))
-    if not _complete(ledgers, run):
-        key = crypto.key_from_uri(spark, options.key_uri) if options.encryption != "none" else None
-        write_ledger(transfer(plan, options.retries, options.wait_s, key, options.parallelism), ledgers, run)
-    ledger = read_run(spark, ledgers, LEDGER, run)
-    if options.archive and not _complete(archives, run):
-        done = archive(ledger, options.archive, options.archive_root, options.flatten, options.parallelism)
-        write_run(done, archives, run)
-    if not _complete(measured, run):
-        write_run(metrics_long(ledger, logical_start_ms).select("file", "metric", "value"), measured, run)
+    with work_folder(spark):
+        # New files may arrive while we work: what was listed once is the plan.
+        if not _complete(plans, run):
+            write_run(_plan(spark, options, state, last, run, from_s, to_s), plans, run)
+        plan = spark.read.schema(PLAN).parquet(run.partition_of(plans))
+        if not _complete(ledgers, run):
+            key = crypto.key_from_uri(spark, options.key_uri) if options.encryption != "none" else None
+            write_ledger(transfer(plan, options.retries, options.wait_s, key, options.parallelism), ledgers, run)
+        ledger = read_run(spark, ledgers, LEDGER, run)
+        if options.archive and not _complete(archives, run):
+            done = archive(ledger, options.archive, options.archive_root, options.flatten, options.parallelism)
+            write_run(done, archives, run)
+        if not _complete(measured, run):
+            write_run(metrics_long(ledger, logical_start_ms).select("file", "metric", "value"), measured, run)
     committed = bool(state) and commit_watermark(
         spark, f"{state}/watermarks", options.pipeline, from_s, to_s, run_id
     )

@@ -5,14 +5,20 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tidemark.sources.fs import open_fs
+
 _LOCAL_SHARED: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_WORK: ContextVar[str | None] = ContextVar("work folder", default=None)
 
 
 def build_session(app: str, master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -81,7 +87,24 @@ def qualify(spark: SparkSession, uri: str) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses; not created yet."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_WORK.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written meanwhile go to one folder, which is removed at the end.
+
+    What is needed longer has to be written elsewhere before.
+    """
+    folder = new_folder(spark, "work")
+    token = _WORK.set(folder)
+    try:
+        yield folder
+    finally:
+        _WORK.reset(token)
+        files, path = open_fs(folder)
+        with suppress(FileNotFoundError):
+            files.delete_dir(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -18,6 +18,7 @@ from tidemark.functions.paths import relative_path
 from tidemark.operators.filters import name_filter, regular_files, subtree_filter
 from tidemark.operators.ledger import Run, write_ledger
 from tidemark.operators.transfer import plan_transfer, transfer
+from tidemark.session import work_folder
 from tidemark.sources.fs import require_folder, strip_file_scheme
 
 _LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
@@ -86,9 +87,10 @@ def stream_transfer(manifest_stream: DataFrame, target_root: str, ledger_uri: st
         # Dated by its newest file, so that a repeated batch finds its partition again.
         newest = batch.agg(F.max("mtime_s")).first()[0]
         if newest is not None:
-            outcome = transfer(plan_transfer(batch, target_root), retries, wait_s)
             run_date = datetime.fromtimestamp(newest, timezone.utc).date()
-            write_ledger(outcome, ledger_uri, Run(pipeline, run_date, f"batch-{batch_id}"))
+            with work_folder(batch.sparkSession):
+                outcome = transfer(plan_transfer(batch, target_root), retries, wait_s)
+                write_ledger(outcome, ledger_uri, Run(pipeline, run_date, f"batch-{batch_id}"))
 
     return (
         manifest_stream.writeStream.foreachBatch(copy_batch)
