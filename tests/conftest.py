@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
 
     shared = tmp_path_factory.mktemp("shared")
     SparkSession.builder.config("spark.checkpoint.dir", str(shared)).config("spark.ui.showConsoleProgress", "false")
-    session = build_session("tests", "local[8]", 8)
+    session = build_session("tests", "local[8,4]", 8)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

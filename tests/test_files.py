@@ -436,6 +436,44 @@ def test_remove(spark, filled):
     assert names(walk_files(spark, str(filled / "in"))) == ["c.txt"]
 
 
+# --- lost executors
+
+
+def losing(real):
+    """Every task's first attempt does its work and is lost before it can report."""
+
+    def make(*settings):
+        work = real(*settings)
+
+        def lose_first(batches):
+            from pyspark import TaskContext
+
+            for batch in work(batches):
+                if TaskContext.get().attemptNumber() == 0:
+                    raise RuntimeError("executor lost")
+                yield batch
+
+        return lose_first
+
+    return make
+
+
+@pytest.mark.parametrize("mode", ["rename", "remove"])
+def test_lost_tasks_do_no_harm(spark, filled, monkeypatch, mode):
+    import importlib
+
+    for module, name in (("transfer", "_copier"), ("archive", "_put_away")):
+        module = importlib.import_module(f"tidemark.operators.{module}")
+        monkeypatch.setattr(module, name, losing(getattr(module, name)))
+    settings = options(filled, archive=mode, archive_root=str(filled / "done"))
+    run = run_transfer(spark, settings, "r1", TO * 1000)
+    rows = run.ledger.collect()
+    assert len(rows) == len({row.relpath for row in rows}) == 11 and {row.check for row in rows} == {"verified"}
+    assert {row.archive_status for row in run.archived.collect()} == {"archived" if mode == "rename" else "removed"}
+    assert names(walk_files(spark, str(filled / "out"))) == sorted(row.relpath for row in rows)
+    assert names(walk_files(spark, str(filled / "in"))) == ["c.txt"]
+
+
 # --- state
 
 
