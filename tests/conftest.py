@@ -9,11 +9,13 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    shared = tmp_path_factory.mktemp("shared")
-    SparkSession.builder.config("spark.checkpoint.dir", str(shared)).config("spark.ui.showConsoleProgress", "false")
-    session = build_session("tests", "local[8,4]", 8)
+    # Lost tasks are tried again, as on a cluster.
+    settings = {
+        "spark.checkpoint.dir": f"file:{tmp_path_factory.mktemp('shared')}",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "4g",
+    }
+    session = build_session("tests", "local[8,4]", 8, settings)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -430,6 +430,18 @@ def test_archive_onto_itself_is_refused(spark, filled):
         archive(ledger, "shred")
 
 
+def test_folders_as_uris(spark, filled):
+    """A path and its URI are one place."""
+    base = f"file://{filled}"
+    uris = {"source_root": f"{base}/in/", "target_root": f"{base}/out/", "state_root": f"{base}/state/"}
+    plain = run_transfer(spark, options(filled, **uris), "r1", TO * 1000)
+    assert (filled / "out/b.csv").exists() and (filled / "state/ledger").exists()
+    assert {r.archive_status for r in archive(plain.ledger, "rename", f"{base}/in").collect()} == {"same_path"}
+    done = archive(plain.ledger, "rename", f"{base}/done")
+    assert {r.archive_status for r in done.collect()} == {"archived"} and (filled / "done/sub/d.csv").exists()
+    assert names(run_transfer(spark, options(filled, **uris), "r2", (TO + 100) * 1000).ledger) == ["c.txt"]
+
+
 def test_remove(spark, filled):
     run = run_transfer(spark, options(filled, archive="remove"), "r1", TO * 1000)
     assert {r.archive_status for r in run.archived.collect()} == {"removed"}
@@ -611,9 +623,10 @@ def test_options_are_frozen():
 def test_run_leaves_no_work_behind(spark, filled):
     from tidemark.session import shared_folder
 
-    before = set(os.listdir(shared_folder(spark)))
+    shared = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
     run = run_transfer(spark, options(filled, archive="remove"), "r1", TO * 1000)
-    assert set(os.listdir(shared_folder(spark))) == before
+    assert set(os.listdir(shared)) == before
     assert run.plan.count() == run.ledger.count() == run.archived.count() == run.metrics.count() / 7
 
 

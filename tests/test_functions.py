@@ -202,6 +202,7 @@ def test_good_uris():
         ({"encryption": "PGP"}, "encryption is one of"),
         ({"archive": "rename"}, "archive_root"),
         ({"archive": "rename", "archive_root": "/in/"}, "differs"),
+        ({"archive": "rename", "archive_root": "file:///in"}, "differs"),
         ({"archive": "yes"}, "archive is one of"),
         ({"source_root": "in"}, "source_root is neither"),
         ({"target_root": "gs://Bad/x"}, "target_root has no valid bucket"),

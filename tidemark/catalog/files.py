@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.inputs import FILES_SQL, FROM_S, LOGICAL_START_MS, TO_S, in_window_sql, instant, table
 from tidemark.functions import crypto
+from tidemark.functions.paths import relative_path
 from tidemark.operators.filters import delta_filter
 from tidemark.operators.ledger import read_ledger
 from tidemark.operators.transfer import plan_transfer, transfer, write_files
@@ -15,7 +16,7 @@ from tidemark.options import TransferOptions
 from tidemark.plans.run import RunResult, run_transfer
 from tidemark.session import new_folder, shared_folder
 from tidemark.sources.content import checksum_files, read_content
-from tidemark.sources.fs import make_folder
+from tidemark.sources.fs import make_folder, strip_file_scheme
 from tidemark.sources.listing import scan_files, walk_files
 from tidemark.sources.manifest import store_manifest
 from tidemark.streaming.files import append_stream, stream_listing, stream_transfer
@@ -116,7 +117,7 @@ def several_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("page_id", F.lit(".html")).alias("relpath"), F.encode("html", "UTF-8").alias("content")
     )
     documents_in, pages_in = _exported(spark, sf_dir), f"{_fresh(spark, pages)}/in"
-    listed_from = F.when(F.col("root") == pages_in, "pages").otherwise("documents")
+    listed_from = F.when(F.col("root") == strip_file_scheme(pages_in), "pages").otherwise("documents")
     return walk_files(spark, [documents_in, f"{pages_in}/"]).select(listed_from.alias("listed_from"), "relpath", "size")
 
 
@@ -124,7 +125,7 @@ def several_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole contents as rows."""
     base = _exported(spark, sf_dir)
-    below = F.substr("path", F.lit(len(base) + 2)).alias("relpath")
+    below = relative_path("path", strip_file_scheme(base)).alias("relpath")
     return read_content(spark, base).select(below, crypto.content_md5("content").alias("md5"), "size")
 
 
@@ -205,7 +206,7 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run measured, but for the clock times."""
     source = _exported(spark, sf_dir)
     run = _run(spark, source, _target(spark))
-    prefix = len(f"sftp://u@h:22{source}")
+    prefix = len(f"sftp://u@h:22{strip_file_scheme(source)}")
     return run.metrics.where(~F.col("metric").isin("transferred_on", "transfer_time")).select(
         F.substr("file", F.lit(prefix + 1)).alias("file"), "run_id", "metric", "value"
     )

@@ -14,7 +14,7 @@ from tidemark.operators.ledger import sent
 from tidemark.schemas import PUT_AWAY, require_columns
 from tidemark.session import materialize
 from tidemark.sources.content import digest
-from tidemark.sources.fs import exists, make_parent, move, open_fs
+from tidemark.sources.fs import exists, make_parent, move, open_fs, strip_file_scheme
 from tidemark.spread import spread
 
 # A name shared by more files than this is looked up by broadcast: there can be
@@ -36,7 +36,9 @@ def archive(ledger: DataFrame, mode: str, target: str | None = None, flatten: bo
         raise ValueError(f"archive mode is rename or remove, not {mode!r}")
     if mode == "rename" and not target:
         raise ValueError("archive by rename needs a target folder")
-    moved_to = archive_path(target, "relpath", flatten) if mode == "rename" else F.lit(None).cast("string")
+    moved_to = F.lit(None).cast("string")
+    if mode == "rename":
+        moved_to = archive_path(strip_file_scheme(target), "relpath", flatten)
     rows = sent(ledger).select(
         "relpath", "mtime_s", "path", "size", "md5_source", "action", moved_to.alias("archive_target")
     )

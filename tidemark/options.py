@@ -20,6 +20,7 @@ from tidemark.fixed import (
     MAX_WAIT_S,
 )
 from tidemark.session import qualify
+from tidemark.sources.fs import strip_file_scheme
 
 DIRECTIONS = ("to_store", "to_sftp")
 ENCRYPTIONS = ("none", "aes_gcm")
@@ -110,7 +111,7 @@ class TransferOptions:
         elif self.archive == "rename":
             if not self.archive_root:
                 wrong.append("archive_root is required to archive by rename")
-            elif self.archive_root.rstrip("/") == self.source_root.rstrip("/"):
+            elif _bare(self.archive_root) == _bare(self.source_root):
                 wrong.append("archive_root differs from source_root")
         if self.lister not in ("walk", "scan"):
             wrong.append("lister is walk or scan")
@@ -122,6 +123,10 @@ class TransferOptions:
             raise ValueError("; ".join(wrong))
 
 
+def _bare(uri: str) -> str:
+    return strip_file_scheme(uri).rstrip("/")
+
+
 def uri_problem(uri: str | None) -> str | None:
     """A folder is an absolute path or a URI; in an object store it starts with a well-formed bucket."""
     if not uri or uri.startswith(("/", "file:/")):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import shutil
+import io
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
 from contextvars import ContextVar
@@ -12,17 +13,19 @@ from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.sources.fs import open_fs
+from tidemark.sources.fs import make_parent, open_fs
 
 _LOCAL_SHARED: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 _WORK: ContextVar[str | None] = ContextVar("work folder", default=None)
 
 
-def build_session(app: str, master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with the settings the operators expect.
+def build_session(app: str, master: str | None = None, shuffle_partitions: int | None = None,
+                  settings: dict[str, str] | None = None) -> SparkSession:
+    """A session with the settings the operators expect, and more on request.
 
     Speculation stays off: a copy or a move is a side effect, and a second
     attempt of a healthy task would do the work twice.
@@ -38,25 +41,38 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for name, value in (settings or {}).items():
+        builder = builder.config(name, value)
     return ship_package(builder.getOrCreate())
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Give the executors this package, once per application.
+    """Give the executors this package by way of the shared folder, once per application.
 
     Not needed where the package is installed on every node.
     """
     app = spark.sparkContext.applicationId
-    if app not in _SHIPPED:
+    if app not in _SHIPPED and has_shared_folder(spark):
         _SHIPPED.add(app)
         package = Path(__file__).parent
-        archive = shutil.make_archive(
-            f"{tempfile.mkdtemp(prefix='tidemark-')}/{package.name}", "zip", package.parent, package.name
-        )
-        spark.sparkContext.addPyFile(archive)
+        zipped = io.BytesIO()
+        with zipfile.ZipFile(zipped, "w", zipfile.ZIP_DEFLATED) as archive:
+            for module in sorted(package.rglob("*.py")):
+                archive.write(module, module.relative_to(package.parent))
+        uri = f"{shared_folder(spark)}/package-{uuid.uuid4().hex}/{package.name}.zip"
+        files, path = open_fs(uri)
+        make_parent(files, path)
+        with files.open_output_stream(path, compression=None) as stream:
+            stream.write(zipped.getvalue())
+        spark.sparkContext.addPyFile(uri)
     return spark
 
 
+def has_shared_folder(spark: SparkSession) -> bool:
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return bool(named) or spark.sparkContext.master.startswith("local")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
@@ -66,9 +82,9 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return qualify(spark, named.rstrip("/"))
-    app = spark.sparkContext.applicationId
-    if not spark.sparkContext.master.startswith("local"):
+    if not has_shared_folder(spark):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    app = spark.sparkContext.applicationId
     if app not in _LOCAL_SHARED:
         _LOCAL_SHARED[app] = tempfile.mkdtemp(prefix="tidemark-")
     return _LOCAL_SHARED[app]
@@ -119,6 +135,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few known rows as part of the plan, without a Python job to make them."""
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def read_table(spark: SparkSession, uri: str, schema: StructType, base: str | None = None) -> DataFrame:
     """Read a parquet table, or one partition of the table at ``base``; one not written yet is empty."""
     reader = spark.read.schema(schema)
@@ -129,4 +153,4 @@ def read_table(spark: SparkSession, uri: str, schema: StructType, base: str | No
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return literal_rows(spark, [], schema)

@@ -18,14 +18,16 @@ from contextlib import suppress
 
 import pandas as pd
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.paths import relative_path
 from tidemark.schemas import LISTING
-from tidemark.session import new_folder, qualify
+from tidemark.session import literal_rows, new_folder, qualify
 from tidemark.sources.fs import UNFINISHED, exists, is_local, open_fs, require_folder, strip_file_scheme
 
+_FOLDER = StructType([field for field in LISTING if field.name in ("root", "path")])
 _ROWS_PER_BATCH = 10_000
 _FOLDERS_PER_TASK = 1_000
 
@@ -92,16 +94,18 @@ def walk_files(spark: SparkSession, roots: str | list[str], recursive: bool = Tr
     starts = [(root, f"{root.rstrip('/')}/{subtree.strip('/')}".rstrip("/") or "/") for root in roots]
     starts = [(root, start) for root, start in starts if exists(start)]
     out = new_folder(spark, "listing")
-    level = spark.createDataFrame(starts, "root string, path string")
+    level = literal_rows(spark, starts, _FOLDER)
     n_folders, depth = max(1, len(starts)), 0
     while n_folders:
         tasks = max(1, min(n_folders, max(spark.sparkContext.defaultParallelism, n_folders // _FOLDERS_PER_TASK)))
-        found_at = f"{out}/depth={depth}"
-        level.repartition(tasks).mapInPandas(_lister(window), LISTING).write.parquet(found_at)
+        found_at, seen = f"{out}/depth={depth}", Observation()
+        found = level.repartition(tasks).mapInPandas(_lister(window), LISTING)
+        # Counted on the way; a task that ran twice only makes the next level's tasks smaller.
+        found.observe(seen, F.count_if("is_dir").alias("folders")).write.parquet(found_at)
         if not recursive:
             break
         level = spark.read.schema(LISTING).parquet(found_at).where("is_dir").select("root", "path")
-        n_folders, depth = level.count(), depth + 1
+        n_folders, depth = seen.get["folders"], depth + 1
     entries = spark.read.schema(LISTING).option("recursiveFileLookup", "true").parquet(out)
     return _as_files(entries.where(~F.col("is_dir")))
 

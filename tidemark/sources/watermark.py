@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import watermark_status, whole_number
 from tidemark.schemas import WATERMARKS
-from tidemark.session import read_table
+from tidemark.session import literal_rows, read_table
 
 
 def latest_watermarks(watermarks: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def commit_watermark(spark: SparkSession, uri: str, pipeline: str, from_s: int,
     if last is not None and last.run_id == run_id:
         return True
     row = (pipeline, from_s, to_s, run_id, datetime.now(timezone.utc))
-    spark.createDataFrame([row], WATERMARKS).coalesce(1).write.mode("append").parquet(uri)
+    literal_rows(spark, [row], WATERMARKS).coalesce(1).write.mode("append").parquet(uri)
     return True
 
 

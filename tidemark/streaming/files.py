@@ -43,8 +43,9 @@ def stream_listing(spark: SparkSession, root: str, regex: str | None = None, sub
     """
     root = strip_file_scheme(root).rstrip("/")
     require_folder(root)
-    # A batch looks up each of its files again, by default in a task of its own.
-    spark.conf.set(_LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
+    # A batch looks up each of its files again, by default each in a task of its own.
+    if spark.conf.get(_LISTING_TASKS) == "10000":
+        spark.conf.set(_LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
     reader = spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
     settings = {
         "maxFileAge": max_file_age,
