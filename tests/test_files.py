@@ -95,6 +95,17 @@ def test_unfinished_files_are_not_listed(spark, filled):
     assert ".b.csv.77-1.tidemark-part" not in names(walk_files(spark, str(filled / "in")))
 
 
+def test_names_that_are_no_text(spark, folders):
+    put(folders / "in", "good.csv")
+    with open(os.fsencode(folders / "in") + b"/bad\xff.csv", "wb") as file:
+        file.write(b"x")
+    run = run_transfer(spark, options(folders), "r1", 2_000_000_000_000)
+    assert {r.relpath: r.check for r in run.ledger.collect()} == {"good.csv": "verified", "bad?.csv": "missing"}
+    os.mkdir(os.fsencode(folders / "in") + b"/folder\xff")
+    with pytest.raises(Exception, match="not UTF-8"):
+        walk_files(spark, str(folders / "in"))
+
+
 def test_walk_is_not_recursive_on_request(spark, filled):
     assert "sub/d.csv" not in names(walk_files(spark, str(filled / "in"), recursive=False))
     assert names(walk_files(spark, str(filled / "in"), subtree="sub")) == ["sub/d.csv"]

@@ -50,7 +50,7 @@ def _entries(folder: str) -> Iterator[tuple[str, int, int, bool]]:
                 if is_dir or entry.is_file(follow_symlinks=False):
                     with suppress(FileNotFoundError):
                         stat = entry.stat(follow_symlinks=False)
-                        yield prefix + entry.name, stat.st_size, stat.st_mtime_ns // 1000, is_dir
+                        yield prefix + _text(entry.name, is_dir), stat.st_size, stat.st_mtime_ns // 1000, is_dir
         return
     files, path = open_fs(folder)
     # A folder may go away between its level and the next; a root was checked.
@@ -60,6 +60,20 @@ def _entries(folder: str) -> Iterator[tuple[str, int, int, bool]]:
             yield prefix + info.base_name, info.size or 0, (info.mtime_ns or 0) // 1000, is_dir
 
 
+def _text(name: str, is_dir: bool) -> str:
+    """A name that is not UTF-8 cannot be the text of a row.
+
+    Such a file is listed under a readable name, which a transfer reports as
+    missing. Such a folder would hide its files, so it fails.
+    """
+    if name.isascii():
+        return name
+    readable = name.encode("utf-8", "replace").decode()
+    if is_dir and readable != name:
+        raise ValueError(f"folder name is not UTF-8: {name!r}")
+    return readable
+
+
 def _lister(window: tuple[int, int] | None):
     def wanted(mtime_us: int, is_dir: bool) -> bool:
         return is_dir or window is None or window[0] < mtime_us // 1_000_000 <= window[1]
