@@ -1,6 +1,6 @@
 """One run from the command line, for a scheduler to start:
 
-    spark-submit --py-files tidemark.zip -m tidemark.plans.job --pipeline landing \\
+    spark-submit --py-files tidemark.zip tidemark/plans/job.py --pipeline landing \\
         --source-root /mnt/remote/in --target-root gs://bucket/in --state-root gs://bucket/state \\
         --run-id 2024-01-01 --logical-start-ms 1704240300000
 

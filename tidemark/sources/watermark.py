@@ -28,8 +28,8 @@ def latest_watermarks(watermarks: DataFrame) -> DataFrame:
 
 
 def read_watermark(spark: SparkSession, uri: str, pipeline: str) -> Row | None:
-    """The last commit of one pipeline, or None before its first run."""
-    state = read_table(spark, uri, WATERMARKS).where(F.col("pipeline") == pipeline)
+    """The last commit of one pipeline, or None before its first run; only its own partition is listed."""
+    state = read_table(spark, f"{uri.rstrip('/')}/pipeline={pipeline}", WATERMARKS, base=uri)
     return latest_watermarks(state).first()
 
 
@@ -43,8 +43,9 @@ def commit_watermark(spark: SparkSession, uri: str, pipeline: str, from_s: int,
         return False
     if last is not None and last.run_id == run_id:
         return True
-    row = (pipeline, from_s, to_s, run_id, datetime.now(timezone.utc))
-    literal_rows(spark, [row], WATERMARKS).coalesce(1).write.mode("append").parquet(uri)
+    row = (from_s, to_s, run_id, datetime.now(timezone.utc), pipeline)
+    commit = literal_rows(spark, [row], WATERMARKS).coalesce(1)
+    commit.write.mode("append").partitionBy("pipeline").parquet(uri)
     return True
 
 
