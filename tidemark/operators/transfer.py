@@ -26,12 +26,14 @@ from tidemark.fixed import BUFFER_BYTES, DEFAULT_RETRIES, DEFAULT_WAIT_S, ENCRYP
 from tidemark.functions import crypto
 from tidemark.functions import paths as P
 from tidemark.schemas import MANIFEST, OUTCOME, PIECE, PLAN, TRANSFERRED, require_columns
-from tidemark.session import materialize
+from tidemark.session import materialize, small_batches
 from tidemark.sources.content import digest
 from tidemark.sources.fs import UNFINISHED, make_parent, move, open_fs, replaces_atomically
 from tidemark.spread import STREAMS_PER_TASK, flat_schema, flatten_times, map_files, restore_times, spread, task_count
 
 PIECE_BYTES = 1024 * 1024
+# Pieces handed on at once.
+HELD_BYTES = 4 * PIECE_BYTES
 ACTIONS = ("copy", "encrypt", "decrypt")
 
 
@@ -193,7 +195,8 @@ def _transfer_sealed(plan: DataFrame, key: Column, retries: int, wait_s: int, ta
     """Pass the files through Spark's AES functions; failed files go again, as a smaller plan."""
     pending, finished = plan, []
     for attempt in range(1, retries + 2):
-        done = materialize(_seal_once(pending, key, attempt, tasks), "sealed")
+        with small_batches(plan.sparkSession):
+            done = materialize(_seal_once(pending, key, attempt, tasks), "sealed")
         failed = done.where(F.col("status") == "failed")
         if attempt > retries or failed.isEmpty():
             finished.append(done)
@@ -257,7 +260,7 @@ def _read_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for seq, last, piece in _numbered(row.path, row.action):
                     rows.append((*row, seq, last, piece, None, start))
                     held_bytes += len(piece)
-                    if held_bytes >= BUFFER_BYTES or len(rows) >= 1_000:
+                    if held_bytes >= HELD_BYTES or len(rows) >= 1_000:
                         yield pd.DataFrame(rows, columns=columns)
                         rows, held_bytes = [], 0
             except Exception as problem:
@@ -334,7 +337,8 @@ def write_files(contents: DataFrame, root: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["relpath", "bytes", "md5"])
 
     written = contents.mapInPandas(write_batches, "relpath string, bytes bigint, md5 string")
-    return materialize(written, "written")
+    with small_batches(contents.sparkSession):
+        return materialize(written, "written")
 
 
 def discard(df: DataFrame) -> None:

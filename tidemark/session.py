@@ -18,6 +18,8 @@ from pyspark.sql.types import StructType
 
 from tidemark.sources.fs import make_parent, open_fs
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SMALL_BATCH = "8m"
 _LOCAL_SHARED: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 _WORK: ContextVar[str | None] = ContextVar("work folder", default=None)
@@ -123,6 +125,23 @@ def work_folder(spark: SparkSession) -> Iterator[str]:
             files.delete_dir(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows that hold contents reach Python a few megabytes at a time, not in batches of the usual size.
+
+    A batch lies in memory beside the heap, twice its size while it grows, once per running task.
+    """
+    before = spark.conf.get(_BATCH_BYTES, None)
+    spark.conf.set(_BATCH_BYTES, _SMALL_BATCH)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_BYTES)
+        else:
+            spark.conf.set(_BATCH_BYTES, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
