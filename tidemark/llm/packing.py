@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.base import groups_for, whole, written
 from tidemark.llm.tokens import encoder, in_pieces
 
-_ROWS_PER_BUCKET = 100_000
+_ROWS_PER_BUCKET = 5_000
 _IDS_PER_BATCH = 1 << 20
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, packing, tokenfiles
+from tidemark.llm import decontaminate, langid, packing, pii, tokenfiles
 from tidemark.llm.base import table
 from tidemark.session import new_folder
 
@@ -26,6 +26,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
+        F.col("items.item_id").alias("items"), F.coalesce(F.array_max("items.overlap"), F.lit(0.0)).alias("overlap"),
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     files = tokenfiles.write_token_files(
@@ -34,5 +42,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_token_files(files)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op8_token_files)}
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", pii.spans("text").alias("found"))
+    of = lambda *kinds: F.filter("found", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select("doc_id", *counts, F.sha2(line(of(*pii.BASE)), 256).alias("base_sha256"), line(F.col("found")).alias("spans"),
+                        F.col("found.score").alias("scores"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_best_fit_packing, op7_benchmark_decontamination, op8_token_files, op9_pii,
+)}
 SQL: dict[str, str] = {}
