@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, packing, pii, tokenfiles
+from tidemark.llm import decontaminate, langid, neardup, packing, pii, tokenfiles
 from tidemark.llm.base import table
 from tidemark.session import new_folder
 
@@ -26,6 +26,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -52,6 +56,6 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_best_fit_packing, op7_benchmark_decontamination, op8_token_files, op9_pii,
+    op1_language_id, op2_best_fit_packing, op6_minhash_near_dedup, op7_benchmark_decontamination, op8_token_files, op9_pii,
 )}
 SQL: dict[str, str] = {}
