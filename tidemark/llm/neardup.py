@@ -14,7 +14,8 @@ Only which documents hang together is wanted, so pairs of a group are not listed
 each bucket (in random parts, if it is large) gives a spanning forest of its highest
 estimates; the 32 bands part it differently, so a group of copies hangs together after
 this. Then only buckets whose members still belong to different components are looked at
-again, and of these the pairs that the estimate leaves open and that no earlier band had.
+again, and of these the pairs that the estimate leaves open and that no earlier band had. Where
+they are few, they are listed; where many, the texts go to the bucket and are counted there.
 """
 
 from __future__ import annotations
@@ -146,23 +147,67 @@ def _forest(settings: Settings):
     return of
 
 
+def _open(table: pa.Table, settings: Settings):
+    """For each member of the first part: those of the second that lie in another component, had no earlier common
+    band with it, and are not ruled out by the estimate."""
+    group = _Group(table, settings)
+    labels, own, band = (table.column(c).to_numpy() for c in ("label", "own", "band"))
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(labels), _BANDS)
+    first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py()
+    left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
+    for at, i in enumerate(left):
+        others = right[at + 1 :] if first == second else right
+        others = others[labels[others] != labels[i]]
+        if len(others):
+            others = others[group.open_pairs(i, others)[1]]
+            others = others[~(bands[others, : band[i]] == bands[i, : band[i]]).any(axis=1)]
+            if len(others):
+                yield i, others
+
+
 def _across(settings: Settings):
-    """All pairs of a group that the estimate leaves open, lie in different components, and had no earlier common band."""
+    """The open pairs of a group if they are few; else the members that have any, to be compared where they meet."""
 
     def of(table: pa.Table) -> pa.Table:
-        group = _Group(table, settings)
-        labels, own, band = (table.column(c).to_numpy() for c in ("label", "own", "band"))
-        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(labels), _BANDS)
-        first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py()
-        left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
+        ids = table.column("doc_id").to_numpy()
+        found = list(_open(table, settings))
+        if sum(len(others) for _, others in found) <= 2 * len(ids):
+            a = np.repeat(ids[[i for i, _ in found]], [len(o) for _, o in found]) if found else ids[:0]
+            b = ids[np.concatenate([o for _, o in found])] if found else ids[:0]
+            out = pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        else:
+            some = np.unique(np.concatenate([[i for i, _ in found], *(o for _, o in found)]))
+            out = pa.table({"a": ids[some], "b": pa.nulls(len(some), pa.int64())})
+        for name, kind in (("bucket", pa.int64()), ("first", pa.int32()), ("second", pa.int32())):
+            out = out.append_column(name, pa.array([table.column(name)[0].as_py()] * len(out), kind))
+        return out
+
+    return of
+
+
+def _met(settings: Settings):
+    """Links between the components of a group, by exact counts: one link at most for each that it joins."""
+
+    def of(table: pa.Table) -> pa.Table:
+        ids, labels = table.column("doc_id").to_numpy(), table.column("label").to_numpy().copy()
+        sets = list(shingle_sets(table.column("text").combine_chunks(), settings.words))
+        sizes = np.array([len(x) for x in sets])
+        shingles, holder = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(shingles, kind="stable")
+        shingles, holder = shingles[order], holder[order]
         pairs = []
-        for at, i in enumerate(left):
-            others = right[at + 1 :] if first == second else right
+        for i, others in _open(table, settings):
             others = others[labels[others] != labels[i]]
             if len(others):
-                others = others[group.open_pairs(i, others)[1]]
-                earlier = (bands[others, : band[i]] == bands[i, : band[i]]).any(axis=1)
-                pairs += [(group.ids[i], group.ids[j]) for j in others[~earlier]]
+                low, high = (np.searchsorted(shingles, sets[i], side=x) for x in ("left", "right"))
+                n = high - low
+                at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                both = np.bincount(holder[at], minlength=len(sets))[others]
+                alike = others[100 * both >= settings.percent * (sizes[others] + sizes[i] - both)]
+                for j in alike:
+                    if labels[j] != labels[i]:
+                        pairs.append((ids[i], ids[j]))
+                        labels[labels == labels[j]] = labels[i]
         return _pairs(pairs)
 
     return of
@@ -253,9 +298,14 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings(), doc_i
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     open_rows = open_rows.select("*", other).select(
         "bucket", "band", "doc_id", "label", "own", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"))
-    grouped = open_rows.join(described, "doc_id").groupBy("bucket", "first", "second")
-    more = grouped.applyInArrow(_across(settings), "a long, b long").where("a <> b").distinct().join(tried, ["a", "b"], "left_anti")
-    found = written(confirmed(written(more, "open"), texts, settings).distinct(), "links")
+    keys = ["bucket", "first", "second"]
+    grouped = open_rows.join(described, "doc_id").groupBy(*keys)
+    more = written(grouped.applyInArrow(_across(settings), "a long, b long, bucket long, first int, second int"), "open")
+    pairs = more.where("a <> b").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    few = confirmed(written(pairs, "pairs"), texts, settings)
+    crowds = more.where("b is null").select(F.col("a").alias("doc_id"), *keys).join(open_rows, ["doc_id", *keys])
+    many = crowds.join(described, "doc_id").join(texts, "doc_id").groupBy(*keys).applyInArrow(_met(settings), "a long, b long")
+    found = written(few.unionByName(many).distinct(), "links")
 
     joined = components(links.unionByName(found).unionByName(copies.where("a <> b")))
     smallest = joined.select(F.col("node").alias("doc_id"), "component")
