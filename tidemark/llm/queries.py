@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, neardup, packing, pii, tokenfiles
+from tidemark.llm import decontaminate, langid, neardup, packing, phrases, pii, tokenfiles
 from tidemark.llm.base import table
 from tidemark.session import new_folder
 
@@ -26,6 +26,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = phrases.without_recurring(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,6 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_best_fit_packing, op6_minhash_near_dedup, op7_benchmark_decontamination, op8_token_files, op9_pii,
+    op1_language_id, op2_best_fit_packing, op5_substring_dedup, op6_minhash_near_dedup, op7_benchmark_decontamination, op8_token_files, op9_pii,
 )}
 SQL: dict[str, str] = {}
