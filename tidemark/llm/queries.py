@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, neardup, packing, phrases, pii, tokenfiles
+from tidemark.llm import ann, chat, decontaminate, langid, neardup, packing, phrases, pii, tokenfiles
 from tidemark.llm.base import table
 from tidemark.session import new_folder
 
@@ -26,6 +26,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table names no preferences: of conversations 2k and 2k + 1, the first is taken as chosen."""
+    turns = table(spark, sf_dir, "conversations")
+    half = F.floor(F.col("conv_id") / 2).cast("long")
+    pairs = turns.where("conv_id is not null").select(half.alias("pair_id"), (2 * half).alias("chosen"), (2 * half + 1).alias("rejected"))
+    return chat.preference_turns(turns, pairs.distinct())
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = phrases.without_recurring(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -60,7 +68,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.score").alias("scores"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_best_fit_packing, op5_substring_dedup, op6_minhash_near_dedup, op7_benchmark_decontamination, op8_token_files, op9_pii,
+    op1_language_id, op2_best_fit_packing, op4_chat_formatting, op5_substring_dedup, op6_minhash_near_dedup, op7_benchmark_decontamination, op8_token_files, op9_pii, op10_nearest_neighbours,
 )}
-SQL: dict[str, str] = {}
+SQL = {"op4_chat_formatting": chat.SQL}
