@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, chat, decontaminate, langid, neardup, packing, phrases, pii, tokenfiles
+from tidemark.llm import ann, chat, decontaminate, langid, neardup, packing, phrases, pii, secrets, tokenfiles
 from tidemark.llm.base import table
 from tidemark.session import new_folder
 
@@ -26,6 +26,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table names no preferences: of conversations 2k and 2k + 1, the first is taken as chosen."""
     turns = table(spark, sf_dir, "conversations")
@@ -73,6 +77,6 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_best_fit_packing, op4_chat_formatting, op5_substring_dedup, op6_minhash_near_dedup, op7_benchmark_decontamination, op8_token_files, op9_pii, op10_nearest_neighbours,
+    op1_language_id, op2_best_fit_packing, op3_secret_scan, op4_chat_formatting, op5_substring_dedup, op6_minhash_near_dedup, op7_benchmark_decontamination, op8_token_files, op9_pii, op10_nearest_neighbours,
 )}
 SQL = {"op4_chat_formatting": chat.SQL}
