@@ -1,0 +1,335 @@
+"""The training-data operators against brute force, on small tables with every awkward row."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tidemark.llm import ann, chat, decontaminate, langid, neardup, packing, phrases, pii, queries, secrets, tokenfiles
+from tidemark.llm.components import components
+from tidemark.llm.tokens import Encoder
+from tidemark.session import new_folder
+from tests.compare import difference, duck
+
+WORD, BYTE = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, part string, _n long, bucket int"
+SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def sentence(rng, n, names=400):
+    return " ".join(f"w{int(rng.paretovariate(0.6)) % names}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """Random texts, copies, near copies, shared passages, long, short, empty and null ones."""
+    rng = random.Random(4)
+    out = [sentence(rng, rng.randint(1, 160)) for _ in range(60)]
+    passage = sentence(rng, 50)
+    out += [out[0]] * 5 + [f"{sentence(rng, 9)} {passage}\n{sentence(rng, 7)}" for _ in range(6)]
+    base = sentence(rng, 120, 5000).split()
+    for _ in range(12):
+        copy = list(base)
+        copy[rng.randrange(len(copy))] = "other"
+        out.append("  ".join(copy))
+    return out + [" ".join(["a"] * 90), sentence(rng, 9000), "", " \n\t", None, None, "x", "é\x0bÜ\x1cz"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, "en", "src0", len(t or ""), "p", 1, 2) for i, t in enumerate(texts)]
+    rows += [(None, texts[0], None, None, None, None, None, None), rows[3], rows[3]]
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.where("false")
+
+
+def brute_components(rows):
+    sets = {}
+    for i, t in rows:
+        w = SPLIT.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    label = {i: i for i in sets}
+    for a, b in combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both) and label[a] != label[b]:
+            low, high = sorted((label[a], label[b]))
+            label = {i: low if x == high else x for i, x in label.items()}
+    return {i: (len(sets[i]), label[i]) for i in sets}
+
+
+@pytest.mark.parametrize("part", [3, 1000])
+def test_near_duplicates(docs, texts, part):
+    found = neardup.near_duplicates(docs, neardup.Settings(part=part)).collect()
+    assert len(found) == len(texts) + 3
+    wanted = brute_components(enumerate(texts))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found if r["doc_id"] is not None} == wanted
+    assert all(r["kept"] == (r["doc_id"] in (None, r["component_id"])) for r in found)
+
+
+def test_near_duplicates_of_chains_and_crowds(spark):
+    """Each text is near its neighbours only, or near none of a crowd that shares much."""
+    rng = random.Random(8)
+    words, chain = sentence(rng, 100, 9000).split(), []
+    for i in range(30):
+        words[(7 * i) % 100] = f"c{i}"
+        chain.append(" ".join(words))
+    base = sentence(rng, 100, 9000).split()
+    crowd = [" ".join(f"r{i}.{k}" if k in set(rng.sample(range(100), 2)) else w for k, w in enumerate(base)) for i in range(60)]
+    rows = list(enumerate(chain + crowd))
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), neardup.Settings(part=7)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(rows)
+
+
+def test_keep_one_keeps_columns(docs):
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert kept.where("doc_id is null").count() == 1
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 480)]
+    label = {x: x for pair in links for x in pair}
+    for a, b in links:
+        low, high = sorted((label[a], label[b]))
+        label = {i: low if x == high else x for i, x in label.items()}
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert {i: found.get(i, i) for i in label} == label
+
+
+def brute_kept(rows):
+    docs = [SPLIT.findall(t or "") for t in rows]
+    times = Counter(tuple(w[k : k + 35]) for w in docs for k in range(len(w) - 34))
+    for w in docs:
+        gone = {j for k in range(len(w) - 34) if times[tuple(w[k : k + 35])] > 1 for j in range(k, k + 35)}
+        yield len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)
+
+
+@pytest.mark.parametrize("block", [500, 1 << 20])
+def test_phrases(docs, block):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    wanted = Counter((i, *k) for (i, _), k in zip(rows, brute_kept([t for _, t in rows])))
+    found = phrases.without_recurring(docs, phrases.Settings(block_bytes=block)).collect()
+    assert Counter(tuple(r) for r in found) == wanted
+    assert any(r["n_removed"] for r in found)
+
+
+@pytest.mark.parametrize("path, kind", [(WORD, "word"), (BYTE, "byte")])
+def test_encoder(texts, path, kind):
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    odd = ["it's 'S we'LL", " 's 1234 ½²", "a\n\nb \n c", "İstanbul Σας ß", "日本 語", "x\xa0y", "end ", "<|endoftext|>", "×÷ÄÖ 12ab$$"]
+    some = [t or "" for t in texts] + odd + [a + b for a in odd for b in odd]
+    coded = [np.frombuffer(x, "<u4").tolist() for x in Encoder(path, kind).encode(some)]
+    assert coded == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_packing(docs, texts):
+    settings = packing.Settings(capacity=64)
+    pieces, placed = packing.pack(docs, WORD, "word", 1, settings)
+    tokenizer = Tokenizer.from_file(WORD)
+    wanted = Counter()
+    for r in docs.collect():
+        ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        for k in range(0, len(ids), 64):
+            part = np.array(ids[k : k + 64], "<u4")
+            wanted[r["doc_id"], k // 64, k, len(part), zlib.crc32(part.tobytes())] += 1
+    rows = placed.collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == wanted
+    ends = Counter()
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends[r["sequence_id"]]
+        ends[r["sequence_id"]] += r["length"]
+    assert max(ends.values()) <= 64
+    assert len(ends) <= 1.02 * math.ceil(sum(r["length"] for r in rows) / 64)
+
+
+def test_packing_plan_reaches_the_bound():
+    for histogram in ({2048: 10}, {2100: 7}, {4096: 3, 1: 5}, {1365: 300, 1366: 4}, {2000: 50, 2096: 50, 10: 3}, {}):
+        made = packing.plan(histogram)
+        assert sum(n for _, _, n, _, _ in made.runs) == sum(histogram.values())
+        large = sum(n for x, n in histogram.items() if x > 2048)
+        assert made.sequences <= max(math.ceil(sum(x * n for x, n in histogram.items()) / 4096) + 1, large)
+
+
+def test_token_files(spark, docs):
+    files = tokenfiles.write_token_files(docs, new_folder(spark, "t"), BYTE, "byte", 0, 50_257, length=16)
+    rows = sorted(tokenfiles.read_token_files(files).collect(), key=lambda r: r["start"])
+    tokenizer = Tokenizer.from_file(BYTE)
+    coded = {r["doc_id"]: [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0] for r in docs.collect()}
+    ids = [r["doc_id"] for r in rows]
+    assert ids == sorted(ids, key=lambda i: -1 if i is None else i) and len(ids) == docs.count()
+    start = 0
+    for r in rows:
+        part = np.array(coded[r["doc_id"]], "<u4")
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(part), zlib.crc32(part.tobytes()))
+        start += len(part)
+    for f in files.collect():
+        opened = tokenfiles.TokenFile(f["path"])
+        last, mask = opened.sequence(f["sequences"] - 1)
+        assert len(last) == 16 and sum(mask.to_pylist()) == f["tokens"] - 16 * (f["sequences"] - 1)
+
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute_spans(text):
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if {"email": True, "ip": kind != "ip" or all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 13 <= len(digits) <= 19 and pii.luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]:
+                yield kind, *m.span()
+
+
+def test_pii_spans_against_plain_patterns():
+    rng = random.Random(3)
+    bits = ["1", "4", "25", ".", ".", " ", "-", "+", "(", "a@b", "@", "x.y", "é", "4111111111111111", "+49 30 1234567", "256"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+        assert [s[:3] for s in pii.find(text) if s[0] in pii.BASE] == list(brute_spans(text)), text
+
+
+def test_pii_context_and_checksums():
+    kinds = lambda t: [s[0] for s in pii.find(t)]
+    assert kinds("IBAN DE89 3704 0044 0532 0130 00 please") == ["iban"]
+    assert kinds("IBAN DE88 3704 0044 0532 0130 00 please") == []
+    assert kinds("ssn 123-45-6789") == ["ssn"] and kinds("part 123-45-6789") == []
+    assert pii.find("@" * 50_000 + "9" * 50_000) == []
+
+
+def test_redact(spark):
+    rows = [(1, "write to a.b@c.de now", 21, "x"), (2, None, None, "y"), (3, "", 0, None), (4, "clean", 5, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, redacted string")
+    done = pii.redact(df, length="n_chars")
+    assert done.columns == df.columns
+    assert sorted(map(tuple, done.collect()))[0] == (1, "write to <EMAIL> now", 20, "x")
+    assert sorted(map(tuple, done.collect()))[1:] == rows[1:]
+
+
+def test_decontaminate(spark):
+    rng = random.Random(5)
+    items = [(i, sentence(rng, n, 5000)) for i, n in enumerate((5, 9, 20, 40, 60))] + [(9, ""), (None, "w1 w2 w3"), (7, None)]
+    rows = [(0, None), (1, ""), (2, sentence(rng, 300, 90_000))]
+    for i, text in items[:5]:
+        rows.append((10 + i, f"{sentence(rng, 20, 90_000)}  {text.upper()}\n{sentence(rng, 20, 90_000)}"))
+        words = text.split()
+        words[len(words) // 2] = "changed"
+        rows.append((20 + i, " ".join(words)))
+    found = decontaminate.contamination(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    found = {r["doc_id"]: [x["item_id"] for x in r["items"]] for r in found.collect()}
+    assert all(found[10 + i] == [i] for i in range(5)) and all(found[20 + i] == [i] for i in range(1, 5))
+    assert found[0] == found[1] == found[2] == []
+
+
+def test_decontaminate_in_parts(spark, docs):
+    items = spark.createDataFrame([(i, r["text"]) for i, r in enumerate(docs.limit(6).collect())], "item_id long, text string")
+    one, many = (decontaminate.contamination(docs, items, settings=decontaminate.Settings(part_bytes=n)) for n in (1 << 20, 200))
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], str(r))
+    assert sorted(one.collect(), key=key) == sorted(many.collect(), key=key)
+
+
+def test_language_id(spark, sf_dir):
+    found = queries.op1_language_id(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    held = found.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.min("score"), F.max("score")).first()
+    assert held[0] > 0.97 and 0 <= held[1] <= held[2] <= 1
+
+
+def test_language_id_edges(docs, nothing):
+    model = langid.train(docs)
+    rows = langid.identify(docs, model).collect()
+    assert all((r["language"]["lang"], r["language"]["score"]) == ("und", 0.0) for r in rows if not re.search("[a-zé]", r["text"] or ""))
+    assert langid.identify(docs, langid.train(nothing)).where("language.accepted").count() == 0
+
+
+def test_secrets(spark, sf_dir, docs, nothing):
+    found = queries.op3_secret_scan(spark, sf_dir).collect()
+    issued = [r for r in found if r["candidate"].startswith("AKIA")]
+    assert issued and all(r["secret"] for r in issued)
+    cards = [r for r in found if re.fullmatch("[0-9]{16}", r["candidate"])]
+    assert cards and not any(r["secret"] for r in cards)
+    assert secrets.scan(docs).count() >= 0 and secrets.scan(nothing).count() == 0
+
+
+def test_chat(spark, sf_dir):
+    assert difference(queries.op4_chat_formatting(spark, sf_dir), duck(sf_dir), queries.SQL["op4_chat_formatting"]) is None
+    turns = [(1, 0, "user", "q"), (1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "user", "q"), (2, 1, "assistant", "b"),
+             (2, 2, "user", None), (3, 0, None, "q"), (None, 0, "user", "q"), (4, None, "user", "q")]
+    turns = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    pairs = spark.createDataFrame([(1, 1, 2), (2, 1, 3), (3, 1, 4), (4, 1, 1)], "pair_id long, chosen long, rejected long")
+    parts = chat.preference_turns(turns, pairs)
+    assert sorted((r["pair_id"], r["part"], r["turn"], r["mask"]) for r in parts.collect()) == [
+        (1, "chosen", 1, 1), (1, "prompt", 0, 0), (1, "rejected", 1, 1), (1, "rejected", 2, 0),
+        (2, "chosen", 0, 0), (2, "chosen", 1, 1), (2, "rejected", 0, 0), (4, "prompt", 0, 0), (4, "prompt", 1, 0)]
+    whole = {r["pair_id"]: r for r in chat.assembled(parts).collect()}
+    assert whole[1]["prompt"] == "<|user|>\nq<|end|>\n" and whole[1]["chosen"] == "<|assistant|>\na<|end|>\n"
+
+
+def brute_nearest(rows, asked, k=5):
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    size = np.sqrt((x * x).sum(1))
+    for q in np.flatnonzero(asked(ids)):
+        scores = x @ x[q] / (size * size[q])
+        order = [i for i in np.lexsort((ids, -np.round(scores, 12))) if ids[i] != ids[q]][:k]
+        yield int(ids[q]), [int(ids[i]) for i in order]
+
+
+def test_nearest_neighbours(spark):
+    rng = np.random.default_rng(1)
+    good = [(i, rng.normal(size=8).round(3).tolist()) for i in range(400)] + [(i, [1.0] * 8) for i in range(400, 520)]
+    bad = [(1000, None), (1050, [0.0] * 8), (1100, [math.nan] + [1.0] * 7), (1150, [None] + [1.0] * 7), (None, [1.0] * 8), (1200, [])]
+    df = spark.createDataFrame(good + bad + good[:3], "vec_id long, embedding array<double>").repartition(4)
+    found: dict = {}
+    for r in sorted(ann.nearest(df, "vec_id % 50 = 0", settings=ann.Settings(cell=20, block=64)).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    wanted = dict(brute_nearest(good, lambda ids: ids % 50 == 0))
+    assert found.keys() == wanted.keys() and all(len(v) == 5 for v in found.values())
+    assert found[400] == wanted[400] and found[450] == wanted[450]  # ties, the smallest ids first
+    assert sum(len(set(found[q]) & set(wanted[q])) for q in wanted) >= 0.9 * 5 * len(wanted)
+    few = ann.nearest(df.where("vec_id < 3"), "vec_id % 50 = 0")
+    assert few.count() == 2 and ann.nearest(df.where("vec_id < 0"), "true").count() == 0
+
+
+def test_recall_on_the_table(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    wanted = dict(brute_nearest(rows, lambda ids: ids % 50 == 0))
+    found = Counter((r["query_id"], r["vec_id"]) for r in queries.op10_nearest_neighbours(spark, sf_dir).collect())
+    assert sum(found[q, v] for q in wanted for v in wanted[q]) >= 0.9 * sum(map(len, wanted.values()))
+
+
+def test_empty_tables(nothing):
+    assert neardup.near_duplicates(nothing).count() == phrases.without_recurring(nothing).count() == 0
+    assert packing.pack(nothing, WORD, "word", 1)[1].count() == 0
+    assert pii.redact(nothing).count() == 0
+
+
+def test_pipeline_rows_come_from_what_each_stage_kept(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, sf_dir)
+        after = after.sparkSession.createDataFrame(after.collect(), docs.schema)
+        assert after.columns == docs.columns
+        lost = before.count() - after.count()
+        assert lost > 0 if name in ("minhash_near_dedup", "benchmark_decontamination") else lost <= 3, name
+        before = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, before, sf_dir)
+    assert {r[0] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in before.collect()}
+    assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
