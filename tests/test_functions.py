@@ -1,5 +1,6 @@
 """Column functions on the odd cases."""
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import crypto
 from tidemark.functions import paths as P
 from tidemark.functions import times as T
-from tidemark.operators.filters import delta_filter, name_filter, regular_files, subtree_filter
+from tidemark.operators import transfer
+from tidemark.operators.filters import delta_filter, name_filter, regular_files, subtree_filter, without_secrets
 from tidemark.sources.fs import split_uri
-from tidemark.options import TransferOptions, safety_from_text, uri_problem
+from tidemark.options import TransferOptions, regex_problem, safety_from_text, uri_problem
 
 
 def values(spark, texts, *columns):
@@ -216,3 +218,30 @@ def test_bad_options(spark, change, words):
     TransferOptions(**good).validate(spark)
     with pytest.raises(ValueError, match=words):
         TransferOptions(**{**good, **change}).validate(spark)
+
+
+def test_a_pattern_has_to_stand_by_itself(spark):
+    assert regex_problem(spark, "a)|(?:b") is not None
+    assert regex_problem(spark, "a|b") is None
+
+
+def test_container_of_an_account_heads_the_path():
+    assert split_uri("abfss://box@account.example.net/a/b%20c")[2] == "box/a/b%20c"
+    assert split_uri("gs://bucket/a")[2] == "bucket/a"
+
+
+def test_credentials_do_not_travel(spark):
+    names = ("sftpPass", "PrivateKeyPass", "privateKeyPassword", "serviceFilePath", "connection")
+    rows = spark.range(1).select("id", *[F.lit("x").alias(n) for n in names])
+    assert without_secrets(rows).columns == ["id"]
+
+
+def test_only_a_source_that_is_gone_is_missing(tmp_path, monkeypatch):
+    def taken_away(uri, buffer_bytes):
+        raise FileNotFoundError(uri)
+
+    (tmp_path / "a").write_bytes(b"x")
+    rows = pd.DataFrame({"path": [f"{tmp_path}/a", f"{tmp_path}/gone"], "target": [f"{tmp_path}/b", f"{tmp_path}/c"], "content_type": ["t", "t"]})
+    monkeypatch.setattr(transfer, "digest", taken_away)
+    done = pd.concat(transfer._copier(1, 0, 1 << 20, 1)(iter([rows])))
+    assert list(zip(done["status"], done["attempts"])) == [("failed", 2), ("missing", 1)]

@@ -11,7 +11,10 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 from tidemark.functions.paths import leaf
 
 # Names of columns and map entries that carry credentials.
-SECRET_COLUMNS = ("connection", "connectionType", "password", "passphrase", "privateKey", "serviceAccountJSON")
+SECRET_COLUMNS = (
+    "connection", "connectionType", "password", "passphrase", "privateKey", "serviceAccountJSON", "sftpPass",
+    "PrivateKeyPass", "privateKeyPassword", "serviceFilePath",
+)
 
 
 def delta_filter(df: DataFrame, from_s: int, to_s: int, on: str = "mtime_s") -> DataFrame:

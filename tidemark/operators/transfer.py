@@ -134,12 +134,20 @@ def _discard_quietly(target: _Target | None) -> None:
         pass
 
 
+class _SourceGone(Exception):
+    """The file to copy is not there any more; on the target's side nothing is ever gone, only not done."""
+
+
 def _copy_once(path: str, uri: str, content_type: str, buffer_bytes: int) -> tuple[int, str, str]:
     """(bytes, digest of what was sent, digest of what is stored)."""
     source, raw = open_fs(path)
     target = None
     try:
-        with source.open_input_stream(raw, compression=None) as stream:
+        opened = source.open_input_stream(raw, compression=None)
+    except FileNotFoundError as problem:
+        raise _SourceGone(str(problem)) from problem
+    try:
+        with opened as stream:
             target = _Target(uri, content_type)
             while data := stream.read(buffer_bytes):
                 target.write(data)
@@ -158,7 +166,7 @@ def _copier(retries: int, wait_s: int, buffer_bytes: int, streams: int):
             try:
                 size, sent_md5, stored_md5 = _copy_once(path, uri, content_type, buffer_bytes)
                 return "copied", attempt, size, sent_md5, stored_md5, start, _now_ms(), None
-            except FileNotFoundError as problem:
+            except _SourceGone as problem:
                 status, error = "missing", str(problem)
                 break
             except Exception as problem:

@@ -140,9 +140,12 @@ def uri_problem(uri: str | None) -> str | None:
 
 
 def regex_problem(spark: SparkSession, regex: str) -> str | None:
-    """Let Spark compile the pattern on one row, before a wide job meets it."""
+    """Let Spark compile the pattern on one row, before a wide job meets it.
+
+    By itself too: a pattern that closes the group around it would match a part of a name.
+    """
     try:
-        spark.range(1).select(F.lit("").rlike(rf"\A(?:{regex})\z")).collect()
+        spark.range(1).select(F.lit("").rlike(regex), F.lit("").rlike(rf"\A(?:{regex})\z")).collect()
     except PySparkException as error:
         return error.getCondition() or str(error)
     return None

@@ -32,7 +32,8 @@ def split_uri(uri: str) -> tuple[str, str, str]:
         return "file", "", uri
     scheme, authority, path = match.group(1).lower(), match.group(2), match.group(3) or "/"
     if scheme not in ("hdfs", "viewfs"):
-        path = authority + path
+        # The container alone heads the path; the account behind it belongs to the client.
+        path = (authority.partition("@")[0] if scheme in ("abfs", "abfss") else authority) + path
     return _ALIASES.get(scheme, scheme), authority, path
 
 
