@@ -132,12 +132,17 @@ def train(documents: DataFrame, settings: Settings = Settings()) -> Model:
     labelled = documents.select("text", "lang", fold().alias("part"), F.xxhash64("doc_id").alias("h")).where(
         "text is not null and lang is not null and part <> 0"
     )
-    languages = sorted(r[0] for r in labelled.select("lang").distinct().collect())
+    counts = dict(labelled.groupBy("lang").agg(F.approx_count_distinct("h")).collect())
+    languages = sorted(counts)
     if not languages:
         return Model()
     share = max(1, settings.sample_rows // len(languages))
+    # Only rows with one of the lowest hashes go on, of twice as many ids as wanted, so few texts are shuffled at any size.
+    lowest = {name: (min(1.0, 2 * share / max(1, n)) - 0.5) * 2.0**64 for name, n in counts.items()}
+    cutoff = F.create_map(*[F.lit(x) for pair in lowest.items() for x in pair])[F.col("lang")]
     order = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
-    sample = labelled.withColumn("n", F.row_number().over(order)).where(F.col("n") <= share)
+    few = labelled.where(F.col("h").cast("double") <= cutoff)
+    sample = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= share)
     rows = (
         sample.select("lang", "part", "text")
         .mapInArrow(_features, "lang string, part long, buckets binary, share binary")
