@@ -29,6 +29,8 @@ from tidemark.llm.words import slices, text_bytes
 UNDETERMINED = "und"
 _BITS = 16
 _SIZES = (2, 3, 4)
+# Bytes of text at a time: the arrays made of them take about eighty times as much.
+_AT_ONCE = 1 << 20
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
@@ -64,7 +66,7 @@ class Model:
     def probabilities(self, texts: pa.Array) -> np.ndarray:
         """A row for each text; texts without a subword get what the bias says."""
         out = np.empty((len(texts), len(self.languages)))
-        for a, b in slices(texts):
+        for a, b in slices(texts, _AT_ONCE):
             sums, counts = _pooled(texts.slice(a, b - a), self.logits)
             out[a:b] = softmax((sums / np.maximum(counts, 1)[:, None] + self.bias) / self.temperature)
         return out
