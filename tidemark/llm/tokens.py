@@ -17,7 +17,7 @@ import pyarrow as pa
 from tidemark.llm.words import slices
 
 # Pre-tokens that a worker knows at most; then it begins anew, which costs time and nothing else.
-_MOST = 800_000
+_MOST = 200_000
 _PLAIN = re.compile(r"[\n\x20-\x7e\xc0-\xff]*")
 # The pre-token patterns of the two kinds of vocabulary, with the classes of plain texts spelled out.
 _L = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
