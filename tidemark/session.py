@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from tidemark.sources.fs import make_parent, open_fs
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-_SMALL_BATCH = "8m"
+_SMALL_BATCH = "2m"
 _LOCAL_SHARED: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 _WORK: ContextVar[str | None] = ContextVar("work folder", default=None)
@@ -127,7 +127,7 @@ def work_folder(spark: SparkSession) -> Iterator[str]:
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Rows that hold contents reach Python a few megabytes at a time, not in batches of the usual size.
+    """Rows that hold contents reach Python 2 MiB at a time, not in batches of the usual size.
 
     A batch lies in memory beside the heap, twice its size while it grows, once per running task.
     """
