@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, small_batches
+from tidemark.session import materialize, ship_package, small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the package on its executors, and with rows going to Python 2 MiB at a time from now on.
+
+    A stage's rows are written by its caller, so the setting has to stay.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
+    return ship_package(spark)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back; texts reach Python in small batches meanwhile."""
     with small_batches(df.sparkSession):

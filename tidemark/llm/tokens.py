@@ -81,7 +81,7 @@ def encoder(path: str, kind: str, width: int = 4) -> Encoder:
     return found
 
 
-def in_pieces(texts: pa.Array, limit: int = 4 << 20) -> Iterator[list[str]]:
+def in_pieces(texts: pa.Array, limit: int = 1 << 20) -> Iterator[list[str]]:
     """The texts as Python strings, about ``limit`` bytes at a time."""
     for a, b in slices(texts, limit):
         yield texts.slice(a, b - a).to_pylist()

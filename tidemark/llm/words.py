@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 # Any odd factor and any seed do; every task has to use the same ones.
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
-_SLICE_BYTES = 1 << 20
+_SLICE_BYTES = 1 << 18
 _LETTERS = np.random.Generator(np.random.PCG64(20240501)).integers(1, 1 << 63, 256).astype(np.uint64)
 _FOLDED = _LETTERS.copy()
 _FOLDED[65:91] = _LETTERS[97:123]
