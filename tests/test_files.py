@@ -4,6 +4,7 @@ import dataclasses
 import hashlib
 import os
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import put
 from tidemark.operators import ledger as L
+from tidemark.operators import archive as archiving
+from tidemark.operators.archive import _put_away as archive_file
 from tidemark.operators.archive import archive
 from tidemark.operators.filters import delta_filter
 from tidemark.operators.metrics import run_totals, transfer_time_percentiles
@@ -20,7 +23,8 @@ from tidemark.operators.verify import verify
 from tidemark.options import TransferOptions
 from tidemark.plans.properties import options_from_properties
 from tidemark.plans.run import run_transfer
-from tidemark.sources.content import checksum_files
+from tidemark.sources import fs, listing
+from tidemark.sources.content import checksum_files, read_content
 from tidemark.sources.listing import scan_files, walk_files
 from tidemark.sources.manifest import sftp_manifest, store_manifest
 from tidemark.sources.watermark import commit_watermark, read_watermark, read_watermark_text
@@ -92,7 +96,9 @@ def test_walk_keeps_the_window_only(spark, filled):
 
 def test_unfinished_files_are_not_listed(spark, filled):
     put(filled / "in", ".b.csv.77-1.tidemark-part")
-    assert ".b.csv.77-1.tidemark-part" not in names(walk_files(spark, str(filled / "in")))
+    put(filled / "in", "own.tidemark-part")
+    found = names(walk_files(spark, str(filled / "in")))
+    assert ".b.csv.77-1.tidemark-part" not in found and "own.tidemark-part" in found
 
 
 def test_names_that_are_no_text(spark, folders):
@@ -112,11 +118,25 @@ def test_walk_is_not_recursive_on_request(spark, filled):
     assert walk_files(spark, str(filled / "in"), subtree="nope").count() == 0
 
 
-def test_scan_skips_hidden_names_and_empty_files_and_prunes(spark, filled):
+def test_scan_drops_nothing_and_prunes(spark, filled):
     files = scan_files(spark, str(filled / "in"), FROM, TO)
     assert {"a.csv", "c.txt", "z.csv.gz"}.isdisjoint(names(files))
-    found = names(delta_filter(files, FROM, TO, on="mtime"))
-    assert found == sorted(n for n in IN_WINDOW if not os.path.basename(n).startswith(("_", ".")) and n != "a b.csv")
+    assert names(delta_filter(files, FROM, TO, on="mtime")) == IN_WINDOW
+    assert names(scan_files(spark, str(filled / "in"))) == names(walk_files(spark, str(filled / "in")))
+
+
+def test_contents_of_empty_and_hidden_files(spark, filled):
+    found = {os.path.relpath(r.path, filled / "in"): r for r in read_content(spark, str(filled / "in")).collect()}
+    assert sorted(found) == names(walk_files(spark, str(filled / "in")))
+    assert (found["a b.csv"].content, found[".y.csv"].content, found["_x.csv"].size) == (b"", b"y", 1)
+
+
+def test_a_task_that_does_not_see_the_root_fails(folders):
+    assert list(listing._entries(str(folders / "in"), str(folders / "in/gone meanwhile"))) == []
+    with pytest.raises(FileNotFoundError):
+        list(listing._entries(str(folders / "nope"), str(folders / "nope")))
+    with pytest.raises(FileNotFoundError):
+        list(listing._entries(str(folders / "nope"), str(folders / "nope/sub")))
 
 
 def test_empty_folder_lists_nothing_and_missing_folder_fails(spark, filled):
@@ -124,7 +144,7 @@ def test_empty_folder_lists_nothing_and_missing_folder_fails(spark, filled):
     assert scan_files(spark, str(filled / "in/empty")).count() == 0
     with pytest.raises(FileNotFoundError):
         walk_files(spark, str(filled / "in/nope"))
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileNotFoundError):
         scan_files(spark, str(filled / "in/nope"))
 
 
@@ -210,6 +230,35 @@ def test_failed_file_rewritten_since_goes_once(spark, filled):
     assert [(r.relpath, r.mtime_s, r.check) for r in run.ledger.collect()] == [("b.csv", TO + 10, "verified")]
 
 
+def test_failure_of_a_run_that_moves_no_watermark_goes_again_once(spark, filled):
+    run_transfer(spark, options(filled), "r1", (TO + 200) * 1000)
+    (filled / "out/a.csv").unlink()
+    (filled / "out/a.csv").mkdir()
+    back = run_transfer(spark, options(filled, from_delta=0), "backfill", TO * 1000)
+    assert not back.committed and back.ledger.where("relpath = 'a.csv'").first().check == "failed"
+    (filled / "out/a.csv").rmdir()
+    again = run_transfer(spark, options(filled), "r2", (TO + 300) * 1000)
+    assert [(r.relpath, r.check) for r in again.ledger.collect()] == [("a.csv", "verified")]
+    assert names(run_transfer(spark, options(filled), "r3", (TO + 400) * 1000).ledger) == []
+
+
+def test_resumed_run_keeps_its_window(spark, filled, monkeypatch):
+    """It dies with a plan up to TO; what arrives later belongs to the next run, whenever it is resumed."""
+    from tidemark.plans import run as plans
+
+    def dies(*rest, **more):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(plans, "transfer", dies)
+        with pytest.raises(RuntimeError):
+            run_transfer(spark, options(filled), "r1", TO * 1000)
+    put(filled / "in", "later.csv", b"l", TO + 20)
+    first = run_transfer(spark, options(filled), "r1", (TO + 30) * 1000)
+    assert first.to_s == TO and "later.csv" not in names(first.ledger)
+    assert names(run_transfer(spark, options(filled), "r2", (TO + 30) * 1000).ledger) == ["later.csv"]
+
+
 def test_vanished_file_is_missing_not_failed(spark, filled):
     plan = plan_transfer(sftp_manifest(walk_files(spark, str(filled / "in"), subtree="sub"), "c", "u", "h"), str(filled / "out"))
     (filled / "in/sub/d.csv").unlink()
@@ -315,7 +364,7 @@ def test_sealed_files_come_back(spark, folders):
 
 def test_damaged_sealed_files_are_not_published(spark, folders):
     body = os.urandom(3 * 1024 * 1024)
-    for name in ("flip", "cut", "swap", "short", "good"):
+    for name in ("flip", "cut", "swap", "short", "splice", "good"):
         put(folders / "in", name, body)
     there, back = sealed_pair(spark, folders, retries=1)
     run_transfer(spark, there, "r1", TO * 1000)
@@ -323,15 +372,17 @@ def test_damaged_sealed_files_are_not_published(spark, folders):
     whole = (folders / "out/flip.pgp").read_bytes()
     (folders / "out/flip.pgp").write_bytes(whole[:-1] + bytes([whole[-1] ^ 1]))
     cut = (folders / "out/cut.pgp").read_bytes()
-    (folders / "out/cut.pgp").write_bytes(cut[: 2 * record])
+    (folders / "out/cut.pgp").write_bytes(cut[: 20 + 2 * record])
     swap = (folders / "out/swap.pgp").read_bytes()
-    (folders / "out/swap.pgp").write_bytes(swap[record : 2 * record] + swap[:record] + swap[2 * record :])
+    (folders / "out/swap.pgp").write_bytes(swap[:20] + swap[20 + record : 20 + 2 * record] + swap[20 : 20 + record] + swap[20 + 2 * record :])
+    splice = (folders / "out/splice.pgp").read_bytes()
+    (folders / "out/splice.pgp").write_bytes(splice[: 20 + record] + whole[20 + record :])
     short = (folders / "out/short.pgp").read_bytes()
     (folders / "out/short.pgp").write_bytes(short[:-5])
     run = run_transfer(spark, back, "r1", 2_000_000_000_000)
     found = {row.relpath: (row.status, row.attempts) for row in run.ledger.collect()}
     assert found.pop("good.pgp") == ("copied", 1)
-    assert set(found.values()) == {("failed", 2)} and len(found) == 4
+    assert set(found.values()) == {("failed", 2)} and len(found) == 5
     assert [path.name for path in (folders / "back").iterdir()] == ["good"]
 
 
@@ -431,6 +482,20 @@ def test_archive_never_overwrites(spark, filled):
     assert status["b.csv"] == "collision" and (filled / "done/b.csv").read_bytes() == b"of an earlier day"
 
 
+def test_archive_in_another_file_system(spark, folders, monkeypatch):
+    """Part of a copy, left by a lost attempt, is in nobody's way; an original goes only once its copy is whole."""
+    path = put(folders / "in", "b.csv", b"bb")
+    part = put(folders / "done", ".b.csv.7-1.tidemark-part", b"b")
+    one = archive_file("rename")
+    monkeypatch.setitem(fs._OPENED, ("file", "other"), fs.pafs.LocalFileSystem())
+    monkeypatch.setattr(archiving, "open_fs", lambda uri: (fs._OPENED["file", "other"], uri) if "/done/" in uri else fs.open_fs(uri))
+    row = {"relpath": "b.csv", "mtime_s": 1_000_000_050, "path": str(path), "size": 2, "md5_source": "", "action": "encrypt",
+           "archive_target": str(folders / "done/b.csv"), "refused": None}
+    done = pd.concat(one([pd.DataFrame([row])]))
+    assert list(done["archive_status"]) == ["archived"] and not path.exists()
+    assert (folders / "done/b.csv").read_bytes() == b"bb" and part.exists()
+
+
 def test_archive_onto_itself_is_refused(spark, filled):
     ledger = run_transfer(spark, options(filled), "r1", TO * 1000).ledger
     assert {r.archive_status for r in archive(ledger, "rename", str(filled / "in")).collect()} == {"same_path"}
@@ -587,7 +652,7 @@ def test_stream_sees_each_path_once(spark, filled):
     source, table, checkpoint = str(filled / "in"), str(filled / "table"), str(filled / "checkpoint")
 
     def drain():
-        append_stream(stream_listing(spark, source, regex=r".*\.csv", max_file_age="36500d"), table, checkpoint).awaitTermination()
+        append_stream(stream_listing(spark, source, regex=r".*\.csv"), table, checkpoint).awaitTermination()
         return names(spark.read.parquet(table))
 
     first = drain()
@@ -597,31 +662,33 @@ def test_stream_sees_each_path_once(spark, filled):
     assert drain() == sorted(first + ["new.csv"])
 
 
-def test_stream_cleans_its_source_one_batch_late(spark, filled):
-    source, table, checkpoint = str(filled / "in/sub"), str(filled / "table"), str(filled / "checkpoint")
-
+def test_stream_keeps_originals_that_were_not_copied_and_tries_again(spark, filled):
     def drain():
-        stream = stream_listing(spark, source, max_file_age="36500d", clean_source="delete")
-        append_stream(stream, table, checkpoint).awaitTermination()
-
-    drain()
-    assert (filled / "in/sub/d.csv").exists()
+        manifest = sftp_manifest(stream_listing(spark, str(filled / "in/sub")), "c", "u", "h")
+        place = str(filled / "out"), f"{filled}/ledger", f"{filled}/checkpoint"
+        stream_transfer(manifest, *place, "s", 0, 0, "rename", str(filled / "done")).awaitTermination()
+        return {r.relpath: r.check for r in L.latest_version(L.read_ledger(spark, f"{filled}/ledger"), by="end_ms").collect()}
+
+    put(filled / "in", "sub/bad.csv")
+    (filled / "out/bad.csv").mkdir()
+    assert drain() == {"bad.csv": "failed", "d.csv": "verified"}
     put(filled / "in", "sub/e.csv")
-    drain()
-    put(filled / "in", "sub/f.csv")
-    drain()
-    assert not (filled / "in/sub/d.csv").exists() and (filled / "in/sub/f.csv").exists()
+    assert drain() == {"bad.csv": "failed", "d.csv": "verified", "e.csv": "verified"}
+    assert (filled / "in/sub/bad.csv").exists() and not (filled / "in/sub/d.csv").exists()
+    (filled / "out/bad.csv").rmdir()
+    assert drain()["bad.csv"] == "verified" and (filled / "done/bad.csv").exists()
 
 
 def test_stream_transfer_accounts_for_every_batch(spark, filled):
     def drain():
-        files = stream_listing(spark, str(filled / "in"), max_file_age="36500d", max_files_per_trigger=3)
+        files = stream_listing(spark, str(filled / "in"), max_files_per_trigger=3)
         manifest = sftp_manifest(files, "c", "u", "h")
         stream_transfer(manifest, str(filled / "out"), f"{filled}/ledger", f"{filled}/checkpoint", "s", 0, 0).awaitTermination()
         return L.read_ledger(spark, f"{filled}/ledger")
 
     ledger = drain()
-    assert names(ledger) == names(scan_files(spark, str(filled / "in")))
+    shown = [n for n in names(walk_files(spark, str(filled / "in"))) if os.path.basename(n)[0] not in "._"]
+    assert names(ledger) == [n for n in shown if n != "a b.csv"]
     assert {r.check for r in ledger.collect()} == {"verified"} and ledger.select("run_id").distinct().count() > 1
     assert drain().count() == ledger.count()
 

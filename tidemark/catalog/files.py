@@ -90,7 +90,7 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {FILES_SQL} select relpath, size, mtime_s from files where {in_window_sql('mtime_s')}")
 def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The window by Spark's file scan: pruned while listing, then exact."""
+    """The window by times: pruned while listing, then exact."""
     files = scan_files(spark, _exported(spark, sf_dir), FROM_S, TO_S)
     return delta_filter(files, FROM_S, TO_S, on="mtime").select("relpath", "size", "mtime_s")
 
@@ -176,7 +176,7 @@ def audited_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 with {FILES_SQL}
 select relpath || '.pgp' as relpath, 'application/octet-stream' as content_type, size as bytes, md5 as md5_target,
-       size + 32 * greatest(1, ceil(size / 1048576.0))::bigint as sealed_bytes, 'verified' as "check"
+       size + 20 + 32 * greatest(1, ceil(size / 1048576.0))::bigint as sealed_bytes, 'verified' as "check"
 from files
 """)
 def sealed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +302,7 @@ def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New files as a stream, drained into a table; a second drain adds nothing."""
     found, checkpoint = new_folder(spark, "found"), new_folder(spark, "checkpoint")
     for _ in range(2):
-        stream = stream_listing(spark, _exported(spark, sf_dir), regex=r".*\.txt", max_file_age="36500d")
+        stream = stream_listing(spark, _exported(spark, sf_dir), regex=r".*\.txt")
         append_stream(stream, found, checkpoint).awaitTermination()
     return spark.read.parquet(found).select("relpath", "size", "mtime_s")
 
@@ -311,7 +311,7 @@ def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every micro-batch is copied, checked and accounted for."""
     state = new_folder(spark, "state")
-    files = stream_listing(spark, _exported(spark, sf_dir), max_file_age="36500d")
+    files = stream_listing(spark, _exported(spark, sf_dir))
     manifest = store_manifest(files, "store", "gs://bucket/in")
     stream_transfer(manifest, _target(spark), f"{state}/ledger", f"{state}/checkpoint", "stream", wait_s=0).awaitTermination()
     return read_ledger(spark, f"{state}/ledger").select("relpath", "bytes", "md5_target", "check")

@@ -14,7 +14,7 @@ from tidemark.operators.ledger import sent
 from tidemark.schemas import PUT_AWAY, require_columns
 from tidemark.session import materialize
 from tidemark.sources.content import digest
-from tidemark.sources.fs import exists, make_parent, move, open_fs, strip_file_scheme
+from tidemark.sources.fs import exists, make_parent, move, open_fs, strip_file_scheme, unfinished
 from tidemark.spread import spread
 
 # A name shared by more files than this is looked up by broadcast: there can be
@@ -95,9 +95,14 @@ def _put_away(mode: str):
         if target_files is files:
             move(files, raw, target_raw)
         else:
-            pafs.copy_files(raw, target_raw, source_filesystem=files, destination_filesystem=target_files)
-            if md5 is not None and digest(target) != md5:
+            # Under a name of its own until it is known to be whole: part of a file would be in the way for ever.
+            part = unfinished(target)
+            part_raw = open_fs(part)[1]
+            pafs.copy_files(raw, part_raw, source_filesystem=files, destination_filesystem=target_files)
+            if digest(part) != (md5 or digest(path)):
+                target_files.delete_file(part_raw)
                 raise OSError(f"archive copy differs: {target}")
+            move(target_files, part_raw, target_raw)
             files.delete_file(raw)
         return "archived"
 

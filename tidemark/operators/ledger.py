@@ -6,14 +6,16 @@ import re
 from dataclasses import dataclass
 from datetime import date
 
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.paths import is_encrypted
 from tidemark.operators.verify import check_status
-from tidemark.schemas import LEDGER, OUTCOME, require_columns
+from tidemark.schemas import LEDGER, OUTCOME, PENDING, require_columns
 from tidemark.session import read_table
+from tidemark.sources.fs import exists, open_fs
 
 VERSION = ["relpath", "mtime_s"]
 
@@ -68,6 +70,32 @@ def unsent(ledger: DataFrame) -> DataFrame:
     return ledger.where(F.col("check").isin("failed", "mismatch"))
 
 
+def _versions(uri: str) -> list[int]:
+    """The whole versions of a pipeline's pending files, oldest first."""
+    files, path = open_fs(uri)
+    found = files.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+    numbers = [int(i.base_name.partition("=")[2]) for i in found if re.fullmatch(r"version=[0-9]+", i.base_name)]
+    return sorted(n for n in numbers if exists(f"{uri}/version={n}/_SUCCESS"))
+
+
+def read_pending(spark: SparkSession, uri: str, pipeline: str) -> DataFrame | None:
+    """The files a pipeline still owes, whichever run left them; None before anything was written."""
+    at = f"{uri.rstrip('/')}/pipeline={pipeline}"
+    versions = _versions(at)
+    return spark.read.schema(PENDING).parquet(f"{at}/version={versions[-1]}") if versions else None
+
+
+def write_pending(rows: DataFrame, uri: str, pipeline: str) -> None:
+    """Replace what a pipeline owes. The version before stays, for those who read it just now."""
+    at = f"{uri.rstrip('/')}/pipeline={pipeline}"
+    versions = _versions(at)
+    new = versions[-1] + 1 if versions else 1
+    rows.select(*PENDING.fieldNames()).write.mode("overwrite").parquet(f"{at}/version={new}")
+    for old in versions[:-1]:
+        files, path = open_fs(f"{at}/version={old}")
+        files.delete_dir(path)
+
+
 def latest_version(rows: DataFrame, key: str = "relpath", by: str = "mtime_s") -> DataFrame:
     """The newest row of each path.
 

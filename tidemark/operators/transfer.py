@@ -11,13 +11,11 @@ from __future__ import annotations
 
 import hashlib
 import os
-import posixpath
 import time
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -28,7 +26,7 @@ from tidemark.functions import paths as P
 from tidemark.schemas import MANIFEST, OUTCOME, PIECE, PLAN, TRANSFERRED, require_columns
 from tidemark.session import materialize, small_batches
 from tidemark.sources.content import digest
-from tidemark.sources.fs import UNFINISHED, make_parent, move, open_fs, replaces_atomically
+from tidemark.sources.fs import make_parent, move, open_fs, replaces_atomically, unfinished
 from tidemark.spread import STREAMS_PER_TASK, flat_schema, flatten_times, map_files, restore_times, spread, task_count
 
 PIECE_BYTES = 1024 * 1024
@@ -89,12 +87,6 @@ def _now_ms() -> int:
     return time.time_ns() // 1_000_000
 
 
-def _attempt() -> str:
-    """A name part no other attempt of any task uses."""
-    context = TaskContext.get()
-    return f"{context.taskAttemptId()}-{time.time_ns()}" if context else str(time.time_ns())
-
-
 class _Target:
     """One file being written: hashed on the way, published only when whole."""
 
@@ -102,8 +94,7 @@ class _Target:
         self.uri = uri
         self.files, self.path = open_fs(uri)
         self.renames = replaces_atomically(self.files)
-        folder, name = posixpath.split(self.path)
-        self.written_as = posixpath.join(folder, f".{name}.{_attempt()}{UNFINISHED}") if self.renames else self.path
+        self.written_as = unfinished(self.path) if self.renames else self.path
         make_parent(self.files, self.path)
         metadata = {"Content-Type": content_type} if content_type and not self.renames else None
         self.stream = self.files.open_output_stream(self.written_as, compression=None, metadata=metadata)
@@ -193,10 +184,14 @@ def _with_outcome(batch: pd.DataFrame, done: list[tuple]) -> pd.DataFrame:
 
 # --- sealed files -----------------------------------------------------------
 #
-# A sealed file is a row of pieces, each a four-byte length and the piece's own
-# AES-GCM text. The piece's number and whether it is the last are authenticated
-# with it, so pieces cannot be dropped, repeated or swapped. Reading, sealing
-# and writing are one narrow stage: pieces stay in order and never shuffle.
+# A sealed file is a header, which is the format's mark and a random id of the
+# file, and a row of pieces, each a four-byte length and the piece's own AES-GCM
+# text. The format and the id, the piece's number and whether it is the last are
+# authenticated with it, so pieces cannot be dropped, repeated, swapped or taken
+# from another file. Reading, sealing and writing are one narrow stage: pieces
+# stay in order and never shuffle.
+SEALED_MARK = b"TMS2"
+SEALED_ID_BYTES = 16
 
 
 def _transfer_sealed(plan: DataFrame, key: Column, retries: int, wait_s: int, tasks: int) -> DataFrame:
@@ -222,7 +217,8 @@ def _seal_once(plan: DataFrame, key: Column, attempt: int, tasks: int) -> DataFr
     pieces = flatten_times(spread(plan, tasks)).mapInPandas(
         _read_pieces, flat_schema(StructType(PLAN.fields + PIECE.fields))
     )
-    place = F.concat_ws(":", "seq", F.when(F.col("last"), "last").otherwise("more"))
+    mark = F.lit(SEALED_MARK.decode())
+    place = F.concat_ws(":", mark, "file_id", "seq", F.when(F.col("last"), "last").otherwise("more"))
     turned = F.when(F.col("action") == "encrypt", crypto.encrypt("piece", key, place)).otherwise(
         crypto.decrypt("piece", key, place)
     )
@@ -246,16 +242,29 @@ def _sealed_pieces(stream) -> Iterator[bytes]:
         yield piece
 
 
-def _numbered(path: str, action: str) -> Iterator[tuple[int, bool, bytes]]:
-    """Pieces with their number and whether they are the last; an empty file is one empty piece."""
+def _file_id(stream) -> str:
+    header = stream.read(len(SEALED_MARK) + SEALED_ID_BYTES)
+    if len(header) < len(SEALED_MARK) + SEALED_ID_BYTES or not header.startswith(SEALED_MARK):
+        raise ValueError("not a sealed file")
+    return header[len(SEALED_MARK) :].hex()
+
+
+def _numbered(path: str, action: str) -> Iterator[tuple[str, int, bool, bytes]]:
+    """Pieces with the id of their file, their number and whether they are the last; an empty file is one empty piece."""
     files, raw = open_fs(path)
-    with files.open_input_stream(raw, compression=None) as stream:
-        pieces = _raw_pieces(stream) if action == "encrypt" else _sealed_pieces(stream)
+    try:
+        opened = files.open_input_stream(raw, compression=None)
+    except FileNotFoundError as problem:
+        raise _SourceGone(str(problem)) from problem
+    with opened as stream:
+        sealing = action == "encrypt"
+        file_id = os.urandom(SEALED_ID_BYTES).hex() if sealing else _file_id(stream)
+        pieces = _raw_pieces(stream) if sealing else _sealed_pieces(stream)
         seq, held = 0, next(pieces, b"")
         for piece in pieces:
-            yield seq, False, held
+            yield file_id, seq, False, held
             seq, held = seq + 1, piece
-        yield seq, True, held
+        yield file_id, seq, True, held
 
 
 def _read_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,14 +274,14 @@ def _read_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in batch.itertuples(index=False):
             start = _now_ms()
             try:
-                for seq, last, piece in _numbered(row.path, row.action):
-                    rows.append((*row, seq, last, piece, None, start))
+                for file_id, seq, last, piece in _numbered(row.path, row.action):
+                    rows.append((*row, file_id, seq, last, piece, None, start))
                     held_bytes += len(piece)
                     if held_bytes >= HELD_BYTES or len(rows) >= 1_000:
                         yield pd.DataFrame(rows, columns=columns)
                         rows, held_bytes = [], 0
             except Exception as problem:
-                rows.append((*row, -1, True, None, f"{type(problem).__name__}: {problem}", start))
+                rows.append((*row, None, -1, True, None, f"{type(problem).__name__}: {problem}", start))
     if rows:
         yield pd.DataFrame(rows, columns=columns)
 
@@ -291,6 +300,8 @@ def _piece_writer(attempt: int):
                             raise ValueError("piece does not fit its tag")
                         if target is None:
                             target = _Target(row.target, row.content_type)
+                            if row.action == "encrypt":
+                                target.write(SEALED_MARK + bytes.fromhex(row.file_id))
                         if row.action == "encrypt":
                             target.write(len(row.piece).to_bytes(4, "big"))
                         target.write(row.piece)
@@ -316,7 +327,8 @@ def _sealed_outcome(row, target: _Target | None, error: str | None, attempt: int
             return "copied", attempt, target.bytes, target.md5.hexdigest(), stored, row.start_ms, _now_ms(), None
         except OSError as problem:
             error = f"{type(problem).__name__}: {problem}"
-    status = "missing" if "FileNotFoundError" in error else "failed"
+    # What the reader said comes first, whatever else an error's text holds.
+    status = "missing" if error.startswith(f"OSError: {_SourceGone.__name__}: ") else "failed"
     return status, attempt, None, None, None, row.start_ms, _now_ms(), error
 
 

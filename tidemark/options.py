@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import (
     BUCKET_PATTERN,
+    BUFFER_BYTES,
     DEFAULT_PORT,
     DEFAULT_RETRIES,
     DEFAULT_SAFETY_S,
@@ -66,7 +67,7 @@ class TransferOptions:
     key_uri: str | None = None
     suffix: str = ENCRYPTED_SUFFIX
     preview: bool = False
-    lister: str = "walk"
+    buffer_bytes: int = BUFFER_BYTES
 
     @property
     def flatten(self) -> bool:
@@ -113,8 +114,8 @@ class TransferOptions:
                 wrong.append("archive_root is required to archive by rename")
             elif _bare(self.archive_root) == _bare(self.source_root):
                 wrong.append("archive_root differs from source_root")
-        if self.lister not in ("walk", "scan"):
-            wrong.append("lister is walk or scan")
+        if self.buffer_bytes <= 0:
+            wrong.append("buffer_bytes is positive")
         if self.regex:
             problem = regex_problem(spark, self.regex)
             if problem:

@@ -40,6 +40,9 @@ MANIFEST = _schema(
     ("mtime", TimestampType()),
 )
 
+# Files still to be sent: the manifest and where each file lies.
+PENDING = StructType(MANIFEST.fields + _schema(("path", _STRING)).fields)
+
 # The manifest plus where each file goes.
 PLAN = StructType(
     MANIFEST.fields
@@ -66,7 +69,8 @@ OUTCOME = _schema(
 
 # A piece of a file on its way through encryption.
 PIECE = _schema(
-    ("seq", _INT), ("last", _BOOL), ("piece", BinaryType()), ("read_error", _STRING), ("start_ms", _LONG)
+    ("file_id", _STRING), ("seq", _INT), ("last", _BOOL), ("piece", BinaryType()), ("read_error", _STRING),
+    ("start_ms", _LONG),
 )
 
 TRANSFERRED = StructType(PLAN.fields + OUTCOME.fields)
@@ -95,6 +99,9 @@ WATERMARKS = _schema(
     ("pipeline", _STRING),
 )
 
+# What a run set out to do; a resumed run does the same.
+WINDOW = _schema(("from_s", _LONG), ("to_s", _LONG))
+
 METRICS = StructType(_schema(("file", _STRING), ("metric", _STRING), ("value", _LONG)).fields + RUN.fields)
 
 

@@ -1,4 +1,4 @@
-"""File bytes as rows: whole files by Spark's scan, or bounded pieces read in tasks."""
+"""File bytes as rows, or as digests of bounded pieces, read in tasks."""
 
 from __future__ import annotations
 
@@ -8,27 +8,38 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 from tidemark.fixed import BUFFER_BYTES
 from tidemark.schemas import require_columns
 from tidemark.sources.fs import open_fs
+from tidemark.sources.listing import walk_files
 from tidemark.spread import STREAMS_PER_TASK, map_files
 
+# Contents handed on at once.
+_HELD_BYTES = 4 * 1024 * 1024
+
+
 def read_content(spark: SparkSession, roots: str | list[str]) -> DataFrame:
-    """path, content, size, mtime of whole files; each has to fit in a row. Empty files give none."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(roots)
-        .select(
-            F.regexp_replace("path", "^file:/+", "/").alias("path"),
-            "content",
-            F.col("length").alias("size"),
-            F.col("modificationTime").alias("mtime"),
-        )
-    )
+    """path, content, size, mtime of whole files, empty and hidden ones too; each has to fit in a row."""
+
+    def read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at, contents, held = 0, [], 0
+            for path in batch["path"]:
+                files, raw = open_fs(path)
+                with files.open_input_stream(raw, compression=None) as stream:
+                    contents.append(stream.read())
+                held += len(contents[-1])
+                if held >= _HELD_BYTES:
+                    yield batch.iloc[at : at + len(contents)].assign(content=contents)
+                    at, contents, held = at + len(contents), [], 0
+            if contents:
+                yield batch.iloc[at:].assign(content=contents)
+
+    files = walk_files(spark, roots).select("path", "size", "mtime")
+    found = map_files(files, read_batches, StructType().add("content", BinaryType()))
+    return found.select("path", "content", "size", "mtime")
 
 
 def digest(uri: str, buffer_bytes: int = BUFFER_BYTES) -> str:

@@ -4,18 +4,30 @@ from __future__ import annotations
 
 import posixpath
 import re
+import time
 
 from pyarrow import fs as pafs
+from pyspark import TaskContext
 
 _URI = re.compile(r"\A([A-Za-z][A-Za-z0-9+.\-]*)://([^/]*)(/.*)?\Z", re.S)
 # Hadoop's names for schemes that go by another name here.
 _ALIASES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
 # Ends the name of a file that is still being written.
 UNFINISHED = ".tidemark-part"
+# Such a name in full; a source file that merely ends like it is a file like any other.
+UNFINISHED_PATH = r"/\.[^/]+\.[0-9]+(-[0-9]+)?\.tidemark-part\z"
 _OBJECT_STORES = ("s3", "gcs", "abfs")
 _OPENED: dict[tuple[str, str], pafs.FileSystem] = {}
 
 
+def unfinished(path: str) -> str:
+    """Where a file is written before it gets its name: beside it, under a name no other attempt of any task uses."""
+    context = TaskContext.get()
+    attempt = f"{context.taskAttemptId()}-{time.time_ns()}" if context else str(time.time_ns())
+    folder, name = posixpath.split(path)
+    return posixpath.join(folder, f".{name}.{attempt}{UNFINISHED}")
+
+
 def strip_file_scheme(uri: str) -> str:
     return re.sub(r"\Afile:/+", "/", uri)
 

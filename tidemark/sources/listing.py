@@ -5,9 +5,7 @@ over the executors, and writes its entries to the shared folder. Neither the
 driver nor one task ever holds the whole listing, and names Spark's own file
 scan skips (leading ``_`` or ``.``) are found.
 
-``scan_files`` is the ``binaryFile`` scan without its content column. It serves
-every file system Hadoop knows and prunes by time while listing, but it skips
-hidden names and empty files and keeps the file index on the driver.
+``scan_files`` is the same walk between two times, either of which may be open.
 """
 
 from __future__ import annotations
@@ -25,7 +23,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.paths import relative_path
 from tidemark.schemas import LISTING
 from tidemark.session import literal_rows, new_folder, qualify
-from tidemark.sources.fs import UNFINISHED, exists, is_local, open_fs, require_folder, strip_file_scheme
+from tidemark.sources.fs import UNFINISHED_PATH, exists, is_local, open_fs, require_folder, strip_file_scheme
 
 _FOLDER = StructType([field for field in LISTING if field.name in ("root", "path")])
 _ROWS_PER_BATCH = 10_000
@@ -37,14 +35,20 @@ def _as_roots(spark: SparkSession, roots: str | list[str]) -> list[str]:
     return [strip_file_scheme(qualify(spark, root)).rstrip("/") or "/" for root in roots]
 
 
-def _entries(folder: str) -> Iterator[tuple[str, int, int, bool]]:
+def _entries(root: str, folder: str) -> Iterator[tuple[str, int, int, bool]]:
     """(path, size, mtime_us, is_dir) of the regular files and folders in one folder.
 
-    Links are neither: following them could leave the tree or never end.
+    Links are neither: following them could leave the tree or never end. A folder may go away between its level and
+    the next, but a task that does not see the root at all has no say in that, and fails.
     """
     prefix = folder.rstrip("/") + "/"
     if is_local(folder):
-        with suppress(FileNotFoundError), os.scandir(folder) as found:
+        try:
+            found = os.scandir(folder)
+        except FileNotFoundError:
+            require_folder(root)
+            return
+        with found:
             for entry in found:
                 is_dir = entry.is_dir(follow_symlinks=False)
                 if is_dir or entry.is_file(follow_symlinks=False):
@@ -53,8 +57,10 @@ def _entries(folder: str) -> Iterator[tuple[str, int, int, bool]]:
                         yield prefix + _text(entry.name, is_dir), stat.st_size, stat.st_mtime_ns // 1000, is_dir
         return
     files, path = open_fs(folder)
-    # A folder may go away between its level and the next; a root was checked.
-    for info in files.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
+    found = files.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+    if not found:
+        require_folder(root)
+    for info in found:
         if info.type in (pafs.FileType.File, pafs.FileType.Directory):
             is_dir = info.type == pafs.FileType.Directory
             yield prefix + info.base_name, info.size or 0, (info.mtime_ns or 0) // 1000, is_dir
@@ -82,7 +88,7 @@ def _lister(window: tuple[int, int] | None):
         rows = []
         for batch in batches:
             for root, folder in zip(batch["root"], batch["path"]):
-                for path, size, mtime_us, is_dir in _entries(folder):
+                for path, size, mtime_us, is_dir in _entries(root, folder):
                     if wanted(mtime_us, is_dir):
                         rows.append((root, path, size, mtime_us, is_dir))
                     if len(rows) >= _ROWS_PER_BATCH:
@@ -126,32 +132,18 @@ def walk_files(spark: SparkSession, roots: str | list[str], recursive: bool = Tr
 
 def scan_files(spark: SparkSession, roots: str | list[str], modified_after_s: int | None = None,
                modified_before_s: int | None = None) -> DataFrame:
-    """The same columns by Spark's file scan; time bounds are half-open, as in the delta window."""
-    roots = _as_roots(spark, roots)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if modified_after_s is not None:
-        reader = reader.option("modifiedAfter", _iso(modified_after_s)).option("timeZone", "UTC")
-    if modified_before_s is not None:
-        reader = reader.option("modifiedBefore", _iso(modified_before_s + 1)).option("timeZone", "UTC")
-    path = F.regexp_replace("path", "^file:/+", "/")
-    root = F.coalesce(*[F.when(path.startswith(r.rstrip("/") + "/"), r) for r in sorted(roots, key=len, reverse=True)])
-    return _as_files(
-        reader.load(roots).select(
-            root.alias("root"),
-            path.alias("path"),
-            F.col("length").alias("size"),
-            F.unix_micros("modificationTime").alias("mtime_us"),
-        )
-    )
+    """Files between two times, left-exclusive and right-inclusive as in the delta window; empty and hidden ones too.
 
-
-def _iso(seconds: int) -> str:
-    return pd.Timestamp(seconds, unit="s").strftime("%Y-%m-%dT%H:%M:%S")
+    Spark's own file source would be shorter, but it passes over both kinds.
+    """
+    after = modified_after_s if modified_after_s is not None else -(1 << 62)
+    before = modified_before_s if modified_before_s is not None else 1 << 62
+    return walk_files(spark, roots, window=(after, before))
 
 
 def _as_files(entries: DataFrame) -> DataFrame:
     mtime = F.timestamp_micros("mtime_us")
-    return entries.where(~F.col("path").endswith(UNFINISHED)).select(
+    return entries.where(~F.col("path").rlike(UNFINISHED_PATH)).select(
         "root",
         "path",
         relative_path("path", F.col("root")).alias("relpath"),

@@ -1,11 +1,13 @@
 """The same listing and transfer as a file stream, for folders whose files are written once.
 
 The stream's checkpoint takes the watermark's place. It remembers paths, so a
-file rewritten under its old name is not seen again; use the batch run there.
+file rewritten under its old name is not seen again, and Spark's file source
+passes over empty files and hidden names; use the batch run there.
 """
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +18,12 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructType, Time
 from tidemark.fixed import DEFAULT_RETRIES, DEFAULT_WAIT_S
 from tidemark.functions.paths import relative_path
 from tidemark.operators.filters import name_filter, regular_files, subtree_filter
-from tidemark.operators.ledger import Run, write_ledger
+from tidemark.operators.archive import archive
+from tidemark.operators.ledger import Run, read_pending, read_run, retry_set, unsent, write_ledger, write_pending
 from tidemark.operators.transfer import plan_transfer, transfer
-from tidemark.session import work_folder
-from tidemark.sources.fs import require_folder, strip_file_scheme
+from tidemark.schemas import LEDGER, PENDING
+from tidemark.session import materialize, work_folder
+from tidemark.sources.fs import exists, make_folder, require_folder, strip_file_scheme
 
 _LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
@@ -34,12 +38,11 @@ _FILE = (
 
 
 def stream_listing(spark: SparkSession, root: str, regex: str | None = None, subtree: str = "",
-                   recursive: bool = True, max_file_age: str | None = None, clean_source: str | None = None,
-                   archive_dir: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New files as a stream of listing rows; contents stay unread.
+                   recursive: bool = True, max_file_age: str = "36500d",
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """New files as a stream of listing rows; contents stay unread, and originals where they are.
 
-    ``clean_source`` (``archive`` or ``delete``) acts on a batch when the next
-    one commits, so the last batch's originals stay until then.
+    No file is too old by default. A lower ``max_file_age`` forgets old paths, and drops files that arrive later than that.
     """
     root = strip_file_scheme(root).rstrip("/")
     require_folder(root)
@@ -49,8 +52,6 @@ def stream_listing(spark: SparkSession, root: str, regex: str | None = None, sub
     reader = spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
     settings = {
         "maxFileAge": max_file_age,
-        "cleanSource": clean_source,
-        "sourceArchiveDir": archive_dir,
         "maxFilesPerTrigger": max_files_per_trigger,
     }
     for name, value in settings.items():
@@ -80,19 +81,51 @@ def append_stream(stream: DataFrame, table_uri: str, checkpoint_uri: str) -> Str
 
 
 def stream_transfer(manifest_stream: DataFrame, target_root: str, ledger_uri: str, checkpoint_uri: str,
-                    pipeline: str, retries: int = DEFAULT_RETRIES, wait_s: int = DEFAULT_WAIT_S) -> StreamingQuery:
-    """Copy every micro-batch and account for it; a batch run again replaces its ledger partition."""
+                    pipeline: str, retries: int = DEFAULT_RETRIES, wait_s: int = DEFAULT_WAIT_S,
+                    archive_mode: str | None = None, archive_root: str | None = None) -> StreamingQuery:
+    """Copy every micro-batch and account for it; a batch run again is not copied again.
+
+    Files that failed are pending, in a table beside the ledger: they go again when this is called again, and with
+    every batch. Originals are put away (``archive_mode``: ``rename`` or ``remove``) by what the ledger says of them.
+    """
     require_folder(target_root)
+    pending = f"{ledger_uri.rstrip('/')}-pending"
 
-    def copy_batch(batch: DataFrame, batch_id: int) -> None:
-        # Dated by its newest file, so that a repeated batch finds its partition again.
-        newest = batch.agg(F.max("mtime_s")).first()[0]
-        if newest is not None:
-            run_date = datetime.fromtimestamp(newest, timezone.utc).date()
-            with work_folder(batch.sparkSession):
-                outcome = transfer(plan_transfer(batch, target_root), retries, wait_s)
-                write_ledger(outcome, ledger_uri, Run(pipeline, run_date, f"batch-{batch_id}"))
+    def dated(rows: DataFrame, run_id: str) -> Run | None:
+        # By the newest file, so that a repeated batch finds its partition again.
+        newest = rows.agg(F.max("mtime_s")).first()[0]
+        return None if newest is None else Run(pipeline, datetime.fromtimestamp(newest, timezone.utc).date(), run_id)
 
+    def send(rows: DataFrame, run: Run) -> None:
+        write_ledger(transfer(plan_transfer(rows, target_root), retries, wait_s), ledger_uri, run)
+
+    def settle(spark: SparkSession, run: Run) -> None:
+        ledger = read_run(spark, ledger_uri, LEDGER, run)
+        if archive_mode:
+            archive(ledger, archive_mode, archive_root)
+        write_pending(unsent(ledger), pending, pipeline)
+
+    def copy_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        sent_before = f"{checkpoint_uri.rstrip('/')}/transferred/{batch_id}"
+        with work_folder(spark):
+            rows = materialize(batch.select(*PENDING.fieldNames()), "batch")
+            run = dated(rows, f"batch-{batch_id}")
+            if run is not None:
+                # Originals may have been put away since.
+                if not exists(sent_before):
+                    before = read_pending(spark, pending, pipeline)
+                    send(rows if before is None else retry_set(rows, before, ["relpath"]), run)
+                    make_folder(sent_before)
+                settle(spark, run)
+
+    spark = manifest_stream.sparkSession
+    waiting = read_pending(spark, pending, pipeline)
+    again = None if waiting is None else dated(waiting, f"retry-{time.time_ns() // 1_000_000}")
+    if again is not None:
+        with work_folder(spark):
+            send(waiting, again)
+            settle(spark, again)
     return (
         manifest_stream.writeStream.foreachBatch(copy_batch)
         .option("checkpointLocation", checkpoint_uri)
