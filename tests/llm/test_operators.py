@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tidemark.llm import ann, chat, decontaminate, langid, neardup, packing, phrases, pii, queries, secrets, tokenfiles
 from tidemark.llm.components import components
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import Encoder, encoder
 from tidemark.session import new_folder
 from tests.compare import difference, duck
 
@@ -138,6 +138,21 @@ def test_encoder(texts, path, kind):
     assert coded == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_added_tokens_get_their_own_ids(spark):
+    """Against tokenizers as their files give them, without any setting."""
+    texts = ["one <|endoftext|> two", "<|startoftext|>One", "a<|endoftext|><|endoftext|>", "<|ENDOFTEXT|>", "日本 <|endoftext|>\n é", "<|endoftext", "plain"]
+    for path, kind in ((WORD, "word"), (BYTE, "byte")):
+        coded = [np.frombuffer(x, "<u4").tolist() for x in encoder(path, kind).encode(texts)]
+        assert coded == [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    crc = lambda path, t, end: zlib.crc32(np.array([*Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids, end], "<u4").tobytes())
+    placed = packing.pack(df, WORD, "word", 1)[1].collect()
+    assert {r["doc_id"]: r["ids_crc32"] for r in placed} == {i: crc(WORD, t, 1) for i, t in enumerate(texts)}
+    files = tokenfiles.write_token_files(df, new_folder(spark, "t"), BYTE, "byte", 0, 50_257, length=16)
+    rows = tokenfiles.read_token_files(files).collect()
+    assert {r["doc_id"]: r["ids_crc32"] for r in rows} == {i: crc(BYTE, t, 0) for i, t in enumerate(texts)}
+
+
 def test_packing(docs, texts):
     settings = packing.Settings(capacity=64)
     pieces, placed = packing.pack(docs, WORD, "word", 1, settings)

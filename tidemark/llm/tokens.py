@@ -2,7 +2,8 @@
 
 A text of nothing but Latin letters, digits, marks, spaces and line ends is cut into the tokenizer's
 own pre-tokens, and the library's model merges each pre-token that the worker does not know yet. What
-goes before the model is simple for such texts. Any other text goes through the whole library.
+goes before the model is simple for such texts. Any other text goes through the whole library, and so
+does one that holds an added token's text (``<|endoftext|>``), which becomes that token's id, as the library does by default.
 """
 
 from __future__ import annotations
@@ -33,14 +34,16 @@ _LOADED: dict[tuple[str, str, int], Encoder] = {}
 
 class Encoder:
     """One tokenizer file in one Python worker. ``kind``: ``byte`` (byte-level) or ``word`` (lower case, word ends);
-    ``width``: bytes of an id in the results."""
+    ``width``: bytes of an id in the results; ``added``: an added token's text becomes its id, as in all operators (``encoder``)."""
 
-    def __init__(self, path: str, kind: str, width: int = 4):
+    def __init__(self, path: str, kind: str, width: int = 4, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.holds = re.compile("|".join(map(re.escape, contents)) or r"(?!)").search
         self.lower = kind == "word"
         self.cut = re.compile(_PATTERNS[kind]).findall
         self.kind = np.dtype(f"<u{width}")
@@ -62,7 +65,7 @@ class Encoder:
         """The ids of each text, little-endian."""
         known = self.known
         for text in texts:
-            if not _PLAIN.fullmatch(text):
+            if not _PLAIN.fullmatch(text) or self.holds(text):
                 yield self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
                 continue
             pieces = self.cut(text.lower() if self.lower else text)
@@ -77,7 +80,7 @@ def encoder(path: str, kind: str, width: int = 4) -> Encoder:
     """The worker's encoder of that file, made once."""
     found = _LOADED.get((path, kind, width))
     if found is None:
-        found = _LOADED[path, kind, width] = Encoder(path, kind, width)
+        found = _LOADED[path, kind, width] = Encoder(path, kind, width, added=True)
     return found
 
 
