@@ -1,9 +1,9 @@
 """Secrets in texts: a wide pattern proposes, a random forest removes false positives.
 
-Everything is DataFrame work. A candidate is a word with a long run of letters, digits, ``_``, ``+``,
-``/`` or ``-`` that has a digit. What the forest sees of it: its length, the shares of digits, capitals and distinct
+Everything is DataFrame work. A candidate is a long run of letters, digits, ``_``, ``+``,
+``/`` or ``-`` that has a digit; a word (minified JSON, a record of CSV) may hold many. What the forest sees of it: its length, the shares of digits, capitals and distinct
 characters, how often the kind of character changes from one to the next, how much of it is
-made of words that the corpus' documents use, what path it comes from, and the words around it.
+made of words that the corpus' documents use, what path it comes from, and the text in front of it.
 """
 
 from __future__ import annotations
@@ -20,6 +20,10 @@ from tidemark.llm.base import whole, written
 
 # A run of 12 or more with a digit in it; the run is taken whole, so it is looked at once.
 _SHAPE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{12,}+"
+# Ends of fields within a word: a name in front of one does not name what stands behind it.
+_FIELD = r"[,;&?{}\[\]|]"
+# Pieces of a word, and characters of each, that are looked at in front of a candidate: no row grows with its word.
+_PIECES, _REACH = 3, 100
 _WHITE = "[ \\t\\n\\x0B\\f\\r]+"
 _NAMES = "pass|secret|token|key|auth|credential|bearer|pwd"
 # Beginnings of issued keys.
@@ -40,18 +44,30 @@ class Settings:
 
 
 def findings(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """(doc_id, position, candidate, word, before, path) for every word of a text that holds a candidate.
+    """(doc_id, position, place, candidate, lead, before, path) for every candidate of a text.
 
-    ``position`` is the word's number from 0, ``before`` the two words in front. Null and empty texts have none.
-    Repeated rows have the same findings twice; a null id or path stays null.
+    ``position`` is the word's number from 0, ``place`` the candidate's number in its word, ``lead`` what stands in front of it
+    in its field of the word, ``before`` the two words in front if it is in the word's first field, else empty. Null and empty
+    texts have none. Repeated rows have the same findings twice; a null id or path stays null.
     """
     held = documents.select(F.col(doc_id).alias("doc_id"), F.col(path).cast("string").alias("path"), whole(text).alias("t")).where(F.col("t").rlike(_SHAPE))
     words = held.select("doc_id", "path", F.split("t", _WHITE).alias("w"))
     marked = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].rlike(_SHAPE))
     rows = words.select("doc_id", "path", "w", F.explode(marked).alias("m"))
     before = F.array_join(F.slice("w", F.greatest(F.lit(1), F.col("m.i") - 1), F.least(F.lit(2), F.col("m.i"))), " ")
-    return rows.select("doc_id", F.col("m.i").alias("position"), F.regexp_extract("m.x", _SHAPE, 0).alias("candidate"),
-                       F.col("m.x").alias("word"), before.alias("before"), "path")
+    parts = rows.select("doc_id", "path", F.col("m.i").alias("position"), before.alias("before"), F.split("m.x", _SHAPE).alias("gaps"),
+                        F.regexp_extract_all("m.x", F.lit(_SHAPE), F.lit(0)).alias("runs"))
+    # Brackets that open the word end no field.
+    ends = F.transform("gaps", lambda g, i: F.when(i == 0, g.rlike(f"(?s)[A-Za-z0-9_].*{_FIELD}")).otherwise(g.rlike(_FIELD)))
+    parts = parts.withColumn("ended", F.array_position(ends, F.lit(True)))
+    # Candidate i stands between gaps i and i + 1.
+    near = [F.right(F.get("gaps", F.col("place") - k), F.lit(_REACH)) for k in range(_PIECES + 1)]
+    runs = [F.right(F.get("runs", F.col("place") - k), F.lit(_REACH)) for k in range(1, _PIECES + 1)]
+    pieces = [near[_PIECES], *(x for k in range(_PIECES, 0, -1) for x in (runs[k - 1], near[k - 1]))]
+    lead = F.regexp_replace(F.concat(*(F.coalesce(x, F.lit("")) for x in pieces)), f"(?s)^.*{_FIELD}", "")
+    first = (F.col("ended") == 0) | (F.col("ended") > F.col("place") + 1)
+    each = parts.select("*", F.posexplode("runs").alias("place", "candidate"))
+    return each.select("doc_id", "position", "place", "candidate", lead.alias("lead"), F.when(first, F.col("before")).otherwise("").alias("before"), "path")
 
 
 def _share(pattern: str) -> Column:
@@ -67,7 +83,7 @@ def described(found: DataFrame, documents: DataFrame, settings: Settings = Setti
     # Candidates are few and repeat; each is covered once.
     pieces = found.select("candidate").distinct().select("candidate", F.explode(parts).alias("part"))
     covered = pieces.join(known, "part", "left_semi").groupBy("candidate").agg(F.sum(F.length("part")).alias("covered"))
-    name, word = F.lower("before"), F.lower("word")
+    name, lead = F.lower("before"), F.lower("lead")
     return found.join(covered, "candidate", "left").select(
         *found.columns,
         F.length("candidate").cast("double").alias("length"), _share("[0-9]").alias("digits"), _share("[A-Z]").alias("capitals"),
@@ -76,8 +92,8 @@ def described(found: DataFrame, documents: DataFrame, settings: Settings = Setti
         F.col("candidate").rlike("^[0-9a-f]+$").cast("double").alias("hex"),
         (F.coalesce("covered", F.lit(0)) / F.length("candidate")).alias("coverage"),
         F.pmod(F.xxhash64(F.coalesce("path", F.lit(""))), F.lit(16)).cast("double").alias("path_slot"),
-        name.rlike(_NAMES).cast("double").alias("named_before"), word.rlike(f"({_NAMES})[^=:]*[=:]").cast("double").alias("named_in"),
-        F.expr("word like '%=%' or before like '%=' or before like '%:'").cast("double").alias("assigned"),
+        name.rlike(_NAMES).cast("double").alias("named_before"), lead.rlike(f"({_NAMES})[^=:]*[=:]").cast("double").alias("named_in"),
+        F.expr("lead like '%=%' or before like '%=' or before like '%:'").cast("double").alias("assigned"),
         F.col("candidate").rlike(_ISSUED).cast("double").alias("issued"),
     )
 
@@ -92,7 +108,7 @@ def labelled_by_rule(rows: DataFrame) -> DataFrame:
 
 def scan(documents: DataFrame, labelled: DataFrame | None = None, settings: Settings = Settings(), doc_id: str = "doc_id",
          text: str = "text", path: str = "source") -> DataFrame:
-    """(doc_id, position, candidate, score, secret) for every candidate in the documents.
+    """(doc_id, position, candidate, score, secret) for every candidate in the documents; ``position`` is its word's number from 0.
 
     ``labelled``: described findings with a ``label`` (1 or 0); without it the documents' own are labelled by rule.
     Where all labels are alike, there is nothing to tell apart and every candidate gets that label as its score;
