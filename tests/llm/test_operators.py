@@ -300,6 +300,16 @@ def test_every_candidate_of_a_word_is_a_finding(spark):
     assert secrets.scan(df).count() == len(rows)
 
 
+def test_rare_secrets_are_in_the_sample(spark):
+    rng = random.Random(6)
+    texts = [f"see run-{rng.randrange(10**12):012d} of {rng.randrange(10**14):014x}0" for _ in range(3_000)]
+    keys = {f"AKIA{rng.randrange(10**16):016d}" for _ in range(6)}
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate([*texts, *(f"see {k} now" for k in keys)])], "doc_id long, text string, source string")
+    # The six keys are not among the fifty findings with the smallest hashes.
+    found = secrets.scan(df, settings=secrets.Settings(sample=50)).where("secret").collect()
+    assert {r["candidate"] for r in found} == keys
+
+
 def test_chat(spark, sf_dir):
     assert difference(queries.op4_chat_formatting(spark, sf_dir), duck(sf_dir), queries.SQL["op4_chat_formatting"]) is None
     turns = [(1, 0, "user", "q"), (1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "user", "q"), (2, 1, "assistant", "b"),

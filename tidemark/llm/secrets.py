@@ -33,7 +33,8 @@ _NUMBERS = ("length", "digits", "capitals", "distinct", "changes", "hex", "cover
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: labelled findings that the forest learns from, at most, those with the smallest hashes; ``known``: documents
+    """``sample``: labelled findings that the forest learns from, at most, of each label those with the smallest hashes, half of the
+    sample or what the other label leaves; ``known``: documents
     that have to use a word for it to be in the dictionary; ``threshold``: chance from which a finding is a secret."""
 
     sample: int = 5_000
@@ -111,16 +112,20 @@ def scan(documents: DataFrame, labelled: DataFrame | None = None, settings: Sett
     """(doc_id, position, candidate, score, secret) for every candidate in the documents; ``position`` is its word's number from 0.
 
     ``labelled``: described findings with a ``label`` (1 or 0); without it the documents' own are labelled by rule.
-    Where all labels are alike, there is nothing to tell apart and every candidate gets that label as its score;
+    Where all labels are alike, those outside the sample included, there is nothing to tell apart and every candidate gets that label as its score;
     without any label, 0.5. An empty table gives an empty result.
     """
     rows = written(described(findings(documents, doc_id, text, path), documents, settings, text), "findings")
     labels = (labelled if labelled is not None else labelled_by_rule(rows)).where("label is not null")
-    sample = written(labels.orderBy(F.xxhash64("doc_id", "position", "candidate")).limit(settings.sample), "labels")
-    kinds = [r[0] for r in sample.select("label").distinct().collect()]
-    if len(kinds) < 2:
-        scored = rows.withColumn("score", F.lit(float(kinds[0]) if kinds else 0.5))
+    # Over all labels, not the sample's: one that is rare counts too.
+    times = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
+    if len(times) < 2:
+        scored = rows.withColumn("score", F.lit(float(next(iter(times), 0.5))))
     else:
+        total, half = sum(times.values()), settings.sample // 2
+        order = F.xxhash64("doc_id", "position", "candidate")
+        parts = [labels.where(F.col("label") == k).orderBy(order).limit(max(half, settings.sample - total + n)) for k, n in times.items()]
+        sample = written(parts[0].unionByName(parts[1]), "labels")
         numbers = [n if n != "path" else "path_slot" for n in _NUMBERS]
         vector = VectorAssembler(inputCols=numbers, outputCol="features")
         forest = RandomForestClassifier(labelCol="label", numTrees=settings.trees, maxDepth=settings.depth, seed=7)
