@@ -350,6 +350,23 @@ def test_nearest_neighbours(spark):
     assert few.count() == 2 and ann.nearest(df.where("vec_id < 0"), "true").count() == 0
 
 
+def test_neighbours_of_isolated_vectors_and_small_groups(spark):
+    rng = np.random.default_rng(3)
+    heads = rng.normal(size=(60, 8))
+    rows = [h + rng.normal(size=8) * 1e-4 for h in heads for _ in range(3)] + list(rng.normal(size=(60, 8))) + list(rng.normal(size=8) + rng.normal(size=(200, 8)) * 0.01)
+    good = [(i, x.tolist()) for i, x in enumerate(rows)]
+    df = spark.createDataFrame(good, "vec_id long, embedding array<double>").repartition(4)
+    wanted = dict(brute_nearest(good, lambda ids: ids >= 0))
+    # With few lists in the beam there are queries whose lists do not suffice, too.
+    for beam in (96, 2):
+        found: dict = {}
+        for r in ann.nearest(df, "true", settings=ann.Settings(cell=2, beam=beam)).collect():
+            found.setdefault(r["query_id"], []).append(r["vec_id"])
+        assert found.keys() == wanted.keys() and all(len(v) == 5 for v in found.values()), beam
+    few = ann.nearest(df.where("vec_id < 4"), "true", settings=ann.Settings(cell=1))
+    assert few.count() == 12
+
+
 def test_recall_on_the_table(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()]
     wanted = dict(brute_nearest(rows, lambda ids: ids % 50 == 0))

@@ -6,7 +6,8 @@ memory, with a graph of each one's nearest others, and are searched best-first t
 
 Index: every vector goes to its nearest centroid's list, and to those of other centroids that are
 hardly farther (boundary vectors). Search: a query takes the centroids it finds whose distance
-is within a ratio of the nearest one's, and is compared with all vectors of their lists.
+is within a ratio of the nearest one's, and the next nearest ones until their lists hold ``k + 1`` distinct vectors (all
+lists, if those it finds do not), and is compared with all vectors of their lists.
 
 Lists are tables. A long one is split into blocks of bounded size, and each block answers for
 its own rows. Equal vectors are searched once: ties go to the smaller id, so of each vector only the
@@ -125,7 +126,7 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, settings: Settings = S
 
     Score is the cosine of the original vectors in double precision; ties go to the smaller id. Vectors that are null,
     zero, or hold null or non-finite components take no part; all others have to be of one length. Rows with the same
-    id and vector are one. With fewer than k candidates the result has them all, if their lists are found.
+    id and vector are one. With fewer than k candidates the result has them all.
     """
     spark = vectors.sparkSession
     rows = written(usable(vectors, vec_id, embedding), "vectors")
@@ -140,24 +141,42 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, settings: Settings = S
         return spark.range(0).select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
     shared = spark.sparkContext.broadcast(Centroids(_unit(_matrix(sample.column("v").combine_chunks())), settings))
 
-    def lists(ratio: float, most: int):
+    def lists(ratio: float, most: int, held: np.ndarray | None = None):
+        """Each vector's lists; ``held``: vectors of each list that are in no nearer one, of which k + 1 are wanted."""
+
         def of(batches):
             for batch in batches:
                 for low in range(0, len(batch), 512):
                     part = batch.slice(low, 512)
                     at, far = shared.value.search(_unit(_matrix(part.column("v"))))
-                    near = far[:, :most] <= ratio * far[:, :1] + 1e-9
+                    at, far = at[:, :most], far[:, :most]
+                    near = far <= ratio * far[:, :1] + 1e-9
+                    if held is not None:
+                        sizes = np.where(np.isfinite(far), held[at], 0)
+                        until = np.cumsum(sizes, axis=1)
+                        near |= (until - sizes <= k) & np.isfinite(far)
+                        poor = np.flatnonzero(until[:, -1] <= k)
+                        near[poor] = False
                     row, place = np.nonzero(near)
+                    found, first = at[row, place], place == 0
+                    if held is not None and len(poor):
+                        row = np.concatenate([row, np.repeat(poor, len(held))])
+                        found = np.concatenate([found, np.tile(np.arange(len(held)), len(poor))])
+                        first = np.concatenate([first, np.zeros(len(poor) * len(held), bool)])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(at[row, place].astype(np.int32)), part.column("key").take(pa.array(row)), part.column("v").take(pa.array(row))],
-                        names=["list", "key", "v"])
+                        [pa.array(found.astype(np.int32)), part.column("key").take(pa.array(row)), part.column("v").take(pa.array(row)), pa.array(first)],
+                        names=["list", "key", "v", "first"])
 
         return of
 
-    posted = written(distinct.mapInArrow(lists(settings.spread, settings.copies), "list int, key long, v array<double>"), "lists")
+    columns = "list int, key long, v array<double>, first boolean"
+    posted = written(distinct.mapInArrow(lists(settings.spread, settings.copies), columns), "lists")
+    held = np.zeros(len(shared.value.means), np.int64)
+    for r in posted.where("first").groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
     blocks = posted.groupBy("list").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
     searching = distinct.join(asked.select("key").distinct(), "key")
-    probes = searching.mapInArrow(lists(settings.ratio, settings.beam), "list int, key long, v array<double>")
+    probes = searching.mapInArrow(lists(settings.ratio, settings.beam, held), columns)
     spread = posted.join(blocks, "list").select("list", F.pmod(F.xxhash64("key"), "blocks").cast("int").alias("block"), "key", "v")
     sent = probes.join(blocks, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "key", "v")
 
