@@ -228,6 +228,19 @@ def test_pii_context_and_checksums():
     assert pii.find("@" * 50_000 + "9" * 50_000) == []
 
 
+def test_every_account_of_a_list_is_found():
+    plain = "GB82WEST12345698765432", "DE89370400440532013000", "FR1420041010050500013M02606", "BE68539007547034"
+    grouped = [" ".join(a[k : k + 4] for k in range(0, len(a), 4)) for a in plain]
+    accounts = lambda t: [t[a:b] for kind, a, b, _ in pii.find(t) if kind == "iban"]
+    for some in (plain, grouped):
+        for gap in (" ", ", ", "\n", "  "):
+            assert accounts(gap.join([*some, *some])) == [*some, *some]
+    assert accounts(f"REF AB12 ORDER 55 {grouped[0]}") == [grouped[0]]
+    assert accounts(f"GB82 WEST 1234 5698 7654 33 {grouped[1]}") == [grouped[1]]
+    pair = " ".join(plain[:2])
+    assert pii.mask(pair, pii.find(pair)) == "<IBAN> <IBAN>"
+
+
 def test_redact(spark):
     rows = [(1, "write to a.b@c.de now", 21, "x"), (2, None, None, "y"), (3, "", 0, None), (4, "clean", 5, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, redacted string")

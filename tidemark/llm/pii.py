@@ -96,11 +96,14 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        span = m[0]
+    at = 0
+    while m := _IBAN.search(text, at):
+        span, at = m[0], m.start() + 1  # an account may begin within a rejected proposal
         while len(span.replace(" ", "")) >= 15:  # a word behind may look like a part of it
-            if mod97(span.replace(" ", "")) and not text[m.start() + len(span) :][:1].isalnum():
-                yield m.start(), m.start() + len(span)
+            end = m.start() + len(span)
+            if mod97(span.replace(" ", "")) and not text[end : end + 1].isalnum():
+                yield m.start(), end
+                at = end
                 break
             span = span.rpartition(" ")[0]
 
