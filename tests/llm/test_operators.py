@@ -10,7 +10,9 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -267,6 +269,31 @@ def test_decontaminate(spark):
     assert found[0] == found[1] == found[2] == []
 
 
+def allowed(n, window=16, similarity=0.8):
+    """Every pattern of as many substitutions in n words as the threshold allows."""
+    most = max(e for e in range(n) if (n - e) / min(n, window) >= similarity)
+    return [set(x) for x in combinations(range(n), most)]
+
+
+@pytest.mark.parametrize("n", range(1, 17))
+def test_every_allowed_pattern_of_substitutions_is_found(n):
+    item = [f"w{k}" for k in range(n)]
+    texts = [" ".join(["x y", *(f"other{k}" if k in gone else w for k, w in enumerate(item)), "z"]) for gone in allowed(n)]
+    index = decontaminate.Index([Row(item_id=4, text=" ".join(item))], decontaminate.Settings())
+    assert [[h["item_id"] for h in found] for found in index.hits(pa.array(texts))] == [[4]] * len(texts)
+
+
+def test_patterns_of_other_settings_and_longer_items():
+    item = [f"w{k}" for k in range(24)]
+    for window, similarity, n in ((16, 0.8, 24), (12, 0.6, 12), (20, 0.85, 20)):
+        rows = [Row(item_id=4, text=" ".join(item[:n]))]
+        patterns = allowed(min(n, window), window, similarity)
+        low = n - min(n, window)
+        texts = [" ".join("other" if k < low or k - low in gone else w for k, w in enumerate(item[:n])) for gone in patterns]
+        found = decontaminate.Index(rows, decontaminate.Settings(window, similarity)).hits(pa.array(texts))
+        assert all(found)
+
+
 def test_decontaminate_in_parts(spark, docs):
     items = spark.createDataFrame([(i, r["text"]) for i, r in enumerate(docs.limit(6).collect())], "item_id long, text string")
     one, many = (decontaminate.contamination(docs, items, settings=decontaminate.Settings(part_bytes=n)) for n in (1 << 20, 200))

@@ -3,7 +3,8 @@
 Words are compared without regard to the case of A-Z. A seed is a fixed mask of selected
 and ignored word positions; test items and documents are hashed under every mask at every
 position, so a passage with substituted words still shares a hash with its item as long as
-no mask's selected words were hit. Each common hash gives an item and an alignment; along
+no mask's selected words were hit. The masks are chosen for each number of words such that every pattern
+of substitutions that the threshold allows leaves one of them whole, so none is missed. Each common hash gives an item and an alignment; along
 it, the words of item and document are compared one by one. A document is contaminated by
 an item if of some ``window`` consecutive words of it (all of them, if it has fewer), a share
 of ``similarity`` or more stands in the document at the same alignment.
@@ -25,8 +26,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.base import fresh, whole
 from tidemark.llm.words import mix, slices, words_of
 
-# Selected (1) and ignored (0) positions. Items shorter than the shortest mask are compared as a whole.
-MASKS = ("11101011", "110110011", "1101000111", "1011010011")
+# Selected (1) and ignored (0) positions: of so many words with so many substituted, wherever they are, one mask is left whole.
+_LONG = ("11101011", "110110011", "1101000111", "1011010011")
+MASKS = {
+    (5, 1): ("1111", "11101", "11011", "10111"), (6, 1): ("1111", "11011"), (7, 1): ("11111", "111011", "110111"),
+    (8, 1): ("11111", "111011"), (9, 1): ("1111011", "1101111"), (10, 2): ("11111", "111011", "11010011"),
+    (11, 2): ("1101011", "1110011"), (12, 2): (*_LONG, "111111"), (13, 2): _LONG, (14, 2): _LONG,
+    (15, 3): (*_LONG, "111001011"), (16, 3): (*_LONG, "111111"),
+}
 HITS = "array<struct<item_id:long,overlap:double>>"
 _FILTER_BITS = 20
 _FACTOR = 0xD1342543DE82EF95  # any odd number
@@ -39,6 +46,14 @@ class Settings:
     part_bytes: int = 8 << 20
 
 
+def masks_for(words: int, settings: Settings) -> tuple[str, ...]:
+    """Masks of which a copy of an item of so many words keeps one whole, if it is within the threshold."""
+    n = min(settings.window, words)
+    lost = max((e for e in range(n) if (n - e) / n >= settings.similarity), default=0)
+    # Elsewhere, the run that is left between the substituted words however they lie.
+    return MASKS.get((n, lost)) or ("1" * -(-(n - lost) // (lost + 1)),)
+
+
 def _seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     """The seed's hash at each position where it fits, not looking at text bounds."""
     n = len(hashes) - len(mask) + 1
@@ -56,12 +71,12 @@ class Index:
         self.settings, self.ids = settings, [r["item_id"] for r in items]
         words = words_of(pa.array([r["text"] for r in items], pa.large_string()), fold=True)
         self.words = [words.hashes[a:b] for a, b in zip(words.offsets, words.offsets[1:])]
-        short = {len(w) for w in self.words if 0 < len(w) < len(MASKS[0])}
-        self.masks = [*MASKS, *("1" * n for n in sorted(short))]
+        of = {n: masks_for(n, settings) for n in {len(w) for w in self.words if len(w)}}
+        self.masks = sorted({mask for masks in of.values() for mask in masks})
         found = []
         for m, mask in enumerate(self.masks):
             for i, w in enumerate(self.words):
-                if m < len(MASKS) or len(w) == len(mask):
+                if mask in of.get(len(w), ()):
                     seeds = _seeds(w, mask)
                     found.append((seeds, np.full(len(seeds), i), np.arange(len(seeds)), np.full(len(seeds), m)))
         seeds, item, place, mask = (np.concatenate([f[k] for f in found] or [np.zeros(0, int)]) for k in range(4))
@@ -98,7 +113,7 @@ class Index:
             right = (self.mask[of] == m) & (at + len(mask) <= words.offsets[doc + 1])
             at, of, doc = at[right], of[right], doc[right]
             found.append(np.stack([doc, self.item[of], at - words.offsets[doc] - self.place[of]], axis=1))
-        return np.unique(np.concatenate(found), axis=0).tolist()
+        return np.unique(np.concatenate(found or [np.zeros((0, 3), int)]), axis=0).tolist()
 
     def _overlap(self, text: np.ndarray, item: np.ndarray, shift: int) -> float:
         same = np.zeros(len(item) + 1, np.int64)
