@@ -9,8 +9,8 @@ about ``block_bytes`` of text. Three steps follow:
    confirmed, all others ruled out. Counts are combined before every shuffle, so a passage
    that a third of the documents share is one row for each block.
 3. Each block compiles its shard of the automaton (pyahocorasick) from the recurring
-   phrases that its documents can hold, and streams all its documents through it once. Around
-   each occurrence, confirmed windows are covered.
+   phrases that its documents can hold, and streams all its documents through it once. The windows' hashes
+   have located the confirmed windows by then; the automaton repeats that and decides nothing. Confirmed windows are covered.
 
 Blocks bound the automaton and the texts in memory; no document meets more than one.
 """
