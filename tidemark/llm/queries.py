@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, chat, decontaminate, langid, neardup, packing, phrases, pii, secrets, tokenfiles
+from tidemark.llm import ann, chat, decontaminate, langid, merkle, neardup, packing, phrases, pii, secrets, tokenfiles
 from tidemark.llm.base import table
 from tidemark.session import new_folder
 
@@ -76,7 +76,12 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.documents_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_best_fit_packing, op3_secret_scan, op4_chat_formatting, op5_substring_dedup, op6_minhash_near_dedup, op7_benchmark_decontamination, op8_token_files, op9_pii, op10_nearest_neighbours,
+    op11_merkle_manifest,
 )}
-SQL = {"op4_chat_formatting": chat.SQL}
+SQL = {"op4_chat_formatting": chat.SQL, "op11_merkle_manifest": merkle.SQL}
