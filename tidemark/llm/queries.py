@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, chat, codes, decontaminate, langid, merkle, neardup, packing, phrases, pii, secrets, tokenfiles
+from tidemark.llm import ann, chat, codes, decontaminate, langid, likelihood, merkle, neardup, packing, phrases, pii, secrets, tokenfiles
 from tidemark.llm.base import table
 from tidemark.session import new_folder
 
@@ -80,12 +80,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.documents_manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % 7
+    return likelihood.likelihoods(table(spark, sf_dir, "documents"), fold == 2)
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_best_fit_packing, op3_secret_scan, op4_chat_formatting, op5_substring_dedup, op6_minhash_near_dedup, op7_benchmark_decontamination, op8_token_files, op9_pii, op10_nearest_neighbours,
-    op11_merkle_manifest, op13_vector_codes,
+    op11_merkle_manifest, op12_lm_scoring, op13_vector_codes,
 )}
 SQL = {"op4_chat_formatting": chat.SQL, "op11_merkle_manifest": merkle.SQL, "op13_vector_codes": codes.SQL}
