@@ -17,8 +17,10 @@ import pyarrow as pa
 
 from tidemark.llm.words import slices
 
-# Pre-tokens that a worker knows at most; then it begins anew, which costs time and nothing else.
-_MOST = 200_000
+# Bytes of the pre-tokens that a worker has met lately, and as many of those before; older ones are learned again when they come.
+_HELD_BYTES = 48 << 20
+# What Python needs for a known pre-token besides its text and ids.
+_EACH_BYTES = 200
 _PLAIN = re.compile(r"[\n\x20-\x7e\xc0-\xff]*")
 # The pre-token patterns of the two kinds of vocabulary, with the classes of plain texts spelled out.
 _L = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -28,7 +30,10 @@ _PATTERNS = {
 }
 # The models know bytes as characters that can be seen: a visible one stands for itself, the others follow from 256 on.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_SYMBOLS = np.arange(256, dtype="<u2")
+_SYMBOLS[[b for b in range(256) if b not in _VISIBLE]] = 256 + np.arange(256 - len(_VISIBLE))
+# No byte of a text in UTF-8: it stands between pre-tokens, as the end of a line.
+_SYMBOLS[255] = 10
 _LOADED: dict[tuple[str, str, int], Encoder] = {}
 
 
@@ -39,6 +44,7 @@ class Encoder:
     def __init__(self, path: str, kind: str, width: int = 4, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
@@ -47,33 +53,51 @@ class Encoder:
         self.lower = kind == "word"
         self.cut = re.compile(_PATTERNS[kind]).findall
         self.kind = np.dtype(f"<u{width}")
+        # The same model, fed with pre-tokens that are cut already: one call for many, a line each.
+        self.merge = Tokenizer(self.tokenizer.model)
+        self.merge.pre_tokenizer = Split("\n", "removed")
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.held = self.count = 0
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        known, merge = self.known, self.tokenizer.model.tokenize
-        if len(known) > _MOST:
-            known.clear()
+    def _learn(self, pieces: set[str]) -> None:
+        """Know these pre-tokens, and those that were met lately."""
+        if self.held > _HELD_BYTES:
+            self.before, self.known, self.held, self.count = self.known, {}, 0, 0
+        known, before, held = self.known, self.before, 0
+        new = []
         for piece in pieces:
             if piece not in known:
-                symbols = piece.encode().decode("latin-1").translate(_SYMBOLS)
-                known[piece] = self._pack([t.id for t in merge(symbols)])
+                ids = before.get(piece)
+                if ids is None:
+                    new.append(piece)
+                else:
+                    known[piece] = ids
+                    held += len(piece) + len(ids)
+        if new:
+            lines = np.frombuffer(b"\xff".join([p.encode() for p in new]), np.uint8)
+            merged = self.merge.encode(_SYMBOLS[lines].tobytes().decode("utf-16-le"), add_special_tokens=False)
+            ids, of = self._pack(merged.ids), np.array(merged.word_ids)
+            ends = (np.searchsorted(of, np.arange(len(new) + 1)) * self.kind.itemsize).tolist()
+            known.update((p, ids[a:b]) for p, a, b in zip(new, ends, ends[1:]))
+            held += len(ids) + sum(map(len, new))
+        self.held += held + _EACH_BYTES * (len(known) - self.count)
+        self.count = len(known)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, little-endian."""
+        plain = [_PLAIN.fullmatch(t) and not self.holds(t) for t in texts]
+        cuts = [self.cut(t.lower() if self.lower else t) if p else () for t, p in zip(texts, plain)]
+        self._learn(set().union(*cuts))
         known = self.known
-        for text in texts:
-            if not _PLAIN.fullmatch(text) or self.holds(text):
-                yield self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-                continue
-            pieces = self.cut(text.lower() if self.lower else text)
-            try:
-                yield b"".join([known[p] for p in pieces])
-            except KeyError:
-                self._learn(pieces)
+        for text, is_plain, pieces in zip(texts, plain, cuts):
+            if is_plain:
                 yield b"".join([known[p] for p in pieces])
+            else:
+                yield self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 def encoder(path: str, kind: str, width: int = 4) -> Encoder:
