@@ -14,8 +14,9 @@ Only which documents hang together is wanted, so pairs of a group are not listed
 each bucket (in random parts, if it is large) gives a spanning forest of its highest
 estimates; the 32 bands part it differently, so a group of copies hangs together after
 this. Then only buckets whose members still belong to different components are looked at
-again, and of these the pairs that the estimate leaves open and that no earlier band had. Where
-they are few, they are listed; where many, the texts go to the bucket and are counted there.
+again, and of these the pairs that the estimate leaves open and that no earlier band had. A bucket's most
+frequent component is not compared with itself: its members stay where they are, each once for each part of the others, and
+only the others go to all of its parts. Where open pairs are few, they are listed; where many, the texts go to the bucket and are counted there.
 """
 
 from __future__ import annotations
@@ -41,12 +42,15 @@ _PROFILE = "doc_id long, n_shingles long, key long, key2 long, bands array<long>
 
 @dataclass(frozen=True)
 class Settings:
-    """Two documents are linked if 100 x intersection >= ``percent`` x union. ``part``: members that meet in one
-    group of rows at most; larger buckets are handled in parts, and pairs of parts."""
+    """Two documents are linked if 100 x intersection >= ``percent`` x union. ``part`` and ``shingles``: members of a
+    bucket, and their shingles, that are one part of it, as a rule; larger buckets are handled in parts, and pairs of parts.
+    ``pairs``: estimates that a task makes, about."""
 
     words: int = 5
     percent: int = 85
     part: int = 1000
+    shingles: int = 2_000_000
+    pairs: int = 1_000_000
 
 
 def shingle_sets(texts: pa.Array, k: int):
@@ -260,6 +264,29 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
 # The operator
 
 
+def _open_rows(labelled: DataFrame, settings: Settings) -> DataFrame:
+    """(bucket, band, doc_id, label, own, first, second): the members of buckets with several components, where they meet others.
+
+    Parts of a bucket's most frequent component have numbers below zero, those of the other members from zero on. A member
+    of that component meets each part of the others; one of the others meets those, and every part of it.
+    """
+    sizes = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    most = F.max_by(F.struct("label", "n", "s"), F.struct("n", "label")).alias("most")
+    mixed = sizes.groupBy("bucket").agg(most, F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("labels")).where("labels > 1")
+    parts = lambda n, s: F.greatest(F.ceil(n / settings.part), F.ceil(s / settings.shingles), F.lit(1)).cast("int")
+    mixed = mixed.select(
+        "bucket", F.col("most.label").alias("main"), parts(F.col("most.n"), F.col("most.s")).alias("main_parts"),
+        parts(F.col("n") - F.col("most.n"), F.col("s") - F.col("most.s")).alias("other_parts"),
+    )
+    rows = labelled.join(mixed, "bucket")
+    is_main, hashed = F.col("label") == F.col("main"), F.xxhash64("doc_id")
+    own = F.when(is_main, -1 - F.pmod(hashed, "main_parts")).otherwise(F.pmod(hashed, "other_parts")).cast("int")
+    other = F.explode(F.sequence(F.when(is_main, F.lit(0)).otherwise(-F.col("main_parts")), F.col("other_parts") - 1)).alias("other")
+    return rows.select("bucket", "band", "doc_id", "label", own.alias("own"), other).select(
+        "bucket", "band", "doc_id", "label", "own", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second")
+    )
+
+
 def near_duplicates(documents: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row: the smallest id that it hangs together with.
 
@@ -273,7 +300,7 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings(), doc_i
     classes = linkable.groupBy("key", "key2").agg(F.min("doc_id").alias("rep"))
     copies = linkable.select("doc_id", "key", "key2").join(classes, ["key", "key2"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     reps = linkable.join(classes.select(F.col("rep").alias("doc_id"), "key", "key2"), ["doc_id", "key", "key2"])
-    banded = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket")).distinct()
+    banded = reps.select("doc_id", "n_shingles", F.posexplode("bands").alias("band", "bucket")).distinct()
     crowded = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = written(banded.join(crowded, "bucket"), "members")
     involved = members.select("doc_id").distinct()
@@ -283,21 +310,18 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings(), doc_i
     parts = F.ceil(F.col("n") / settings.part).cast("int")
     part = F.pmod(F.xxhash64("doc_id", "band"), parts).cast("int")
     rows = members.select("bucket", part.alias("part"), "doc_id").join(described.drop("bands"), "doc_id")
+    # Tasks by the pairs that they estimate: their bytes are few.
+    work = crowded.agg(F.sum(F.col("n") * F.least("n", F.lit(settings.part)))).first()[0] or 0
+    rows = rows.repartition(max(1, min(100_000, int(work) // settings.pairs)), "bucket", "part")
     forest = rows.groupBy("bucket", "part").applyInArrow(_forest(settings), "a long, b long").where("a <> b").distinct()
     tried = written(forest, "forest")
     links = written(confirmed(tried, texts, settings).distinct(), "links")
 
     labels = components(links)
     labelled = members.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
-        "bucket", "band", "n", "doc_id", F.coalesce("component", "doc_id").alias("label"))
+        "bucket", "band", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("label"))
     labelled = written(labelled, "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m")
-    own = F.pmod(F.xxhash64("doc_id"), parts).cast("int")
-    open_rows = labelled.join(mixed.select("bucket"), "bucket", "left_semi").select("bucket", "band", "doc_id", "label", own.alias("own"), parts.alias("parts"))
-    # Each row goes to every pair of parts that its own part is in.
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    open_rows = open_rows.select("*", other).select(
-        "bucket", "band", "doc_id", "label", "own", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"))
+    open_rows = _open_rows(labelled, settings)
     keys = ["bucket", "first", "second"]
     grouped = open_rows.join(described, "doc_id").groupBy(*keys)
     more = written(grouped.applyInArrow(_across(settings), "a long, b long, bucket long, first int, second int"), "open")
