@@ -96,6 +96,33 @@ def test_near_duplicates_of_chains_and_crowds(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(rows)
 
 
+def test_a_stray_goes_to_all_parts_and_the_others_stay(spark):
+    """20,000 members of one component and a few strays: rows in proportion, and every open pair meets once."""
+    rows = [(7, 0, i, 3, 0) for i in range(20_000)] + [(7, 0, 30_000 + i, 3, 30_000 + i) for i in range(3)] + [(8, 1, i, 3, 5) for i in range(50)]
+    labelled = spark.createDataFrame(rows, "bucket long, band int, doc_id long, n_shingles long, label long")
+    found = neardup._open_rows(labelled, neardup.Settings()).groupBy("bucket", "first", "second").agg(
+        F.count("*").alias("n"), F.collect_set("label").alias("labels")).collect()
+    assert {r["bucket"] for r in found} == {7} and sum(r["n"] for r in found) == 20_000 + 3 * 21 and max(r["n"] for r in found) < 1_300
+
+
+@pytest.mark.parametrize("part, shingles", [(1, 99), (3, 99), (50, 20), (50, 9999)])
+def test_every_open_pair_meets_once(spark, part, shingles):
+    rng = random.Random(part)
+    rows = [(b, b % 3, i, rng.randint(1, 9), rng.choice([1, 1, 1, 2, 10 + i])) for b in range(6) for i in range(rng.randint(1, 25))]
+    labelled = spark.createDataFrame(rows, "bucket long, band int, doc_id long, n_shingles long, label long")
+    groups: dict = {}
+    for r in neardup._open_rows(labelled, neardup.Settings(part=part, shingles=shingles)).collect():
+        groups.setdefault((r["bucket"], r["first"], r["second"]), []).append((r["doc_id"], r["label"], r["own"]))
+    met = Counter()
+    for (bucket, first, second), members in groups.items():
+        for i, li, oi in members:
+            for j, lj, oj in members:
+                if oi == first and oj == second and li != lj and (first != second or i < j):
+                    met[bucket, min(i, j), max(i, j)] += 1
+    wanted = {(b, i, j) for b, _, i, _, li in rows for c, _, j, _, lj in rows if b == c and i < j and li != lj}
+    assert set(met) == wanted and set(met.values()) <= {1}
+
+
 def test_keep_one_keeps_columns(docs):
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns
@@ -380,7 +407,7 @@ def test_nearest_neighbours(spark):
     bad = [(1000, None), (1050, [0.0] * 8), (1100, [math.nan] + [1.0] * 7), (1150, [None] + [1.0] * 7), (None, [1.0] * 8), (1200, [])]
     df = spark.createDataFrame(good + bad + good[:3], "vec_id long, embedding array<double>").repartition(4)
     found: dict = {}
-    for r in sorted(ann.nearest(df, "vec_id % 50 = 0", settings=ann.Settings(cell=20, block=64, ratio=2.0)).collect(), key=lambda r: (r["query_id"], r["rank"])):
+    for r in sorted(ann.nearest(df, "vec_id % 50 = 0", settings=ann.Settings(cell=20, block=64)).collect(), key=lambda r: (r["query_id"], r["rank"])):
         found.setdefault(r["query_id"], []).append(r["vec_id"])
     wanted = dict(brute_nearest(good, lambda ids: ids % 50 == 0))
     assert found.keys() == wanted.keys() and all(len(v) == 5 for v in found.values())
@@ -390,6 +417,26 @@ def test_nearest_neighbours(spark):
     assert few.count() == 2 and ann.nearest(df.where("vec_id < 0"), "true").count() == 0
 
 
+def test_neighbours_of_every_size_and_length(spark):
+    """Cosines of vectors whose squares no double holds, and of vectors that end early."""
+    good = [(0, [1e200, 2e200]), (1, [1e200, 1e200]), (2, [1.0, 2.0]), (3, [2.0, 1.0]), (4, [1e-200, 1e-200]), (5, [5e-324, 0.0]), (6, [-1e308]), (7, [3.0, 4.0, 0.0]), (8, [1.0, 2.0, 1e-300])]
+    df = spark.createDataFrame(good, "vec_id long, embedding array<double>").repartition(3)
+    found = {(r["query_id"], r["vec_id"]): r["score"] for r in ann.nearest(df, "true", k=8).collect()}
+    unit = {i: np.array([*v, 0.0, 0.0][:3]) / max(map(abs, v)) for i, v in good}
+    unit = {i: v / np.sqrt(v @ v) for i, v in unit.items()}
+    assert len(found) == 72 and all(score == pytest.approx(unit[q] @ unit[c], abs=1e-12) for (q, c), score in found.items())
+
+
+def test_neighbours_are_found_in_a_few_lists():
+    """Of as many vectors as the check has, in groups: the ratio and the spread that are chosen look at little and find nearly all."""
+    rng = np.random.default_rng(7)
+    points = (rng.normal(size=(300, 32))[rng.integers(0, 300, 20_000)] + rng.normal(size=(20_000, 32)) * 0.3).astype(np.float64)
+    points = ann._unit(points)
+    settings = ann.Settings()
+    spread, ratio, recall, work = ann.tuned(points, ann.Centroids(points, settings), settings, 5)
+    assert recall >= 0.95 and work <= 0.2, (spread, ratio, recall, work)
+
+
 def test_neighbours_of_isolated_vectors_and_small_groups(spark):
     rng = np.random.default_rng(3)
     heads = rng.normal(size=(60, 8))

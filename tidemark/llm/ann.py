@@ -5,7 +5,9 @@ Fitting: a bounded sample is split by k-means again and again until no cell has
 memory, with a graph of each one's nearest others, and are searched best-first through it.
 
 Index: every vector goes to its nearest centroid's list, and to those of other centroids that are
-hardly farther (boundary vectors). Search: a query takes the centroids it finds whose distance
+hardly farther (boundary vectors). How much farther, and the ratio of a query's search below, are the ones that
+compare the fewest vectors among those that reach the wanted recall on a part of the sample, which is searched by brute force.
+Search: a query takes the centroids it finds whose distance
 is within a ratio of the nearest one's, and the next nearest ones until their lists hold ``k + 1`` distinct vectors (all
 lists, if those it finds do not), and is compared with all vectors of their lists.
 
@@ -28,15 +30,20 @@ from tidemark.llm.base import written
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: rows that the fit looks at, at most; ``cell``: of these in a list at most; ``spread``, ``copies``: ratio of
-    distances and number of lists for a boundary vector; ``ratio``: of distances for a query's lists; ``beam``: centroids
-    kept while searching; ``block``: rows of a list that meet in one group."""
+    """``sample``: rows that the fit looks at, at most; ``cell``: of these in a list at most; ``recall``: share of true neighbours
+    wanted, of ``tried`` queries in ``among`` of the sample's rows; ``spreads``, ``copies``: ratios of distances to choose from and number of
+    lists for a boundary vector; ``ratios``: of distances for a query's lists, to choose from; ``beam``: centroids
+    kept while searching, so lists of a query but for those that make up the number of candidates; ``block``: rows of a
+    list, and queries, that meet in one group."""
 
     sample: int = 20_000
     cell: int = 100
-    spread: float = 1.08
+    recall: float = 0.97
+    tried: int = 200
+    among: int = 4_000
+    spreads: tuple[float, ...] = (1.0, 1.03, 1.08)
     copies: int = 4
-    ratio: float = 1.35
+    ratios: tuple[float, ...] = (1.0, 1.02, 1.05, 1.1, 1.15, 1.2, 1.27, 1.35, 1.6, 2.0)
     beam: int = 96
     degree: int = 24
     block: int = 4_000
@@ -97,6 +104,32 @@ class Centroids:
         return np.take_along_axis(held, best, 1), np.take_along_axis(far, best, 1)
 
 
+def tuned(points: np.ndarray, centroids: Centroids, settings: Settings, k: int) -> tuple[float, float, float, float]:
+    """(spread, ratio, recall, work): the least work, as a share of all rows compared, that reaches the recall; else the most recall."""
+    part = points[: settings.among].astype(np.float64)
+    found = [centroids.search(part[a : a + 512].astype(np.float32)) for a in range(0, len(part), 512)]
+    at, far = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    asked = np.arange(0, len(part), max(1, len(part) // settings.tried))
+    scores = part[asked] @ part.T
+    scores[np.arange(len(asked)), asked] = -2
+    true = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(part) - 1)]
+    tried = []
+    for spread in settings.spreads:
+        posted = np.zeros((len(part), len(centroids.means)), bool)
+        near = far[:, : settings.copies] <= spread * far[:, :1] + 1e-9
+        rows, place = np.nonzero(near)
+        posted[rows, at[rows, place]] = True
+        sizes = posted.sum(axis=0)
+        for ratio in settings.ratios:
+            probed = np.zeros((len(asked), posted.shape[1]), bool)
+            rows, place = np.nonzero(far[asked] <= ratio * far[asked, :1] + 1e-9)
+            probed[rows, at[asked[rows], place]] = True
+            hit = (posted[true] & probed[:, None, :]).any(axis=2)
+            tried.append((spread, ratio, float(hit.mean()) if hit.size else 1.0, float((probed @ sizes).mean() / len(part))))
+    enough = [t for t in tried if t[2] >= settings.recall]
+    return min(enough, key=lambda t: t[3]) if enough else max(tried, key=lambda t: (t[2], -t[3]))
+
+
 def _split(points: np.ndarray, k: int, rng) -> list[np.ndarray]:
     means = points[rng.choice(len(points), k, replace=False)]
     for _ in range(8):
@@ -109,7 +142,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
+def _even(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, which is exact, so that no square is too small or too large for a double."""
+    return np.ldexp(x, -np.clip(np.frexp(np.abs(x).max(axis=1))[1], -1_000, 1_000)[:, None])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = _even(x)
     return (x / np.sqrt((x * x).sum(1))[:, None]).astype(np.float32)
 
 
@@ -125,11 +164,14 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, settings: Settings = S
     """(query_id, rank, vec_id, score): of each row that meets the condition ``queries`` on ``vec_id``, the k nearest others.
 
     Score is the cosine of the original vectors in double precision; ties go to the smaller id. Vectors that are null,
-    zero, or hold null or non-finite components take no part; all others have to be of one length. Rows with the same
+    zero, or hold null or non-finite components take no part; shorter vectors count as followed by zeros. Rows with the same
     id and vector are one. With fewer than k candidates the result has them all.
     """
     spark = vectors.sparkSession
     rows = written(usable(vectors, vec_id, embedding), "vectors")
+    sizes = rows.agg(F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most")).first()
+    if sizes["least"] != sizes["most"]:
+        rows = rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(sizes["most"]) - F.size("v"))))
     # Equal vectors: the k + 1 smallest ids, cut down before the shuffle.
     order = Window.partitionBy("v").orderBy("vec_id")
     few = written(rows.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1), "few")
@@ -139,7 +181,10 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, settings: Settings = S
     sample = distinct.orderBy(F.xxhash64("key")).limit(settings.sample).toArrow()
     if not len(sample):
         return spark.range(0).select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
-    shared = spark.sparkContext.broadcast(Centroids(_unit(_matrix(sample.column("v").combine_chunks())), settings))
+    points = _unit(_matrix(sample.column("v").combine_chunks()))
+    centroids = Centroids(points, settings)
+    boundary, ratio, _, _ = tuned(points, centroids, settings, k)
+    shared = spark.sparkContext.broadcast(centroids)
 
     def lists(ratio: float, most: int, held: np.ndarray | None = None):
         """Each vector's lists; ``held``: vectors of each list that are in no nearer one, of which k + 1 are wanted."""
@@ -170,20 +215,20 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, settings: Settings = S
         return of
 
     columns = "list int, key long, v array<double>, first boolean"
-    posted = written(distinct.mapInArrow(lists(settings.spread, settings.copies), columns), "lists")
+    posted = written(distinct.mapInArrow(lists(boundary, settings.copies), columns), "lists")
     held = np.zeros(len(shared.value.means), np.int64)
     for r in posted.where("first").groupBy("list").count().collect():
         held[r["list"]] = r["count"]
     blocks = posted.groupBy("list").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
     searching = distinct.join(asked.select("key").distinct(), "key")
-    probes = searching.mapInArrow(lists(settings.ratio, settings.beam, held), columns)
+    probes = written(searching.mapInArrow(lists(ratio, settings.beam, held), columns), "probes")
     spread = posted.join(blocks, "list").select("list", F.pmod(F.xxhash64("key"), "blocks").cast("int").alias("block"), "key", "v")
     sent = probes.join(blocks, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "key", "v")
 
     def compare(asking: pa.Table, held: pa.Table) -> pa.Table:
         out: list = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         if len(asking) and len(held):
-            q, c = (_matrix(t.column("v").combine_chunks()) for t in (asking, held))
+            q, c = (_even(_matrix(t.column("v").combine_chunks())) for t in (asking, held))
             ids, mine = held.column("key").to_numpy(), asking.column("key").to_numpy()
             order = np.argsort(ids)
             ids, c = ids[order], c[order]
@@ -196,13 +241,23 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, settings: Settings = S
             out = [np.concatenate(x) for x in zip(*found)]
         return pa.table(dict(zip(("key", "other", "score"), out)))
 
-    hits = sent.groupBy("list", "block").cogroup(spread.groupBy("list", "block")).applyInArrow(compare, "key long, other long, score double")
+    # The asking side is dealt out too: a list that many queries look into is several groups, each with all of the block's rows.
+    turns = probes.groupBy("list").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("turns"))
+    sent = sent.join(turns, "list").withColumn("turn", F.pmod(F.xxhash64("key"), "turns").cast("int")).drop("turns")
+    spread = spread.join(turns, "list").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
+    hits = sent.groupBy("list", "block", "turn").cogroup(spread.groupBy("list", "block", "turn")).applyInArrow(
+        compare, "key long, other long, score double"
+    )
     # One sum for each pair, not one for each block's matrix: replicas agree, and equal scores tie.
     hits = hits.select("key", "other").distinct()
+    # Times powers of two, as in _even: the same cosine to the last bit wherever the plain one is neither zero nor infinite.
+    power = lambda c: F.floor(F.log2(F.array_max(F.transform(c, F.abs))))
+    factor = lambda c: F.pow(F.lit(2.0), -F.greatest(F.lit(-1_000), F.least(F.lit(1_000), power(c))))
+    even = lambda c, by: F.transform(c, lambda x: x * F.col(by))
     size = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
     dot = F.aggregate(F.zip_with("v", "w", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     scored = hits.join(searching, "key").join(distinct.select(F.col("key").alias("other"), F.col("v").alias("w")), "other")
-    scored = scored.select("key", "other", (dot / (size(F.col("v")) * size(F.col("w")))).alias("score"))
+    scored = scored.withColumns({"_v": factor("v"), "_w": factor("w")}).withColumns({"v": even("v", "_v"), "w": even("w", "_w")}).select("key", "other", (dot / (size(F.col("v")) * size(F.col("w")))).alias("score"))
     ids = few.select("vec_id", "v").join(distinct, "v").select(F.col("key").alias("other"), "vec_id")
     best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     # One more than asked for, as the query's own row is among them.
