@@ -21,6 +21,7 @@ from tidemark.functions import crypto
 from tidemark.functions import paths as P
 from tidemark.functions import times as T
 from tidemark.operators import filters, ledger, metrics
+from tidemark.operators.snapshot import with_runs, write_snapshot
 from tidemark.operators.transfer import discard, plan_transfer
 from tidemark.operators.verify import lookup_objects, verify
 from tidemark.session import new_folder
@@ -147,7 +148,7 @@ def connection_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('{"password":"'), "c_acctbal", F.lit('"}')).alias("connection"),
         F.lit("json").alias("connectionType"),
     )
-    return filters.without_secrets(rows)
+    return filters.without_secrets(rows, keep=("c_custkey",))
 
 
 # --- paths ---------------------------------------------------------------------
@@ -555,22 +556,38 @@ def retry_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
+_LATEST_SQL = """
 select relpath, mtime_s, event_id, value from (
   select event_type || '/' || user_id as relpath, floor(epoch(ts))::bigint as mtime_s, event_id, value,
          row_number() over (partition by event_type, user_id order by floor(epoch(ts)) desc, event_id desc) as rn
   from events
 ) where rn = 1
-""")
-def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest version of each path."""
-    versions = table(spark, sf_dir, "events").select(
+"""
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
         F.concat("event_type", F.lit("/"), "user_id").alias("relpath"),
         F.unix_seconds(instant("ts")).alias("mtime_s"),
         "event_id",
         "value",
     )
-    return ledger.latest_version(versions)
+
+
+@query(_LATEST_SQL)
+def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest version of each path."""
+    return ledger.latest_version(_versions(spark, sf_dir))
+
+
+@query(_LATEST_SQL)
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a snapshot of earlier versions and ten runs since, half of them merged into a second snapshot."""
+    versions, uri = _versions(spark, sf_dir).withColumn("_run", F.pmod("event_id", F.lit(20))), new_folder(spark, "snapshot")
+    runs = lambda low, high: versions.where(f"_run >= {low} and _run < {high}").drop("_run")
+    write_snapshot(ledger.latest_version(runs(10, 20)), uri, buckets=8)
+    write_snapshot(with_runs(spark, uri, runs(0, 5)), uri, buckets=8)
+    return with_runs(spark, uri, runs(5, 10))
 
 
 # --- metrics ------------------------------------------------------------------------

@@ -11,19 +11,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.paths import archive_path
 from tidemark.operators.ledger import sent
+from tidemark.operators.split import CRC_MARK
 from tidemark.schemas import PUT_AWAY, require_columns
 from tidemark.session import materialize
 from tidemark.sources.content import digest
 from tidemark.sources.fs import exists, make_parent, move, open_fs, strip_file_scheme, unfinished
 from tidemark.spread import spread
 
-# A name shared by more files than this is looked up by broadcast: there can be
-# at most (files / HOT_NAME) such names, whatever the data.
-HOT_NAME = 100_000
-
 
 def archive(ledger: DataFrame, mode: str, target: str | None = None, flatten: bool = False,
-            parallelism: int | None = None, hot_name: int = HOT_NAME) -> DataFrame:
+            parallelism: int | None = None) -> DataFrame:
     """Move (``rename``) or delete (``remove``) the originals of files that were sent.
 
     One result row per file: ``archived``, ``removed``, ``collision`` (two
@@ -44,7 +41,9 @@ def archive(ledger: DataFrame, mode: str, target: str | None = None, flatten: bo
     )
     rows = rows.withColumn("refused", F.when(F.col("path") == F.col("archive_target"), "same_path"))
     if mode == "rename" and flatten:
-        rows = _refuse_collisions(rows, hot_name)
+        rows = _refuse_collisions(rows)
+    # What goes where is settled before it is dealt out.
+    rows = materialize(rows, "originals")
     done = spread(rows, parallelism).mapInPandas(_put_away(mode), PUT_AWAY)
     skipped = ledger.where(~F.col("check").isin("verified", "exempt")).select(
         "relpath",
@@ -56,20 +55,15 @@ def archive(ledger: DataFrame, mode: str, target: str | None = None, flatten: bo
     return materialize(done.unionByName(skipped), "archived")
 
 
-def _refuse_collisions(rows: DataFrame, hot_name: int) -> DataFrame:
+def _refuse_collisions(rows: DataFrame) -> DataFrame:
     """Mark rows whose target another row has too.
 
-    Names shared by very many rows would meet in one task of a join, so those
-    few are broadcast and only the others are joined by shuffle.
+    Targets are counted before their shuffle, so the join's other side has one row for each that is shared; the rows of
+    a target shared by very many are split among tasks by the engine, which the join allows.
     """
-    shared = rows.groupBy("archive_target").count().where("count > 1")
-    hot = F.broadcast(shared.where(F.col("count") > hot_name).select("archive_target"))
-    cold = shared.where(F.col("count") <= hot_name).select("archive_target", F.lit("collision").alias("clash"))
-    clash = F.coalesce(F.col("refused"), F.col("clash")).alias("refused")
-    names = [name for name in rows.columns if name != "refused"]
-    of_hot = rows.join(hot, "archive_target", "left_semi").withColumn("clash", F.lit("collision"))
-    of_cold = rows.join(hot, "archive_target", "left_anti").join(cold, "archive_target", "left")
-    return of_hot.select(*names, clash).unionByName(of_cold.select(*names, clash))
+    shared = rows.groupBy("archive_target").count().where("count > 1").select("archive_target", F.lit("collision").alias("clash"))
+    refused = F.coalesce(F.col("refused"), F.col("clash")).alias("refused")
+    return rows.join(shared, "archive_target", "left").select(*[n for n in rows.columns if n != "refused"], refused)
 
 
 def _put_away(mode: str):
@@ -114,6 +108,8 @@ def _put_away(mode: str):
                 if pd.isna(status):
                     # The digest of a sealed or opened file is that of its copy, not of the original.
                     md5 = row.md5_source if row.action == "copy" and pd.notna(row.md5_source) else None
+                    if md5 and md5.startswith(CRC_MARK):
+                        md5 = None
                     file = (row.path, row.size, row.mtime_s, md5, row.archive_target)
                     try:
                         try:

@@ -9,13 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from tidemark.functions.paths import leaf
-
-# Names of columns and map entries that carry credentials.
-SECRET_COLUMNS = (
-    "connection", "connectionType", "password", "passphrase", "privateKey", "serviceAccountJSON", "sftpPass",
-    "PrivateKeyPass", "privateKeyPassword", "serviceFilePath",
-)
-
+from tidemark.schemas import LEDGER
 
 def delta_filter(df: DataFrame, from_s: int, to_s: int, on: str = "mtime_s") -> DataFrame:
     """Files with ``from_s < mtime <= to_s`` at second grain.
@@ -60,6 +54,10 @@ def regular_files(df: DataFrame, on: str = "relpath") -> DataFrame:
     return df.where((F.col(on) != "") & ~F.col(on).endswith("/"))
 
 
-def without_secrets(df: DataFrame, secrets: tuple[str, ...] = SECRET_COLUMNS) -> DataFrame:
-    """Rows travel without credentials."""
-    return df.drop(*secrets)
+def without_secrets(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows travel without credentials: what a file's row may hold is named, and every other column stays behind.
+
+    That is the columns of manifests, plans and ledgers, and those named in ``keep``.
+    """
+    known = {name.lower() for name in (*LEDGER.fieldNames(), "root", *keep)}
+    return df.select(*[F.col(f"`{name}`") for name in df.columns if name.lower() in known])

@@ -2,18 +2,18 @@
 
 A row of the plan is one file. Tasks carry names, never whole contents: a copy
 moves one buffer at a time per file, so a file's size does not matter to memory.
-Every file is written under a name of its own attempt and published by a rename
-(or by the close, on an object store), so a repeated task does no harm. A
+Every file is written under a name of its own attempt and published by a rename,
+so a repeated task does no harm. A
 failing file is a row with its error, not a failing job.
 """
 
 from __future__ import annotations
 
-import hashlib
 import os
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,10 +23,12 @@ from pyspark.sql.types import StructType
 from tidemark.fixed import BUFFER_BYTES, DEFAULT_RETRIES, DEFAULT_WAIT_S, ENCRYPTED_SUFFIX
 from tidemark.functions import crypto
 from tidemark.functions import paths as P
+from tidemark.operators.split import copy_by_ranges
 from tidemark.schemas import MANIFEST, OUTCOME, PIECE, PLAN, TRANSFERRED, require_columns
 from tidemark.session import materialize, small_batches
 from tidemark.sources.content import digest
-from tidemark.sources.fs import make_parent, move, open_fs, replaces_atomically, unfinished
+from tidemark.sources.fs import open_fs
+from tidemark.sources.staging import Staged
 from tidemark.spread import STREAMS_PER_TASK, flat_schema, flatten_times, map_files, restore_times, spread, task_count
 
 PIECE_BYTES = 1024 * 1024
@@ -64,11 +66,12 @@ def plan_transfer(manifest: DataFrame, target_root: str, action: str = "copy",
 
 def transfer(plan: DataFrame, retries: int = DEFAULT_RETRIES, wait_s: int = DEFAULT_WAIT_S, key: Column | None = None,
              parallelism: int | None = None, buffer_bytes: int = BUFFER_BYTES,
-             streams: int = STREAMS_PER_TASK) -> DataFrame:
+             streams: int = STREAMS_PER_TASK, split_bytes: int | None = None) -> DataFrame:
     """Run the plan once and return what happened to every file.
 
     The outcome is a written table: reading it again copies nothing again.
-    ``retries`` more attempts follow a failed one, ``wait_s`` apart.
+    ``retries`` more rounds follow with what failed, ``wait_s`` apart. Plain copies of more
+    than ``split_bytes`` are made by ranges, several tasks at a time (``operators.split``).
     """
     require_columns(plan, PLAN.fieldNames(), "transfer")
     plan = plan.select(*PLAN.fieldNames())
@@ -76,48 +79,41 @@ def transfer(plan: DataFrame, retries: int = DEFAULT_RETRIES, wait_s: int = DEFA
     plain = F.col("action") == "copy"
     if key is None and not plan.where(~plain).isEmpty():
         raise ValueError("transfer: the plan encrypts or decrypts, which needs a key")
-    copied = map_files(plan.where(plain), _copier(retries, wait_s, buffer_bytes, streams), OUTCOME, tasks)
-    copied = materialize(copied, "transferred")
+    large = F.lit(False) if split_bytes is None else F.col("size") > split_bytes
+    copied = _in_rounds(plan.where(plain & ~large), retries, wait_s, "transferred", lambda rows, attempt: map_files(
+        rows, _copier(attempt, buffer_bytes, streams), OUTCOME, tasks if attempt == 1 else None
+    ))
+    if split_bytes is not None:
+        copied = copied.unionByName(_in_rounds(plan.where(plain & large), retries, wait_s, "split", lambda rows, attempt: copy_by_ranges(
+            rows, attempt, buffer_bytes=buffer_bytes, streams=streams
+        )))
     if key is None:
         return copied
-    return copied.unionByName(_transfer_sealed(plan.where(~plain), key, retries, wait_s, tasks))
+    with small_batches(plan.sparkSession):
+        sealed = _in_rounds(plan.where(~plain), retries, wait_s, "sealed", lambda rows, attempt: _seal_once(rows, key, attempt, tasks))
+    return copied.unionByName(sealed)
 
 
-def _now_ms() -> int:
-    return time.time_ns() // 1_000_000
-
-
-class _Target:
-    """One file being written: hashed on the way, published only when whole."""
-
-    def __init__(self, uri: str, content_type: str | None = None):
-        self.uri = uri
-        self.files, self.path = open_fs(uri)
-        self.renames = replaces_atomically(self.files)
-        self.written_as = unfinished(self.path) if self.renames else self.path
-        make_parent(self.files, self.path)
-        metadata = {"Content-Type": content_type} if content_type and not self.renames else None
-        self.stream = self.files.open_output_stream(self.written_as, compression=None, metadata=metadata)
-        self.md5, self.bytes = hashlib.md5(), 0
-
-    def write(self, data: bytes) -> None:
-        self.stream.write(data)
-        self.md5.update(data)
-        self.bytes += len(data)
+def _in_rounds(plan: DataFrame, retries: int, wait_s: int, name: str, once: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """Files that fail go again as a smaller plan: the driver waits between rounds, so no task holds a core meanwhile."""
+    finished = []
+    for attempt in range(1, retries + 2):
+        done = materialize(once(plan, attempt), name)
+        failed = done.where(F.col("status") == "failed")
+        if attempt > retries or failed.isEmpty():
+            finished.append(done)
+            break
+        finished.append(done.where(F.col("status") != "failed"))
+        plan = failed.select(*PLAN.fieldNames())
+        time.sleep(wait_s)
+    return reduce(DataFrame.unionByName, finished)
 
-    def publish(self) -> None:
-        self.stream.close()
-        if self.renames:
-            move(self.files, self.written_as, self.path)
 
-    def discard(self) -> None:
-        """Leave nothing behind; an object store drops an upload that was not closed."""
-        if self.renames:
-            self.stream.close()
-            self.files.delete_file(self.written_as)
+def _now_ms() -> int:
+    return time.time_ns() // 1_000_000
 
 
-def _discard_quietly(target: _Target | None) -> None:
+def _discard_quietly(target: Staged | None) -> None:
     try:
         if target is not None:
             target.discard()
@@ -139,7 +135,7 @@ def _copy_once(path: str, uri: str, content_type: str, buffer_bytes: int) -> tup
         raise _SourceGone(str(problem)) from problem
     try:
         with opened as stream:
-            target = _Target(uri, content_type)
+            target = Staged(uri, content_type)
             while data := stream.read(buffer_bytes):
                 target.write(data)
         target.publish()
@@ -149,21 +145,16 @@ def _copy_once(path: str, uri: str, content_type: str, buffer_bytes: int) -> tup
     return target.bytes, target.md5.hexdigest(), digest(uri, buffer_bytes)
 
 
-def _copier(retries: int, wait_s: int, buffer_bytes: int, streams: int):
+def _copier(attempt: int, buffer_bytes: int, streams: int):
     def copy_file(path: str, uri: str, content_type: str) -> tuple:
-        start, error, status, attempt = _now_ms(), None, "failed", 0
-        while attempt <= retries:
-            attempt += 1
-            try:
-                size, sent_md5, stored_md5 = _copy_once(path, uri, content_type, buffer_bytes)
-                return "copied", attempt, size, sent_md5, stored_md5, start, _now_ms(), None
-            except _SourceGone as problem:
-                status, error = "missing", str(problem)
-                break
-            except Exception as problem:
-                error = f"{type(problem).__name__}: {problem}"
-                if attempt <= retries:
-                    time.sleep(wait_s)
+        start = _now_ms()
+        try:
+            size, sent_md5, stored_md5 = _copy_once(path, uri, content_type, buffer_bytes)
+            return "copied", attempt, size, sent_md5, stored_md5, start, _now_ms(), None
+        except _SourceGone as problem:
+            status, error = "missing", str(problem)
+        except Exception as problem:
+            status, error = "failed", f"{type(problem).__name__}: {problem}"
         return status, attempt, None, None, None, start, _now_ms(), error
 
     def copy_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,25 +185,6 @@ SEALED_MARK = b"TMS2"
 SEALED_ID_BYTES = 16
 
 
-def _transfer_sealed(plan: DataFrame, key: Column, retries: int, wait_s: int, tasks: int) -> DataFrame:
-    """Pass the files through Spark's AES functions; failed files go again, as a smaller plan."""
-    pending, finished = plan, []
-    for attempt in range(1, retries + 2):
-        with small_batches(plan.sparkSession):
-            done = materialize(_seal_once(pending, key, attempt, tasks), "sealed")
-        failed = done.where(F.col("status") == "failed")
-        if attempt > retries or failed.isEmpty():
-            finished.append(done)
-            break
-        finished.append(done.where(F.col("status") != "failed"))
-        pending = failed.select(*PLAN.fieldNames())
-        time.sleep(wait_s)
-    result = finished[0]
-    for part in finished[1:]:
-        result = result.unionByName(part)
-    return result
-
-
 def _seal_once(plan: DataFrame, key: Column, attempt: int, tasks: int) -> DataFrame:
     pieces = flatten_times(spread(plan, tasks)).mapInPandas(
         _read_pieces, flat_schema(StructType(PLAN.fields + PIECE.fields))
@@ -299,7 +271,7 @@ def _piece_writer(attempt: int):
                         if row.piece is None:
                             raise ValueError("piece does not fit its tag")
                         if target is None:
-                            target = _Target(row.target, row.content_type)
+                            target = Staged(row.target, row.content_type)
                             if row.action == "encrypt":
                                 target.write(SEALED_MARK + bytes.fromhex(row.file_id))
                         if row.action == "encrypt":
@@ -320,7 +292,7 @@ def _piece_writer(attempt: int):
     return write_pieces
 
 
-def _sealed_outcome(row, target: _Target | None, error: str | None, attempt: int) -> tuple:
+def _sealed_outcome(row, target: Staged | None, error: str | None, attempt: int) -> tuple:
     if error is None:
         try:
             stored = digest(row.target)
@@ -348,7 +320,7 @@ def write_files(contents: DataFrame, root: str) -> DataFrame:
             rows = []
             times = batch["mtime_s"] if stamped else [None] * len(batch)
             for relpath, content, mtime_s in zip(batch["relpath"], batch["content"], times):
-                target = _Target(f"{root.rstrip('/')}/{relpath}")
+                target = Staged(f"{root.rstrip('/')}/{relpath}")
                 target.write(content)
                 target.publish()
                 if mtime_s is not None and target.files.type_name == "local":

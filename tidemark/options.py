@@ -21,7 +21,7 @@ from tidemark.fixed import (
     MAX_WAIT_S,
 )
 from tidemark.session import qualify
-from tidemark.sources.fs import strip_file_scheme
+from tidemark.sources.fs import is_local, strip_file_scheme
 
 DIRECTIONS = ("to_store", "to_sftp")
 ENCRYPTIONS = ("none", "aes_gcm")
@@ -68,6 +68,8 @@ class TransferOptions:
     suffix: str = ENCRYPTED_SUFFIX
     preview: bool = False
     buffer_bytes: int = BUFFER_BYTES
+    # Larger files are copied by ranges; needs a local or mounted target.
+    split_bytes: int | None = None
 
     @property
     def flatten(self) -> bool:
@@ -116,6 +118,8 @@ class TransferOptions:
                 wrong.append("archive_root differs from source_root")
         if self.buffer_bytes <= 0:
             wrong.append("buffer_bytes is positive")
+        if self.split_bytes is not None and (self.split_bytes <= 0 or not is_local(self.target_root)):
+            wrong.append("split_bytes is positive and needs a local or mounted target_root")
         if self.regex:
             problem = regex_problem(spark, self.regex)
             if problem:

@@ -99,7 +99,8 @@ def run_transfer(spark: SparkSession, options: TransferOptions, run_id: str, log
         if not _complete(ledgers, run):
             key = crypto.key_from_uri(spark, options.key_uri) if options.encryption != "none" else None
             done = transfer(
-                plan, options.retries, options.wait_s, key, options.parallelism, buffer_bytes=options.buffer_bytes
+                plan, options.retries, options.wait_s, key, options.parallelism, options.buffer_bytes,
+                split_bytes=options.split_bytes,
             )
             write_ledger(done, ledgers, run)
         ledger = read_run(spark, ledgers, LEDGER, run)

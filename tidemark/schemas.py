@@ -73,6 +73,12 @@ PIECE = _schema(
     ("start_ms", _LONG),
 )
 
+# What became of a range of a file that is copied by ranges.
+RANGE = _schema(
+    ("start", _LONG), ("length", _LONG), ("crc_source", _LONG), ("crc_target", _LONG), ("error", _STRING), ("gone", _BOOL),
+    ("start_ms", _LONG),
+)
+
 TRANSFERRED = StructType(PLAN.fields + OUTCOME.fields)
 
 # Every table of a run is partitioned by these.

@@ -20,6 +20,8 @@ from tidemark.sources.fs import make_parent, open_fs
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SMALL_BATCH = "2m"
+# Keeps a stream's state on the executors' disks instead of in their heaps.
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _LOCAL_SHARED: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 _WORK: ContextVar[str | None] = ContextVar("work folder", default=None)
@@ -38,6 +40,7 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.speculation", "false")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
     )
     if master:
         builder = builder.master(master)

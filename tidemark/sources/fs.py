@@ -16,6 +16,7 @@ _ALIASES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
 UNFINISHED = ".tidemark-part"
 # Such a name in full; a source file that merely ends like it is a file like any other.
 UNFINISHED_PATH = r"/\.[^/]+\.[0-9]+(-[0-9]+)?\.tidemark-part\z"
+UNFINISHED_NAME = re.compile(r"\A\.[^/]+\.[0-9]+(-[0-9]+)?\.tidemark-part\Z", re.S)
 _OBJECT_STORES = ("s3", "gcs", "abfs")
 _OPENED: dict[tuple[str, str], pafs.FileSystem] = {}
 

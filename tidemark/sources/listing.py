@@ -11,14 +11,14 @@ scan skips (leading ``_`` or ``.``) are found.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import suppress
 
 import pandas as pd
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.paths import relative_path
 from tidemark.schemas import LISTING
@@ -35,8 +35,8 @@ def _as_roots(spark: SparkSession, roots: str | list[str]) -> list[str]:
     return [strip_file_scheme(qualify(spark, root)).rstrip("/") or "/" for root in roots]
 
 
-def _entries(root: str, folder: str) -> Iterator[tuple[str, int, int, bool]]:
-    """(path, size, mtime_us, is_dir) of the regular files and folders in one folder.
+def entries(root: str, folder: str, has: Callable[[str], bool] | None = None) -> Iterator[tuple[str, int, int, bool]]:
+    """(path, size, mtime_us, is_dir) of the regular files and folders in one folder, or of those whose name it ``has``.
 
     Links are neither: following them could leave the tree or never end. A folder may go away between its level and
     the next, but a task that does not see the root at all has no say in that, and fails.
@@ -50,6 +50,8 @@ def _entries(root: str, folder: str) -> Iterator[tuple[str, int, int, bool]]:
             return
         with found:
             for entry in found:
+                if has and not has(entry.name):
+                    continue
                 is_dir = entry.is_dir(follow_symlinks=False)
                 if is_dir or entry.is_file(follow_symlinks=False):
                     with suppress(FileNotFoundError):
@@ -61,7 +63,7 @@ def _entries(root: str, folder: str) -> Iterator[tuple[str, int, int, bool]]:
     if not found:
         require_folder(root)
     for info in found:
-        if info.type in (pafs.FileType.File, pafs.FileType.Directory):
+        if info.type in (pafs.FileType.File, pafs.FileType.Directory) and (has is None or has(info.base_name)):
             is_dir = info.type == pafs.FileType.Directory
             yield prefix + info.base_name, info.size or 0, (info.mtime_ns or 0) // 1000, is_dir
 
@@ -88,7 +90,7 @@ def _lister(window: tuple[int, int] | None):
         rows = []
         for batch in batches:
             for root, folder in zip(batch["root"], batch["path"]):
-                for path, size, mtime_us, is_dir in _entries(root, folder):
+                for path, size, mtime_us, is_dir in entries(root, folder):
                     if wanted(mtime_us, is_dir):
                         rows.append((root, path, size, mtime_us, is_dir))
                     if len(rows) >= _ROWS_PER_BATCH:
@@ -141,6 +143,25 @@ def scan_files(spark: SparkSession, roots: str | list[str], modified_after_s: in
     return walk_files(spark, roots, window=(after, before))
 
 
+def place_kinds(places: DataFrame, on: str = "path") -> DataFrame:
+    """Add ``kind`` to rows that name places: ``file``, ``folder``, ``other`` or ``missing``, looked up in tasks.
+
+    An object store knows no empty folders: one is missing there.
+    """
+    kinds = {pafs.FileType.File: "file", pafs.FileType.Directory: "folder", pafs.FileType.NotFound: "missing"}
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for uri in batch[on]:
+                files, path = open_fs(uri)
+                found.append(kinds.get(files.get_file_info(path).type, "other"))
+            yield batch.assign(kind=pd.Series(found, index=batch.index, dtype=object))
+
+    schema = StructType([*places.schema.fields, StructField("kind", StringType())])
+    return places.mapInPandas(look, schema)
+
+
 def _as_files(entries: DataFrame) -> DataFrame:
     mtime = F.timestamp_micros("mtime_us")
     return entries.where(~F.col("path").rlike(UNFINISHED_PATH)).select(

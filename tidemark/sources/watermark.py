@@ -49,23 +49,31 @@ def commit_watermark(spark: SparkSession, uri: str, pipeline: str, from_s: int,
     return True
 
 
+def _state_texts(spark: SparkSession, uri: str, now_s: int | None, legacy: bool) -> DataFrame:
+    text = F.col("value") if legacy else F.regexp_replace("value", r"\A\s+|\s+\z", "")
+    return spark.read.text(uri, wholetext=True).select(
+        F.col("_metadata.file_name").alias("file_name"), watermark_status("value", now_s, legacy).alias("status"),
+        whole_number(text).alias("seconds"), F.length("value").alias("length"),
+    )
+
+
+def read_watermark_texts(spark: SparkSession, folder: str, now_s: int | None = None, legacy: bool = False) -> DataFrame:
+    """(file_name, status, from_s) of all state files in a folder: where each pipeline of an older set-up begins.
+
+    Anything unreadable means the beginning. Empty files have no row, as they have no text.
+    """
+    start = F.when((F.col("status") == "ok") & (F.col("length") > 0), F.col("seconds")).otherwise(0)
+    return _state_texts(spark, folder, now_s, legacy).select("file_name", "status", start.alias("from_s"))
+
+
 def read_watermark_text(spark: SparkSession, uri: str, now_s: int | None = None, strict: bool = False,
                         legacy: bool = False) -> int:
     """State kept as ten digits in a text file, to start from an older set-up.
 
     Anything unreadable means the beginning, unless ``strict``.
     """
-    text = F.col("value") if legacy else F.regexp_replace("value", r"\A\s+|\s+\z", "")
     try:
-        found = (
-            spark.read.text(uri, wholetext=True)
-            .select(
-                watermark_status("value", now_s, legacy).alias("status"),
-                whole_number(text).alias("seconds"),
-                F.length("value").alias("length"),
-            )
-            .first()
-        )
+        found = _state_texts(spark, uri, now_s, legacy).first()
     except AnalysisException as error:
         if strict or error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
@@ -14,23 +17,55 @@ STREAMS_PER_TASK = 4
 MAX_TASKS = 100_000
 
 
-def task_count(files: DataFrame) -> int:
-    """Enough tasks that each has a bounded number of bytes (by ``size``) and of files.
+# What a file costs besides its bytes: as many of them as fill a task.
+FILE_COST = BYTES_PER_TASK // FILES_PER_TASK
+# Hash groups of small files for each task.
+_GROUPS_PER_TASK = 8
 
-    The table of names is small; the work behind it is not.
-    """
+
+def _measure(files: DataFrame) -> tuple[int, int]:
+    """Bytes and files. The table of names is small; the work behind it is not."""
     total = files.agg(F.sum("size").alias("bytes"), F.count("*").alias("files")).first()
-    wanted = max(
-        (total["bytes"] or 0) // BYTES_PER_TASK,
-        total["files"] // FILES_PER_TASK,
-        files.sparkSession.sparkContext.defaultParallelism,
-    )
-    return max(1, min(wanted, total["files"], MAX_TASKS))
+    return total["bytes"] or 0, total["files"]
+
+
+def _tasks_for(files: DataFrame, size: int, n: int) -> int:
+    wanted = max(size // BYTES_PER_TASK, n // FILES_PER_TASK, files.sparkSession.sparkContext.defaultParallelism)
+    return max(1, min(wanted, n, MAX_TASKS))
+
+
+def task_count(files: DataFrame) -> int:
+    """Enough tasks that each has a bounded number of bytes (by ``size``) and of files."""
+    return _tasks_for(files, *_measure(files))
 
 
 def spread(files: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Deal the files out one by one, so that neither a folder nor an order of sizes makes a slow task."""
-    return files.repartition(tasks or task_count(files))
+    """Deal the files out by size, so that neither a folder nor a few large files make a slow task.
+
+    A file of more than a quarter of a task's share is dealt by itself, and there are at most four such a task. The others
+    are dealt in groups by a hash of their paths, eight a task. The driver has the sizes of both, a bounded number of them,
+    and gives the largest first, each to the task with the least so far.
+    """
+    size, n = _measure(files)
+    tasks = tasks or _tasks_for(files, size, n)
+    if tasks == 1 or not n:
+        return files.repartition(tasks)
+    weight = F.coalesce("size", F.lit(0)) + FILE_COST
+    share = (size + n * FILE_COST) / tasks
+    # Large ones have odd numbers, groups have even ones.
+    alone = F.shiftleft(F.shiftrightunsigned(F.xxhash64("path"), 1), 1) + 1
+    group = 2 * F.pmod(F.xxhash64("path"), F.lit(_GROUPS_PER_TASK * tasks))
+    keyed = files.withColumn("_dealt", F.when(weight * 4 > share, alone).otherwise(group))
+    loads = sorted(((r["weight"], r["_dealt"]) for r in keyed.groupBy("_dealt").agg(F.sum(weight).alias("weight")).collect()), reverse=True)
+    least, given = [(0, task) for task in range(tasks)], []
+    for load, key in loads:
+        held, task = heapq.heappop(least)
+        heapq.heappush(least, (held + load, task))
+        given.append((key, task))
+    keys, places = (pa.array(c, k) for c, k in zip(zip(*given), (pa.int64(), pa.int32())))
+    table = files.sparkSession.createDataFrame(pa.table({"_dealt": keys, "_task": places}))
+    # At most twelve rows a task.
+    return keyed.join(F.broadcast(table), "_dealt").repartitionById(tasks, "_task").select(*files.columns)
 
 
 # Times pass through Python as whole microseconds. As local times, which pandas

@@ -1,83 +1,139 @@
-"""The same listing and transfer as a file stream, for folders whose files are written once.
+"""The same listing and transfer as a file stream.
 
-The stream's checkpoint takes the watermark's place. It remembers paths, so a
-file rewritten under its old name is not seen again, and Spark's file source
-passes over empty files and hidden names; use the batch run there.
+Each batch lists the folder again, by the walk of the batch run: empty files, hidden names and files that were rewritten or
+arrive with an old time are all seen. What is new is told by state with a key for each file, in the state store on the
+executors; the stream's checkpoint has it, and the driver knows a window's two ends only.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BinaryType, LongType, StringType, StructType, TimestampType
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
+from pyspark.sql.types import StructType
 
 from tidemark.fixed import DEFAULT_RETRIES, DEFAULT_WAIT_S
-from tidemark.functions.paths import relative_path
-from tidemark.operators.filters import name_filter, regular_files, subtree_filter
 from tidemark.operators.archive import archive
+from tidemark.operators.filters import name_filter, regular_files, subtree_filter
 from tidemark.operators.ledger import Run, read_pending, read_run, retry_set, unsent, write_ledger, write_pending
 from tidemark.operators.transfer import plan_transfer, transfer
 from tidemark.schemas import LEDGER, PENDING
-from tidemark.session import materialize, work_folder
-from tidemark.sources.fs import exists, make_folder, require_folder, strip_file_scheme
-
-_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+from tidemark.session import ROCKS_DB, materialize, work_folder
+from tidemark.sources.datasource import FORMAT, register
+from tidemark.sources.fs import exists, make_folder, require_folder
+from tidemark.spread import flat_schema, flatten_times, restore_times
 
-# What the binary file source delivers.
-_FILE = (
-    StructType()
-    .add("path", StringType())
-    .add("modificationTime", TimestampType())
-    .add("length", LongType())
-    .add("content", BinaryType())
-)
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+# A file that is no longer listed is forgotten so much later, in case a batch takes long.
+_MARGIN_S = 3_600
 
 
-def stream_listing(spark: SparkSession, root: str, regex: str | None = None, subtree: str = "",
-                   recursive: bool = True, max_file_age: str = "36500d",
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_listing(spark: SparkSession, root: str, regex: str | None = None, subtree: str = "", recursive: bool = True,
+                   lag_s: int = 0, lookback_s: int | None = None) -> DataFrame:
     """New files as a stream of listing rows; contents stay unread, and originals where they are.
 
-    No file is too old by default. A lower ``max_file_age`` forgets old paths, and drops files that arrive later than that.
+    A file goes on once for each size and time it is found with. With ``lag_s`` it goes on when both have stood that
+    long between two looks, so one that is still being written waits, and goes once, whole. ``lookback_s`` bounds what a batch
+    lists, and the state: files whose time is older than that when the batch begins are not looked for. With both 0 the
+    windows tile as those of batch runs, without any state, and a file that arrives with an old time is missed.
     """
-    root = strip_file_scheme(root).rstrip("/")
     require_folder(root)
-    # A batch looks up each of its files again, by default each in a task of its own.
-    if spark.conf.get(_LISTING_TASKS) == "10000":
-        spark.conf.set(_LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
-    reader = spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
-    settings = {
-        "maxFileAge": max_file_age,
-        "maxFilesPerTrigger": max_files_per_trigger,
-    }
-    for name, value in settings.items():
-        if value is not None:
-            reader = reader.option(name, str(value))
-    path = F.regexp_replace("path", "^file:/+", "/")
-    files = reader.load(root).select(
-        F.lit(root).alias("root"),
-        path.alias("path"),
-        relative_path(path, F.lit(root)).alias("relpath"),
-        F.col("length").alias("size"),
-        F.unix_seconds("modificationTime").alias("mtime_s"),
-        F.col("modificationTime").alias("mtime"),
-    )
-    return name_filter(subtree_filter(regular_files(files), subtree, recursive), regex)
+    reader = register(spark).readStream.format(FORMAT).option("path", root).option("recursive", str(recursive or bool(subtree)))
+    if lookback_s is not None:
+        reader = reader.option("lookback", str(lookback_s))
+    if subtree:
+        reader = reader.option("prefix", f"{subtree.strip('/')}/")
+    files = name_filter(subtree_filter(regular_files(reader.load()), subtree, recursive), regex)
+    if not lag_s and lookback_s is None:
+        # Without waiting or forgetting, a version seen is a version sent: the engine's own state knows that.
+        found = files.dropDuplicates(["path", "size", "mtime"])
+    elif not lag_s and lookback_s == 0:
+        found = files
+    else:
+        found = hold_back(files, lag_s, lookback_s)
+    return found.drop("name", "listed_ms")
+
+
+class _HoldBack(StatefulProcessor):
+    """Of one path: the size and time it was last found with, since when, and whether that version went on."""
+
+    STATE = "size bigint, mtime bigint, since_ms bigint, sent boolean, forget_ms bigint"
+
+    def __init__(self, columns: list[str], lag_s: int, lookback_s: int | None):
+        self.columns, self.lag_ms = columns, 1000 * lag_s
+        self.kept_s = None if lookback_s is None else lookback_s + lag_s + _MARGIN_S
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", self.STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        for row in (row for frame in rows for row in frame.itertuples(index=False)):
+            now, state = int(row.listed_ms), self.seen.get() if self.seen.exists() else None
+            since, sent, forget = now, False, -1
+            if state is not None:
+                forget = state[4]
+                if state[:2] == (row.size, row.mtime):
+                    since, sent = state[2], state[3]
+            if state is None or state[:2] != (row.size, row.mtime):
+                forget = self._forget(row, forget, timerValues)
+            goes = not sent and now - since >= self.lag_ms
+            if goes or state is None or state[:2] != (row.size, row.mtime):
+                self.seen.update((int(row.size), int(row.mtime), since, sent or goes, forget))
+            if goes:
+                yield pd.DataFrame([row], columns=self.columns)
+
+    def _forget(self, row, before: int, timers: TimerValues) -> int:
+        """When the file's time is out of every window to come; a timer of the version before is dropped."""
+        if self.kept_s is None:
+            return -1
+        if before >= 0:
+            self.handle.deleteTimer(before)
+        at = max(1000 * (int(row.mtime_s) + self.kept_s), timers.getCurrentProcessingTimeInMs() + 1000 * _MARGIN_S)
+        self.handle.registerTimer(at)
+        return at
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        return iter(())
+
+
+def hold_back(files: DataFrame, lag_s: int, lookback_s: int | None = None) -> DataFrame:
+    """Of files that are listed again and again (with ``path``, ``size``, ``mtime_s``, ``mtime``, ``listed_ms``) those that have stood for the lag, once."""
+    flat = flat_schema(files.schema)
+    processor = _HoldBack(files.columns, lag_s, lookback_s)
+    settled = flatten_times(files).groupBy("path").transformWithStateInPandas(processor, StructType(flat.fields), "Append", "ProcessingTime")
+    return restore_times(settled, files.schema)
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """A stream keeps the store it was started with, so the session gets its own setting back."""
+    before = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, ROCKS_DB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_STORE, before)
 
 
 def append_stream(stream: DataFrame, table_uri: str, checkpoint_uri: str) -> StreamingQuery:
     """Everything new since the last call, appended once to a parquet table."""
-    return (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint_uri)
-        .option("path", table_uri)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _state_on_disk(stream.sparkSession):
+        return (
+            stream.writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint_uri)
+            .option("path", table_uri)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def stream_transfer(manifest_stream: DataFrame, target_root: str, ledger_uri: str, checkpoint_uri: str,
@@ -126,9 +182,10 @@ def stream_transfer(manifest_stream: DataFrame, target_root: str, ledger_uri: st
         with work_folder(spark):
             send(waiting, again)
             settle(spark, again)
-    return (
-        manifest_stream.writeStream.foreachBatch(copy_batch)
-        .option("checkpointLocation", checkpoint_uri)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _state_on_disk(spark):
+        return (
+            manifest_stream.writeStream.foreachBatch(copy_batch)
+            .option("checkpointLocation", checkpoint_uri)
+            .trigger(availableNow=True)
+            .start()
+        )
