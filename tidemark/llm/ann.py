@@ -142,13 +142,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
-def _even(x: np.ndarray) -> np.ndarray:
-    """Rows times powers of two, which is exact, so that no square is too small or too large for a double."""
-    return np.ldexp(x, -np.clip(np.frexp(np.abs(x).max(axis=1))[1], -1_000, 1_000)[:, None])
-
-
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = _even(x)
     return (x / np.sqrt((x * x).sum(1))[:, None]).astype(np.float32)
 
 
@@ -168,10 +162,16 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, settings: Settings = S
     id and vector are one. With fewer than k candidates the result has them all.
     """
     spark = vectors.sparkSession
-    rows = written(usable(vectors, vec_id, embedding), "vectors")
+    # Vectors go on times a power of two, which is exact: no square is too small or too large for a double then, and the
+    # cosine is the same to the last bit wherever the plain one is neither zero nor infinite.
+    power = F.floor(F.log2(F.array_max(F.transform("v", F.abs))))
+    factor = F.pow(F.lit(2.0), -F.greatest(F.lit(-1_000), F.least(F.lit(1_000), power)))
+    rows = written(usable(vectors, vec_id, embedding).withColumn("factor", factor), "vectors")
     sizes = rows.agg(F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most")).first()
+    even = F.transform("v", lambda x: x * F.col("factor"))
     if sizes["least"] != sizes["most"]:
-        rows = rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(sizes["most"]) - F.size("v"))))
+        even = F.concat(even, F.array_repeat(F.lit(0.0), F.lit(sizes["most"]) - F.size("v")))
+    rows = rows.select("vec_id", even.alias("v"))
     # Equal vectors: the k + 1 smallest ids, cut down before the shuffle.
     order = Window.partitionBy("v").orderBy("vec_id")
     few = written(rows.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1), "few")
@@ -228,7 +228,7 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, settings: Settings = S
     def compare(asking: pa.Table, held: pa.Table) -> pa.Table:
         out: list = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         if len(asking) and len(held):
-            q, c = (_even(_matrix(t.column("v").combine_chunks())) for t in (asking, held))
+            q, c = (_matrix(t.column("v").combine_chunks()) for t in (asking, held))
             ids, mine = held.column("key").to_numpy(), asking.column("key").to_numpy()
             order = np.argsort(ids)
             ids, c = ids[order], c[order]
@@ -250,14 +250,10 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, settings: Settings = S
     )
     # One sum for each pair, not one for each block's matrix: replicas agree, and equal scores tie.
     hits = hits.select("key", "other").distinct()
-    # Times powers of two, as in _even: the same cosine to the last bit wherever the plain one is neither zero nor infinite.
-    power = lambda c: F.floor(F.log2(F.array_max(F.transform(c, F.abs))))
-    factor = lambda c: F.pow(F.lit(2.0), -F.greatest(F.lit(-1_000), F.least(F.lit(1_000), power(c))))
-    even = lambda c, by: F.transform(c, lambda x: x * F.col(by))
     size = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
     dot = F.aggregate(F.zip_with("v", "w", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     scored = hits.join(searching, "key").join(distinct.select(F.col("key").alias("other"), F.col("v").alias("w")), "other")
-    scored = scored.withColumns({"_v": factor("v"), "_w": factor("w")}).withColumns({"v": even("v", "_v"), "w": even("w", "_w")}).select("key", "other", (dot / (size(F.col("v")) * size(F.col("w")))).alias("score"))
+    scored = scored.select("key", "other", (dot / (size(F.col("v")) * size(F.col("w")))).alias("score"))
     ids = few.select("vec_id", "v").join(distinct, "v").select(F.col("key").alias("other"), "vec_id")
     best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     # One more than asked for, as the query's own row is among them.
