@@ -157,6 +157,22 @@ def test_phrases(docs, block):
     assert any(r["n_removed"] for r in found)
 
 
+def test_only_windows_around_hits_are_compared(monkeypatch):
+    """The automaton proposes: without a recurring phrase in a block nothing is looked up, else what lies around its places."""
+    rng, settings, looked = random.Random(9), phrases.Settings(), []
+    pairs = phrases._Windows.pairs
+    monkeypatch.setattr(phrases._Windows, "pairs", lambda self, at, settings: looked.append(len(at)) or pairs(self, at, settings))
+    passage = sentence(rng, 50, 10**6)
+    texts = [f"{sentence(rng, 400, 10**6)} {passage if i < 2 else ''} {sentence(rng, 400, 10**6)}" for i in range(20)]
+    table = pa.table({"doc_id": range(20), "text": texts, "block": pa.array([0] * 20, pa.int32())})
+    windows = phrases._Windows(phrases.words_of(pa.array([passage])), settings)
+    anchors = np.unique(windows.anchor[windows.ok]).view(np.int64)
+    for known, removed in ((anchors[:0], 0), (anchors, 50)):
+        found = phrases._kept(settings)(table, pa.table({"kind": np.zeros(len(known), np.int32), "a": known, "b": np.zeros(len(known), np.int64)}))
+        assert [r["n_removed"] >= removed if r["doc_id"] < 2 else r["n_removed"] == 0 for r in found.to_pylist()] == [True] * 20
+        assert sum(looked) <= 2 * (50 + 2 * 35) and bool(sum(looked)) == bool(removed)
+
+
 @pytest.mark.parametrize("path, kind", [(WORD, "word"), (BYTE, "byte")])
 def test_encoder(texts, path, kind):
     tokenizer = Tokenizer.from_file(path)

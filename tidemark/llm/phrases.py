@@ -9,8 +9,8 @@ about ``block_bytes`` of text. Three steps follow:
    confirmed, all others ruled out. Counts are combined before every shuffle, so a passage
    that a third of the documents share is one row for each block.
 3. Each block compiles its shard of the automaton (pyahocorasick) from the recurring
-   phrases that its documents can hold, and streams all its documents through it once. The windows' hashes
-   have located the confirmed windows by then; the automaton repeats that and decides nothing. Confirmed windows are covered.
+   anchors that its documents can hold, and streams all its documents through it once. A hit proposes the windows
+   around it; these, and no others, are compared with what is known of windows with a recurring anchor, and confirmed ones are covered.
 
 Blocks bound the automaton and the texts in memory; no document meets more than one.
 """
@@ -137,29 +137,31 @@ def _kept(settings: Settings):
         column, ids = texts.column("text").combine_chunks(), texts.column("doc_id").combine_chunks()
         shard, parts, phrases = ahocorasick.Automaton(), [], set()
         for low, high in slices(column):
-            words = words_of(column.slice(low, high - low))
-            windows = _Windows(words, settings)
-            at = np.flatnonzero(windows.ok)
-            at = at[_member(windows.anchor[at], anchors)]
-            at = at[~_member(windows.pairs(at, settings), single)]
-            recurs = np.zeros(len(windows.ok), bool)
-            recurs[at] = True
-            # The phrases: the anchors of confirmed windows, taken from their first place in the block.
+            windows = _Windows(words_of(column.slice(low, high - low)), settings)
+            # The words of each recurring anchor, from its first place in the block.
             places = np.flatnonzero(windows.chosen)
-            places = places[_member(windows.runs[places], np.unique(windows.anchor[at]))]
+            places = places[_member(windows.runs[places], anchors)]
             hashes, first = np.unique(windows.runs[places], return_index=True)
+            words = windows.words
             for h, place in zip(hashes.tolist(), places[first].tolist()):
                 if h not in phrases:
                     phrases.add(h)
                     spans = zip(words.starts[place : place + settings.anchor], words.ends[place : place + settings.anchor])
                     phrase = b" ".join([words.data[s:e].tobytes() for s, e in spans]).decode()
                     shard.add_word(f" {phrase} ", True)
-            parts.append((low, high, words.offsets, recurs))
+            parts.append((low, high, windows))
         if phrases:
             shard.make_automaton()
+
+        def confirmed(windows: _Windows, at: np.ndarray) -> np.ndarray:
+            """Of proposed windows those that recur: their anchor does, and they are none of those that occur once."""
+            at = at[windows.ok[at]]
+            at = at[_member(windows.anchor[at], anchors)]
+            return at[~_member(windows.pairs(at, settings), single)] if len(at) else at
+
         rows = [
-            row for low, high, offsets, recurs in parts
-            for row in zip(ids.slice(low, high - low).to_pylist(), _strip(column.slice(low, high - low), offsets, recurs, shard if phrases else None, settings))
+            row for low, high, windows in parts
+            for row in zip(ids.slice(low, high - low).to_pylist(), _strip(column.slice(low, high - low), windows, confirmed, shard if phrases else None, settings))
         ]
         done = [(doc_id, *rest) for doc_id, rest in rows]
         columns = list(zip(*done)) or [()] * 4
@@ -171,32 +173,30 @@ def _kept(settings: Settings):
     return of
 
 
-def _strip(texts: pa.Array, offsets: np.ndarray, recurs: np.ndarray, shard, settings: Settings):
+def _strip(texts: pa.Array, windows: _Windows, confirmed, shard, settings: Settings):
     """For each text: words, removed words, and what is left joined by single spaces."""
-    reach = settings.window - settings.anchor
+    offsets, reach = windows.words.offsets, settings.window - settings.anchor
+    near, split = np.zeros(len(windows.ok) + 1, np.int64), []
     for i, text in enumerate(texts.to_pylist()):
         words = [w.decode() for w in text.encode().split()]
-        n, joined = len(words), " ".join(words)
-        if shard is None or n < settings.window:
-            yield n, 0, joined
-            continue
-        ends = [end for end, _ in shard.iter(f" {joined} ")]
-        if not ends:
-            yield n, 0, joined
-            continue
-        starts = np.fromiter(itertools.accumulate((len(w) + 1 for w in words), initial=0), np.int64, n + 1)
-        # A phrase ends with the space behind its last word, where the next word's leading space stands too.
-        hits = np.searchsorted(starts, np.array(ends)) - settings.anchor
-        near = np.zeros(n + 1, np.int64)
-        np.add.at(near, np.maximum(hits - reach, 0), 1)
-        np.add.at(near, hits + 1, -1)
-        window = recurs[offsets[i] : offsets[i + 1]] & (np.cumsum(near)[:n] > 0)
-        at = np.flatnonzero(window)
-        cover = np.zeros(n + 1, np.int64)
-        cover[at] += 1
-        cover[at + settings.window] -= 1
-        covered = np.cumsum(cover)[:n] > 0
-        yield n, int(covered.sum()), " ".join(itertools.compress(words, (~covered).tolist()))
+        joined = " ".join(words)
+        split.append((words, joined))
+        ends = [end for end, _ in shard.iter(f" {joined} ")] if shard is not None and len(words) >= settings.window else []
+        if ends:
+            starts = np.fromiter(itertools.accumulate((len(w) + 1 for w in words), initial=0), np.int64, len(words) + 1)
+            # A phrase ends with the space behind its last word, where the next word's leading space stands too.
+            hits = np.searchsorted(starts, np.array(ends)) - settings.anchor
+            np.add.at(near, offsets[i] + np.maximum(hits - reach, 0), 1)
+            np.add.at(near, offsets[i] + hits + 1, -1)
+    at = confirmed(windows, np.flatnonzero(np.cumsum(near)[:-1] > 0))
+    cover = np.zeros(len(near), np.int64)
+    cover[at] += 1
+    cover[at + settings.window] -= 1
+    left = np.cumsum(cover)[:-1] <= 0
+    for (words, joined), a, b in zip(split, offsets, offsets[1:]):
+        some = left[a:b]
+        removed = int((~some).sum())
+        yield len(words), removed, " ".join(itertools.compress(words, some.tolist())) if removed else joined
 
 
 def without_recurring(documents: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
