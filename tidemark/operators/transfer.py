@@ -29,7 +29,7 @@ from tidemark.session import materialize, small_batches
 from tidemark.sources.content import digest
 from tidemark.sources.fs import open_fs
 from tidemark.sources.staging import Staged
-from tidemark.spread import STREAMS_PER_TASK, flat_schema, flatten_times, map_files, restore_times, spread, task_count
+from tidemark.spread import STREAMS_PER_TASK, flat_schema, flatten_times, map_files, restore_times, spread
 
 PIECE_BYTES = 1024 * 1024
 # Pieces handed on at once.
@@ -75,13 +75,12 @@ def transfer(plan: DataFrame, retries: int = DEFAULT_RETRIES, wait_s: int = DEFA
     """
     require_columns(plan, PLAN.fieldNames(), "transfer")
     plan = plan.select(*PLAN.fieldNames())
-    tasks = parallelism or task_count(plan)
     plain = F.col("action") == "copy"
     if key is None and not plan.where(~plain).isEmpty():
         raise ValueError("transfer: the plan encrypts or decrypts, which needs a key")
     large = F.lit(False) if split_bytes is None else F.col("size") > split_bytes
     copied = _in_rounds(plan.where(plain & ~large), retries, wait_s, "transferred", lambda rows, attempt: map_files(
-        rows, _copier(attempt, buffer_bytes, streams), OUTCOME, tasks if attempt == 1 else None
+        rows, _copier(attempt, buffer_bytes, streams), OUTCOME, parallelism if attempt == 1 else None
     ))
     if split_bytes is not None:
         copied = copied.unionByName(_in_rounds(plan.where(plain & large), retries, wait_s, "split", lambda rows, attempt: copy_by_ranges(
@@ -90,7 +89,7 @@ def transfer(plan: DataFrame, retries: int = DEFAULT_RETRIES, wait_s: int = DEFA
     if key is None:
         return copied
     with small_batches(plan.sparkSession):
-        sealed = _in_rounds(plan.where(~plain), retries, wait_s, "sealed", lambda rows, attempt: _seal_once(rows, key, attempt, tasks))
+        sealed = _in_rounds(plan.where(~plain), retries, wait_s, "sealed", lambda rows, attempt: _seal_once(rows, key, attempt, parallelism))
     return copied.unionByName(sealed)
 
 
@@ -185,7 +184,7 @@ SEALED_MARK = b"TMS2"
 SEALED_ID_BYTES = 16
 
 
-def _seal_once(plan: DataFrame, key: Column, attempt: int, tasks: int) -> DataFrame:
+def _seal_once(plan: DataFrame, key: Column, attempt: int, tasks: int | None) -> DataFrame:
     pieces = flatten_times(spread(plan, tasks)).mapInPandas(
         _read_pieces, flat_schema(StructType(PLAN.fields + PIECE.fields))
     )

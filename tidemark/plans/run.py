@@ -33,7 +33,7 @@ from tidemark.operators.ledger import (
 from tidemark.operators.metrics import metrics_long
 from tidemark.operators.transfer import plan_transfer, transfer
 from tidemark.options import TransferOptions
-from tidemark.schemas import ARCHIVED, LEDGER, METRICS, PENDING, PLAN, WINDOW
+from tidemark.schemas import ARCHIVED, LEDGER, METRICS, PENDING, PLAN, TRANSFERRED, WINDOW
 from tidemark.session import literal_rows, new_folder, read_table, work_folder
 from tidemark.sources.fs import exists, require_folder
 from tidemark.sources.listing import walk_files
@@ -97,11 +97,14 @@ def run_transfer(spark: SparkSession, options: TransferOptions, run_id: str, log
             write_run(_plan(spark, options, state, last, run, from_s, to_s), plans, run)
         plan = spark.read.schema(PLAN).parquet(run.partition_of(plans))
         if not _complete(ledgers, run):
-            key = crypto.key_from_uri(spark, options.key_uri) if options.encryption != "none" else None
-            done = transfer(
-                plan, options.retries, options.wait_s, key, options.parallelism, options.buffer_bytes,
-                split_bytes=options.split_bytes,
-            )
+            if plan.isEmpty():
+                done = literal_rows(spark, [], TRANSFERRED)
+            else:
+                key = crypto.key_from_uri(spark, options.key_uri) if options.encryption != "none" else None
+                done = transfer(
+                    plan, options.retries, options.wait_s, key, options.parallelism, options.buffer_bytes,
+                    split_bytes=options.split_bytes,
+                )
             write_ledger(done, ledgers, run)
         ledger = read_run(spark, ledgers, LEDGER, run)
         if options.archive and not _complete(archives, run):
