@@ -48,7 +48,8 @@ def spread(files: DataFrame, tasks: int | None = None) -> DataFrame:
     """
     size, n = _measure(files)
     tasks = tasks or _tasks_for(files, size, n)
-    if tasks == 1 or not n:
+    if tasks == 1 or size + n * FILE_COST <= BYTES_PER_TASK:
+        # All of it is one task's work at most: dealt one by one, no task's share is worth weighing.
         return files.repartition(tasks)
     weight = F.coalesce("size", F.lit(0)) + FILE_COST
     share = (size + n * FILE_COST) / tasks
