@@ -15,6 +15,7 @@ from tidemark.operators.split import copy_by_ranges, followed_by, ranges_of
 from tidemark.operators.transfer import plan_transfer, transfer
 from tidemark.options import TransferOptions
 from tidemark.plans.run import run_transfer
+from tidemark.session import materialize
 from tidemark.sources.listing import walk_files
 from tidemark.sources.manifest import store_manifest
 from tidemark.spread import FILE_COST, spread
@@ -132,6 +133,15 @@ def test_copies_by_ranges(plan, folders):
     assert not list((folders / "out").rglob("*part"))
 
 
+def test_short_ranges_share_tasks(spark, plan, monkeypatch):
+    """Tasks are counted by bytes and by ranges, as for files; sixteen short ranges are no task's work."""
+    written = []
+    monkeypatch.setattr(split, "materialize", lambda df, name: written.append(materialize(df, name)) or written[-1])
+    done = copy_by_ranges(plan, range_bytes=10)
+    assert written[0].count() > 500 and len(written[0].inputFiles()) <= spark.sparkContext.defaultParallelism
+    assert {(r.status, r.bytes == r.size) for r in done.collect()} == {("copied", True)}
+
+
 def test_damaged_changed_and_missing_files(spark, plan, folders, monkeypatch):
     """A range that is stored wrong, a source that changes, one that goes: none is published, and nothing is left."""
     plan = spark.createDataFrame(plan.collect(), plan.schema)

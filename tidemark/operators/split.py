@@ -16,6 +16,7 @@ import time
 import zlib
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,7 +27,7 @@ from tidemark.fixed import BUFFER_BYTES
 from tidemark.schemas import OUTCOME, PLAN, RANGE, TRANSFERRED
 from tidemark.session import materialize
 from tidemark.sources.fs import UNFINISHED, is_local, make_parent, move, open_fs, strip_file_scheme
-from tidemark.spread import STREAMS_PER_TASK, flat_schema, flatten_times, restore_times
+from tidemark.spread import STREAMS_PER_TASK, flat_schema, flatten_times, restore_times, task_count
 
 RANGE_BYTES = 64 * 1024 * 1024
 CRC_MARK = "crc32:"
@@ -48,12 +49,23 @@ def _times(a: int, b: int) -> int:
 
 def followed_by(crc: int, n: int) -> int:
     """What a checksum adds to that of a whole when ``n`` bytes follow."""
-    power, square = _ONE, _ONE >> 8
-    while n:
-        if n & 1:
-            power = _times(power, square)
-        square, n = _times(square, square), n >> 1
-    return _times(power, crc)
+    return _times(_power(n), crc) if n else crc
+
+
+@lru_cache(maxsize=64)
+def _square(k: int) -> int:
+    """The power of x that stands for 2^k bytes."""
+    return _times(_square(k - 1), _square(k - 1)) if k else _ONE >> 8
+
+
+@lru_cache(maxsize=1_024)
+def _power(n: int) -> int:
+    """The power of x that stands for n bytes."""
+    power = _ONE
+    for k in range(n.bit_length()):
+        if n >> k & 1:
+            power = _times(power, _square(k))
+    return power
 
 
 def ranges_of(plan: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -72,8 +84,8 @@ def copy_by_ranges(plan: DataFrame, attempt: int = 1, range_bytes: int = RANGE_B
     number = time.time_ns()
     split = ranges_of(plan.select(*PLAN.fieldNames()), range_bytes)
     if tasks is None:
-        total = split.agg(F.count("*").alias("ranges")).first()["ranges"]
-        tasks = max(1, min(total, max(plan.sparkSession.sparkContext.defaultParallelism, -(-total // (4 * streams)))))
+        # By bytes and by number, as files: many short ranges are no more work than as many small files.
+        tasks = task_count(split.select(F.col("length").alias("size")))
     schema = StructType(PLAN.fields + RANGE.fields)
     # One round of writing: what a range did is a table, and publishing reads that.
     done = materialize(
