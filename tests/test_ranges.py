@@ -61,3 +61,31 @@ def test_nothing(spark, folders):
     assert list_level(spark, folder_pager(f"file://{folders}/in")).collect() == []
     with pytest.raises(ValueError, match="own client"):
         ranges.folder_pager("gs://bucket/in")
+
+
+def test_folder_in_order(spark, folders, monkeypatch):
+    """The folder is read once: pages and cuts come from its sorted names, and ranges are cut evenly."""
+    names = sorted({f"{i * 37 % 400}.txt" for i in range(400)} | {"é", "\U0001f600", "\uffee", "~"})
+    for name in names:
+        put(folders / "in", name, b"x" * len(name), 1_000_000_000)
+    (folders / "in/a folder").mkdir()
+    monkeypatch.setattr(ranges, "_HELD", 50)
+    plain = folder_pager(str(folders / "in"))
+    pager = plain.in_order(spark)
+    assert len(pager.files) > 1 and sum(map(len, (ranges._names(f) for f in pager.files))) == len(names)
+    rng = random.Random(1)
+    asked = [(a, None if rng.random() < 0.2 else max(a, b), rng.randint(1, 120)) for a, b in
+             ((rng.choice(["", "~~", "2", *names]), rng.choice(["3", *names])) for _ in range(60))]
+    wanted = [plain(*a) for a in asked]
+    with monkeypatch.context() as patched:
+        patched.setattr(ranges.os, "scandir", None)
+        assert [pager(*a) for a in asked] == wanted
+        bounds = ["", *pager.cuts("", None, 16, 30), None]
+        assert [len(pager(a, b, 1_000)) for a, b in zip(bounds, bounds[1:])] == [29] * 13 + [27]
+        assert pager.cuts("", None, 4, 30) == [names[100], names[201], names[302]] and pager.cuts(names[-1], None, 4, 30) == []
+    # No range is ever empty, so few tasks list nothing.
+    found = list_level(spark, plain, limit=20)
+    assert found.count() == len(names) and found.inputFiles() and len(found.inputFiles()) <= 80
+    # A file that went away ends no page.
+    (folders / "in" / names[0]).unlink()
+    assert [n for n, _, _ in pager("", None, 3)] == names[1:4]
