@@ -2,7 +2,9 @@
 
 import os
 import time
+from types import SimpleNamespace
 
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyarrow import fs as pafs
@@ -16,7 +18,7 @@ from tidemark.sources.datasource import FORMAT, FilesReader, FilesWriter, Listin
 from tidemark.sources.listing import walk_files
 from tidemark.sources.manifest import sftp_manifest
 from tidemark.sources.staging import Staged
-from tidemark.streaming.files import append_stream, stream_listing, stream_transfer
+from tidemark.streaming.files import _HoldBack, append_stream, stream_listing, stream_transfer
 
 FROM, TO = 1_000_000_000, 1_000_000_100
 CONTENTS = "relpath string, content binary"
@@ -156,6 +158,71 @@ def test_files_wait_until_they_stand(spark, folders):
     assert drain(spark, folders, **given) == [("half", 13), ("half", 13), ("whole", 3)]
 
 
+class OneKey:
+    """One key's value and timers, and how often the value was asked for."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.value = None
+
+
+def test_paths_of_a_key_share_its_state():
+    """A batch reads and writes a key's state once, however many paths it has, and each path keeps its own times."""
+    columns = ["path", "size", "mtime", "mtime_s", "listed_ms"]
+    held, store = _HoldBack(columns, 2, 0), OneKey()
+    held.init(store)
+
+    def look(now, rows):
+        store.calls = 0
+        times = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+        frames = [pd.DataFrame(some, columns=columns) for some in (rows[:1_000], rows[1_000:])]
+        out = [r for f in held.handleInputRows((1,), iter(frames), times) for r in f.itertuples(index=False, name=None)]
+        assert store.calls <= 3
+        return out
+
+    def files(now, sizes, seconds=0):
+        return [(f"p{i}", size, 1_000_000 * seconds, seconds, now) for i, size in enumerate(sizes)]
+
+    def forget(at):
+        store.timers.discard(at)
+        list(held.handleExpiredTimer((1,), SimpleNamespace(getCurrentProcessingTimeInMs=lambda: at), SimpleNamespace(getExpiryTimeInMs=lambda: at)))
+
+    first = [1] * 3_000
+    assert look(1_000, files(1_000, first)) == []
+    assert store.timers == {3_602_000}
+    # One grew meanwhile, and one is new: they wait, the others go once.
+    second = [2, *first[1:], 7]
+    assert look(3_000, files(3_000, second)) == files(3_000, second)[1:3_000]
+    assert look(5_000, files(5_000, second)) == [files(5_000, second)[0], files(5_000, second)[-1]]
+    before = store.value
+    assert look(9_000, files(9_000, second)) == [] and store.value is before and store.timers == {3_602_000}
+    # What is as old as the others is forgotten with them; the two that came later have their own time, and are known until then.
+    forget(3_602_000)
+    assert store.timers == {3_603_000}
+    assert look(3_602_500, files(3_602_500, second)) == []
+    assert look(3_604_500, files(3_604_500, second)) == files(3_604_500, second)[1:3_000]
+    store.timers.clear()
+    forget(1 << 50)
+    assert store.value is None and not store.timers
+
+
 def test_held_back_files_are_copied_once_and_whole(spark, folders):
     def copy():
         manifest = sftp_manifest(stream_listing(spark, str(folders / "in"), lag_s=2), "c", "u", "h")

@@ -1,7 +1,7 @@
 """The same listing and transfer as a file stream.
 
 Each batch lists the folder again, by the walk of the batch run: empty files, hidden names and files that were rewritten or
-arrive with an old time are all seen. What is new is told by state with a key for each file, in the state store on the
+arrive with an old time are all seen. What is new is told by state on each file, by hash of its path in the state store on the
 executors; the stream's checkpoint has it, and the driver knows a window's two ends only.
 """
 
@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from datetime import datetime, timezone
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,6 +34,8 @@ from tidemark.spread import flat_schema, flatten_times, restore_times
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 # A file that is no longer listed is forgotten so much later, in case a batch takes long.
 _MARGIN_S = 3_600
+# Keys that the paths of a stream are dealt to. A stream's checkpoint has its state by these: they do not change.
+_BUCKETS = 1_024
 
 
 def stream_listing(spark: SparkSession, root: str, regex: str | None = None, subtree: str = "", recursive: bool = True,
@@ -62,9 +65,13 @@ def stream_listing(spark: SparkSession, root: str, regex: str | None = None, sub
 
 
 class _HoldBack(StatefulProcessor):
-    """Of one path: the size and time it was last found with, since when, and whether that version went on."""
+    """Of each path of a bucket: the size and time it was last found with, since when, whether that version went on, and when to forget it.
 
-    STATE = "size bigint, mtime bigint, since_ms bigint, sent boolean, forget_ms bigint"
+    A bucket's paths are one value, read and written once a batch: what a path costs there is a row, not several calls to the store.
+    """
+
+    STATE = "paths binary"
+    PATHS = pa.schema([("path", pa.string()), ("size", pa.int64()), ("mtime", pa.int64()), ("since_ms", pa.int64()), ("sent", pa.bool_()), ("forget_ms", pa.int64())])
 
     def __init__(self, columns: list[str], lag_s: int, lookback_s: int | None):
         self.columns, self.lag_ms = columns, 1000 * lag_s
@@ -75,41 +82,74 @@ class _HoldBack(StatefulProcessor):
         self.seen = handle.getValueState("seen", self.STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        for row in (row for frame in rows for row in frame.itertuples(index=False)):
-            now, state = int(row.listed_ms), self.seen.get() if self.seen.exists() else None
-            since, sent, forget = now, False, -1
-            if state is not None:
-                forget = state[4]
-                if state[:2] == (row.size, row.mtime):
-                    since, sent = state[2], state[3]
-            if state is None or state[:2] != (row.size, row.mtime):
-                forget = self._forget(row, forget, timerValues)
-            goes = not sent and now - since >= self.lag_ms
-            if goes or state is None or state[:2] != (row.size, row.mtime):
-                self.seen.update((int(row.size), int(row.mtime), since, sent or goes, forget))
-            if goes:
-                yield pd.DataFrame([row], columns=self.columns)
-
-    def _forget(self, row, before: int, timers: TimerValues) -> int:
-        """When the file's time is out of every window to come; a timer of the version before is dropped."""
-        if self.kept_s is None:
-            return -1
-        if before >= 0:
-            self.handle.deleteTimer(before)
-        at = max(1000 * (int(row.mtime_s) + self.kept_s), timers.getCurrentProcessingTimeInMs() + 1000 * _MARGIN_S)
-        self.handle.registerTimer(at)
-        return at
+        known = self._read()
+        timer, changed, now_ms = self._timer(known), False, timerValues.getCurrentProcessingTimeInMs()
+        for frame in rows:
+            going = []
+            found = zip(*(frame[name].tolist() for name in ("path", "size", "mtime", "mtime_s", "listed_ms")))
+            for at, (path, size, mtime, mtime_s, now) in enumerate(found):
+                state = known.get(path)
+                since, sent, forget = now, False, -1
+                fresh = state is None or state[:2] != (size, mtime)
+                if not fresh:
+                    since, sent, forget = state[2:]
+                elif self.kept_s is not None:
+                    # When the file's time is out of every window to come.
+                    forget = max(1000 * (mtime_s + self.kept_s), now_ms + 1000 * _MARGIN_S)
+                goes = not sent and now - since >= self.lag_ms
+                if goes or fresh:
+                    known[path], changed = (size, mtime, since, sent or goes, forget), True
+                if goes:
+                    going.append(at)
+            if going:
+                yield frame.iloc[going][self.columns]
+        if changed:
+            self._write(known)
+            self._set_timer(timer, self._timer(known))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentProcessingTimeInMs())
+        known = {path: state for path, state in self._read().items() if not 0 <= state[4] <= now}
+        if known:
+            self._write(known)
+            self._set_timer(-1, self._timer(known))
+        else:
+            self.seen.clear()
         return iter(())
 
+    def _read(self) -> dict[str, tuple]:
+        if not self.seen.exists():
+            return {}
+        path, *states = (column.to_pylist() for column in pa.ipc.open_stream(self.seen.get()[0]).read_all().columns)
+        return dict(zip(path, zip(*states)))
+
+    def _write(self, known: dict[str, tuple]) -> None:
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, self.PATHS) as stream:
+            stream.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((list(known), *zip(*known.values())), self.PATHS)], schema=self.PATHS))
+        self.seen.update((out.getvalue().to_pybytes(),))
+
+    def _timer(self, known: dict[str, tuple]) -> int:
+        """When the next path is to be forgotten; the bucket has a timer for that one only."""
+        return -1 if self.kept_s is None else min((state[4] for state in known.values() if state[4] >= 0), default=-1)
+
+    def _set_timer(self, before: int, at: int) -> None:
+        if at != before:
+            if before >= 0:
+                self.handle.deleteTimer(before)
+            if at >= 0:
+                self.handle.registerTimer(at)
+
 
 def hold_back(files: DataFrame, lag_s: int, lookback_s: int | None = None) -> DataFrame:
     """Of files that are listed again and again (with ``path``, ``size``, ``mtime_s``, ``mtime``, ``listed_ms``) those that have stood for the lag, once."""
     flat = flat_schema(files.schema)
     processor = _HoldBack(files.columns, lag_s, lookback_s)
-    settled = flatten_times(files).groupBy("path").transformWithStateInPandas(processor, StructType(flat.fields), "Append", "ProcessingTime")
+    bucket = F.pmod(F.xxhash64("path"), F.lit(_BUCKETS))
+    settled = (
+        flatten_times(files).withColumn("_bucket", bucket).groupBy("_bucket")
+        .transformWithStateInPandas(processor, StructType(flat.fields), "Append", "ProcessingTime")
+    )
     return restore_times(settled, files.schema)
 
 
