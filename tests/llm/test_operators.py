@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import ann, chat, decontaminate, langid, neardup, packing, phrases, pii, queries, secrets, tokenfiles
+from tidemark.llm import ann, chat, decontaminate, langid, neardup, packing, phrases, pii, queries, secrets, tokenfiles, tokens
 from tidemark.llm.components import components
 from tidemark.llm.tokens import Encoder, encoder
 from tidemark.session import new_folder
@@ -183,6 +183,32 @@ def test_encoder(texts, path, kind):
     assert coded == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
 
 
+@pytest.mark.parametrize("file, kind, width", [("byte_bpe_50k.json", "byte", 2), ("word_bpe_49k.json", "word", 4)])
+def test_each_pre_token_is_merged_once(monkeypatch, file, kind, width):
+    """Only pre-tokens that were not met lately go to the model, one by one; forgetting some changes no id."""
+    path = public_tokenizers.path(file)
+    tokenizer, coder, merged = Tokenizer.from_file(path), Encoder(path, kind, width), []
+    tokenizer.encode_special_tokens = True
+    texts = [[f"{a}{i * 7919 % 400}x wörter {a * (i % 9 + 1)}\n" for i in range(300)] for a in ("ab", "çé", "ab")]
+    merge = coder.merge
+    monkeypatch.setattr(coder, "merge", lambda w: merged.append(w) or merge(w))
+
+    def same():
+        for some in texts:
+            coded = [np.frombuffer(x, f"<u{width}").tolist() for x in coder.encode(some)]
+            assert coded == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+    same()
+    assert merged and len(merged) == len(set(merged)) == len(coder.known)
+    n = len(merged)
+    same()
+    assert len(merged) == n
+    # Nothing is held for longer than the batch after: what comes back from there is not merged again.
+    monkeypatch.setattr(tokens, "_HELD_BYTES", 0)
+    same()
+    assert len(merged) > n and coder.before
+
+
 def test_added_tokens_get_their_own_ids(spark):
     """Against tokenizers as their files give them, without any setting."""
     texts = ["one <|endoftext|> two", "<|startoftext|>One", "a<|endoftext|><|endoftext|>", "<|ENDOFTEXT|>", "日本 <|endoftext|>\n é", "<|endoftext", "plain"]

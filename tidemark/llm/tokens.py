@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,6 @@ class Encoder:
     def __init__(self, path: str, kind: str, width: int = 4, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import Split
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
@@ -53,9 +53,8 @@ class Encoder:
         self.lower = kind == "word"
         self.cut = re.compile(_PATTERNS[kind]).findall
         self.kind = np.dtype(f"<u{width}")
-        # The same model, fed with pre-tokens that are cut already: one call for many, a line each.
-        self.merge = Tokenizer(self.tokenizer.model)
-        self.merge.pre_tokenizer = Split("\n", "removed")
+        # The same model, fed with pre-tokens that are cut already.
+        self.merge = self.tokenizer.model.tokenize
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.held = self.count = 0
@@ -68,20 +67,18 @@ class Encoder:
         if self.held > _HELD_BYTES:
             self.before, self.known, self.held, self.count = self.known, {}, 0, 0
         known, before, held = self.known, self.before, 0
-        new = []
-        for piece in pieces:
-            if piece not in known:
-                ids = before.get(piece)
-                if ids is None:
-                    new.append(piece)
-                else:
-                    known[piece] = ids
-                    held += len(piece) + len(ids)
+        missing = pieces.difference(known)
+        new = list(missing.difference(before)) if before else list(missing)
+        if len(new) < len(missing):
+            for piece in missing.difference(new):
+                ids = known[piece] = before[piece]
+                held += len(piece) + len(ids)
         if new:
             lines = np.frombuffer(b"\xff".join([p.encode() for p in new]), np.uint8)
-            merged = self.merge.encode(_SYMBOLS[lines].tobytes().decode("utf-16-le"), add_special_tokens=False)
-            ids, of = self._pack(merged.ids), np.array(merged.word_ids)
-            ends = (np.searchsorted(of, np.arange(len(new) + 1)) * self.kind.itemsize).tolist()
+            merge = self.merge
+            merged = [[t.id for t in merge(w)] for w in _SYMBOLS[lines].tobytes().decode("utf-16-le").split("\n")]
+            ids = np.fromiter(chain.from_iterable(merged), self.kind).tobytes()
+            ends = [0, *accumulate(len(m) * self.kind.itemsize for m in merged)]
             known.update((p, ids[a:b]) for p, a, b in zip(new, ends, ends[1:]))
             held += len(ids) + sum(map(len, new))
         self.held += held + _EACH_BYTES * (len(known) - self.count)
@@ -92,10 +89,10 @@ class Encoder:
         plain = [_PLAIN.fullmatch(t) and not self.holds(t) for t in texts]
         cuts = [self.cut(t.lower() if self.lower else t) if p else () for t, p in zip(texts, plain)]
         self._learn(set().union(*cuts))
-        known = self.known
+        ids_of = self.known.__getitem__
         for text, is_plain, pieces in zip(texts, plain, cuts):
             if is_plain:
-                yield b"".join([known[p] for p in pieces])
+                yield b"".join(map(ids_of, pieces))
             else:
                 yield self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
