@@ -27,7 +27,8 @@ from tidemark.sources.fs import UNFINISHED_PATH, exists, is_local, open_fs, requ
 
 _FOLDER = StructType([field for field in LISTING if field.name in ("root", "path")])
 _ROWS_PER_BATCH = 10_000
-_FOLDERS_PER_TASK = 1_000
+# A task costs as much by itself as some thousand small folders.
+_FOLDERS_PER_TASK = 4_000
 
 
 def _as_roots(spark: SparkSession, roots: str | list[str]) -> list[str]:
